@@ -1,0 +1,33 @@
+"""Lists per group that stay bounded when one group holds a large share of the rows."""
+
+from pyspark.sql import functions as F
+
+from .lookup import lookup_join
+
+LIST_SIZE = 10_000
+
+
+def bounded_lists(df, keys, item, list_size=LIST_SIZE):
+    """(keys, part, items, rows): the distinct ``item`` values of each group, sorted.
+
+    Equal items are merged before the shuffle. A group of up to ``list_size`` items
+    is one row with ``part`` 0; a larger one comes as several parts, none of its
+    items lost. ``rows`` counts the input rows behind a list.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    items = df.groupBy(*keys, F.col(item).alias("_item") if isinstance(item, str) else item.alias("_item")).agg(
+        F.count("*").alias("_rows")
+    )
+    large = (
+        items.groupBy(*keys)
+        .agg(F.count("*").alias("_items"))
+        .filter(F.col("_items") > list_size)
+        .select(*keys, F.ceil(F.col("_items") / list_size).cast("int").alias("_parts"))
+    )
+    part = F.pmod(F.xxhash64("_item"), F.coalesce("_parts", F.lit(1))).cast("int")
+    return (
+        lookup_join(items, large, keys, "left")
+        .withColumn("part", part)
+        .groupBy(*keys, "part")
+        .agg(F.sort_array(F.collect_list("_item")).alias("items"), F.sum("_rows").alias("rows"))
+    )
