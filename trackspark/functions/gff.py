@@ -20,7 +20,7 @@ def percent_decode(text):
 
 
 def attribute_pairs(attributes):
-    """Attributes as an array of (k, v); keys may repeat, so this is no map.
+    """Attributes as an array of (k, v) in file order; keys may repeat, so this is no map.
 
     Values stay encoded here, since their commas separate list items.
     """
@@ -28,24 +28,31 @@ def attribute_pairs(attributes):
     return F.transform(
         items,
         lambda item: F.struct(
-            percent_decode(F.trim(F.substring_index(item, "=", 1))).alias("k"),
+            F.trim(F.substring_index(item, "=", 1)).alias("k"),
             F.regexp_replace(item, "(?s)^[^=]*=", "").alias("v"),
         ),
     )
 
 
-def attribute(pairs, key):
-    """Decoded value of the first attribute named ``key``, null where there is none."""
-    found = F.get(F.filter(_col(pairs), lambda pair: pair["k"] == key), F.lit(0))
-    return percent_decode(F.trim(found["v"]))
+def _value_of(key):
+    return f"(?:^|;)\\s*\\Q{key}\\E\\s*=([^;]*)"
 
 
-def attribute_list(pairs, key):
+def attribute(attributes, key):
+    """Decoded value of the first attribute named ``key``, null where it is absent or empty.
+
+    Read straight from the text: no array is built for each of the lines.
+    """
+    value = F.trim(F.regexp_extract(_col(attributes), _value_of(key), 1))
+    return percent_decode(F.nullif(value, F.lit("")))
+
+
+def attribute_list(attributes, key):
     """Decoded items of every attribute named ``key``."""
-    values = F.transform(
-        F.filter(_col(pairs), lambda pair: pair["k"] == key), lambda pair: F.split(pair["v"], ",")
-    )
-    return F.transform(F.flatten(values), lambda item: percent_decode(F.trim(item)))
+    attributes = _col(attributes)
+    values = F.array_join(F.regexp_extract_all(attributes, F.lit(_value_of(key)), F.lit(1)), ",")
+    items = F.when(values == "", F.array().cast("array<string>")).otherwise(F.split(values, r"\s*,\s*"))
+    return F.when(attributes.contains("%"), F.transform(items, percent_decode)).otherwise(items)
 
 
 def frame_of_phase(phase):

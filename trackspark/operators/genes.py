@@ -29,7 +29,7 @@ def pieces_of(gff, keys=("genome", "path")):
 
 def feature_nodes(gff, keys=("genome", "path")):
     """Features that may be parents, one row per id."""
-    gene_type = F.coalesce(*[G.attribute("attrs", k) for k in ("gene_biotype", "biotype", "gene_type")])
+    gene_type = F.coalesce(*[G.attribute("attributes", k) for k in ("gene_biotype", "biotype", "gene_type")])
     features = gff.filter(F.col("id").isNotNull() & ~F.col("type").isin(PIECES)).select(
         *keys,
         "id",

@@ -15,6 +15,7 @@ from ..sources.logs import summarise_logs
 from ..sources.tables import read_assembly_report
 from ..sources.text import clean_path
 from ..operators.lookup import lookup_join
+from ..operators.scratch import land
 
 
 class Track(NamedTuple):
@@ -91,7 +92,8 @@ def gff3_job(spark, sheet, sizes, on_missing="drop", partitions=None):
     if not paths:
         return None
     C.attach_sizes(sheet.filter("file_type = 'gff3'"), sizes)
-    features = attach_track(records.read_gff3(spark, paths, partitions), sheet)
+    # Text is parsed once; the models go over the features several times.
+    features = land(attach_track(records.read_gff3(spark, paths, partitions), sheet))
     return gene_rows(features, sizes, on_missing, keys=("genome", "run", "path"))
 
 

@@ -100,12 +100,12 @@ def parse_gff3(lines, dropped_attribute=None):
 
 
 def with_attributes(features):
-    """Add ``attrs`` (pairs), ``id``, ``name`` and ``parents`` from ``attributes``."""
-    return features.withColumn("attrs", G.attribute_pairs("attributes")).select(
+    """Add ``id``, ``name`` and ``parents``, read from ``attributes``."""
+    return features.select(
         "*",
-        G.attribute("attrs", "ID").alias("id"),
-        G.attribute("attrs", "Name").alias("name"),
-        G.attribute_list("attrs", "Parent").alias("parents"),
+        G.attribute("attributes", "ID").alias("id"),
+        G.attribute("attributes", "Name").alias("name"),
+        G.attribute_list("attributes", "Parent").alias("parents"),
     )
 
 
