@@ -103,7 +103,8 @@ def gene_models(gff, keys=("genome", "path"), wide_pieces=WIDE_PIECES):
         "gene_type",
         "part",
     )
-    rejects = tagged.filter("reason is not null").select(*keys, "transcript_id", "reason", "pieces")
+    # A wide transcript has a row per part; it is rejected once.
+    rejects = tagged.filter("reason is not null").select(*keys, "transcript_id", "reason", "pieces").distinct()
     return models, rejects
 
 
