@@ -2,8 +2,8 @@
 
 import logging
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.names import header_key
 from ..functions.values import json_map, tab_fields
@@ -134,17 +134,17 @@ def list_track_files(spark, roots, glob=None, recursive=True):
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    frames = []
+    paths = []
     for root in [roots] if isinstance(roots, str) else roots:
         try:
-            frames.append(reader.load(root).select(clean_path("path").alias("path")))
-        except Exception as error:
+            found = reader.load(root).inputFiles()
+        except AnalysisException as error:
             if "PATH_NOT_FOUND" not in str(error):
                 raise
+            found = []
+        if not found:
             log.warning("no track files match %s", root)
-    if not frames:
-        return spark.createDataFrame([], T.StructType([T.StructField("path", T.StringType())]))
-    listed = frames[0]
-    for frame in frames[1:]:
-        listed = listed.unionByName(frame)
-    return listed.distinct().orderBy("path")
+        paths += found
+    # The listing is Spark's own; a scan would leave out empty files.
+    listed = spark.createDataFrame([(path,) for path in paths], "path string")
+    return listed.select(clean_path("path", encoded=True).alias("path")).distinct().orderBy("path")
