@@ -76,16 +76,13 @@ def sample_groups(spark, sf_dir):
 
 @query("annotation_groups", f"""
 with {HUBS}
-select split_part(split_part(path, '/', 3), '_', 2) as whole, 0 as tracks, '' as paths from tracks where false
-union all
-select 'tool' || substr(path, strpos(path, '_tool') + 5, 1), count(*), string_agg(distinct path, ',' order by path)
+select 'tool' || substr(path, strpos(path, '_tool') + 5, 1) as annotation_type, count(*) as tracks,
+       string_agg(distinct path, ',' order by path) as paths
 from tracks where track_type = 'bigbed' group by 1
 """)
 def annotation_groups(spark, sf_dir):
     groups = C.group_tracks(C.with_track_fields(_tracks(spark, sf_dir)), "annotation_type")
-    return groups.select(
-        F.col("annotation_type").alias("whole"), "tracks", F.array_join("paths", ",").alias("paths")
-    )
+    return groups.select("annotation_type", "tracks", F.array_join("paths", ",").alias("paths"))
 
 
 @query("track_counts", f"with {HUBS} select track_type, genome, count(*) as tracks from tracks group by 1, 2")

@@ -17,7 +17,11 @@ KEYS = ("genome",)
 
 def _features(spark, sf_dir):
     """Parsed once and landed, since each query goes over the features more than once."""
-    return land(records.parse_gff3(I.gff_lines(spark, sf_dir), "AdditionalSources"))
+    return records.with_attributes(land(_fields(spark, sf_dir)))
+
+
+def _fields(spark, sf_dir):
+    return records.gff3_fields(I.gff_lines(spark, sf_dir), "AdditionalSources")
 
 
 ASSEMBLED = f"""
@@ -158,7 +162,7 @@ def biggenepred_text_scan(spark, sf_dir):
 select distinct 'asm' as genome, 'chr' || cast(l_orderkey % 22 + 1 as varchar(2)) as seqid from lineitem
 """)
 def gff3_seqids(spark, sf_dir):
-    return sizes.gff_seqids(_features(spark, sf_dir))
+    return sizes.gff_seqids(_fields(spark, sf_dir))
 
 
 @query("gff3_attribute_strip", """

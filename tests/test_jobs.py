@@ -60,12 +60,14 @@ def test_files_without_sizes_raise(spark, sheet, sizes):
 
 
 def test_bedgraph_job_and_its_sink(spark, sheet, sizes, tmp_path):
-    signal = jobs.bedgraph_job(spark, sheet, sizes)
-    assert rows(signal.track.clean, "chrom", "start", "end", "value") == [("chr1", 0, 10, 1.0), ("chr1", 5, 20, 2.0)]
-    assert rows(signal.overlaps, "start", "end", "copies") == [(5, 20, 1)]
-    assert rows(signal.track.rejects, "reject_reason") == [("end_before_start",)]
+    track = jobs.bedgraph_job(spark, sheet, sizes)
+    assert rows(track.clean, "chrom", "start", "end", "value") == [("chr1", 0, 10, 1.0), ("chr1", 5, 20, 2.0)]
+    assert rows(track.rejects, "reject_reason") == [("end_before_start",)]
     out = str(tmp_path / "signal")
-    sinks.write_signal(signal.track.clean, out, [10, 40])
+    sinks.write_signal(track.clean, out, [10, 40])
+    assert rows(spark.read.parquet(f"{out}/overlaps"), "start", "end", "copies") == [(5, 20, 1)]
+    with pytest.raises(sinks.OverlapError, match="overlap"):
+        sinks.write_signal(track.clean, str(tmp_path / "strict"), [10, 40], on_overlap="error")
     assert rows(spark.read.parquet(f"{out}/summaries"), "reduction", "bin", "covered", "total") == [
         (10, 0, 15, 20.0), (10, 1, 10, 20.0), (40, 0, 25, 40.0),
     ]
@@ -115,6 +117,12 @@ def test_interval_sink_is_sorted_and_prunes(spark, tmp_path):
         assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
 
 
+def test_ranges_follow_the_size_of_the_input(spark, write, tmp_path):
+    write("in/a", "x" * 1000)
+    write("in/b/c", "x" * 500)
+    assert sinks.ranges_for(spark, str(tmp_path / "in"), bytes_per_range=400) == 4
+
+
 def test_sort_is_by_bytes_then_number(spark):
     from trackspark.operators.intervals import sort_intervals
 

@@ -129,6 +129,13 @@ def test_summary_levels_agree(spark):
     assert (worked["covered"], worked["total"], worked["low"], worked["high"]) == (501, 247.0, -3.0, 0.5)
 
 
+def test_a_long_span_reaches_every_bin(spark):
+    df = spark.createDataFrame([("a", 5, 100_005, 2.0)], "chrom string, start bigint, end bigint, value double")
+    out = signal.bin_signal(df, 10, keys=("chrom",))
+    got = out.agg(F.count("*"), F.sum("covered"), F.min("bin"), F.max("bin"), F.min("covered")).first()
+    assert tuple(got) == (10_001, 100_000, 0, 10_000, 5)
+
+
 def model_features(spark, n_exons):
     """One transcript of many exons, with CDS in the middle; a few small ones."""
     data = []

@@ -9,7 +9,9 @@ def _col(value):
 
 def without_attribute(attributes, key):
     """Remove the first ``;key=...``; an attribute in first place has no leading ``;`` and stays."""
-    return F.regexp_replace(_col(attributes), f"(?s)^(.*?);{key}=[^;]*", "$1")
+    attributes = _col(attributes)
+    stripped = F.regexp_replace(attributes, f"(?s)^(.*?);\\Q{key}\\E=[^;]*", "$1")
+    return F.when(attributes.contains(f";{key}="), stripped).otherwise(attributes)
 
 
 def percent_decode(text):
@@ -43,16 +45,21 @@ def attribute(attributes, key):
 
     Read straight from the text: no array is built for each of the lines.
     """
-    value = F.trim(F.regexp_extract(_col(attributes), _value_of(key), 1))
-    return percent_decode(F.nullif(value, F.lit("")))
+    attributes = _col(attributes)
+    value = F.trim(F.regexp_extract(attributes, _value_of(key), 1))
+    return F.when(attributes.contains(key), percent_decode(F.nullif(value, F.lit(""))))
 
 
 def attribute_list(attributes, key):
     """Decoded items of every attribute named ``key``."""
     attributes = _col(attributes)
     values = F.array_join(F.regexp_extract_all(attributes, F.lit(_value_of(key)), F.lit(1)), ",")
-    items = F.when(values == "", F.array().cast("array<string>")).otherwise(F.split(values, r"\s*,\s*"))
-    return F.when(attributes.contains("%"), F.transform(items, percent_decode)).otherwise(items)
+    items = F.split(values, ",")
+    return (
+        F.when(~attributes.contains(key) | (values == ""), F.array().cast("array<string>"))
+        .when(values.contains("%"), F.transform(items, percent_decode))
+        .otherwise(items)
+    )
 
 
 def frame_of_phase(phase):

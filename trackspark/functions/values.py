@@ -9,11 +9,11 @@ def _col(value):
 
 def whitespace_fields(line):
     """Fields separated by runs of blanks and tabs; leading and trailing ones are dropped."""
-    return F.split(F.regexp_replace(_col(line), r"^[ \t\r]+|[ \t\r]+\z", ""), "[ \t]+")
+    return F.split(F.btrim(_col(line), F.lit(" \t\r")), "[ \t]+")
 
 
 def tab_fields(line):
-    return F.split(F.regexp_replace(_col(line), r"\r\z", ""), "\t", -1)
+    return F.split(F.rtrim(_col(line), F.lit("\r")), "\t", -1)
 
 
 def number(text, kind="bigint"):

@@ -63,10 +63,12 @@ def harmonise_contigs(df, sizes, on="genome", max_rows=BROADCAST_ROWS, max_bytes
     a missing contig and keeps its own name. One join serves renaming, dropping
     and auditing.
     """
-    if measure(sizes, 0)[0] == 0:
+    aliases = contig_aliases(sizes, on)
+    measured = measure(aliases, max_rows)
+    if not measured[0]:
         raise EmptySizesError("the chromosome-size table has no rows")
     keys = ([on] if on else []) + ["chrom"]
-    joined = lookup_join(df, contig_aliases(sizes, on), keys, "left", max_rows, max_bytes)
+    joined = lookup_join(df, aliases, keys, "left", max_rows, max_bytes, measured=measured)
     kept = [c for c in df.columns if c != "chrom"]
     return joined.select(
         F.coalesce("contig", "chrom").alias("chrom"),

@@ -44,8 +44,8 @@ def measure(df, max_rows=BROADCAST_ROWS):
     return row["rows"], row["bytes"]
 
 
-def fits_broadcast(df, max_rows=BROADCAST_ROWS, max_bytes=BROADCAST_BYTES):
-    rows, size = measure(df, max_rows)
+def fits_broadcast(df, max_rows=BROADCAST_ROWS, max_bytes=BROADCAST_BYTES, measured=None):
+    rows, size = measured or measure(df, max_rows)
     return rows <= max_rows and size <= max_bytes
 
 
@@ -58,12 +58,13 @@ def heavy_keys(df, on, min_rows, keys=HEAVY_KEYS):
 
 
 def lookup_join(left, right, on, how="left", max_rows=BROADCAST_ROWS,
-                max_bytes=BROADCAST_BYTES, min_heavy_rows=1_000_000):
+                max_bytes=BROADCAST_BYTES, min_heavy_rows=1_000_000, measured=None):
     """Join ``left`` to the lookup side ``right`` on the columns ``on``.
 
-    ``how`` is ``left``, ``inner``, ``left_semi`` or ``left_anti``.
+    ``how`` is ``left``, ``inner``, ``left_semi`` or ``left_anti``. ``measured``
+    may hand in the size of ``right`` where the caller knows it from ``measure``.
     """
-    if fits_broadcast(right, max_rows, max_bytes):
+    if fits_broadcast(right, max_rows, max_bytes, measured):
         return left.join(F.broadcast(right), on, how)
     return _split_join(left, right, on, how, max_rows, max_bytes, min_heavy_rows)
 

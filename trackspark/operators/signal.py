@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+STRETCH_BINS = 4096
 
 def bin_signal(df, width, keys=("track", "chrom")):
     """Covered bases, sum, sum of squares, minimum and maximum per bin of ``width``.
@@ -12,15 +13,15 @@ def bin_signal(df, width, keys=("track", "chrom")):
     keys = list(keys)
     lo, hi = F.col("bin") * width, (F.col("bin") + 1) * width
     bases = F.least("end", hi) - F.greatest("start", lo)
+    # In two steps, so that a span of a whole contig makes no array of all its bins.
+    stretch = width * STRETCH_BINS
+    first = f"greatest(start div {width}, stretch * {STRETCH_BINS})"
+    last = f"least((end - 1) div {width}, stretch * {STRETCH_BINS} + {STRETCH_BINS - 1})"
+    span = [*keys, "start", "end", "value"]
     return (
         df.filter("start < end")  # a backwards sequence would yield a false bin
-        .select(
-            *keys,
-            "start",
-            "end",
-            "value",
-            F.explode(F.expr(f"sequence(start div {width}, (end - 1) div {width})")).alias("bin"),
-        )
+        .select(*span, F.explode(F.expr(f"sequence(start div {stretch}, (end - 1) div {stretch})")).alias("stretch"))
+        .select(*span, F.explode(F.expr(f"sequence({first}, {last})")).alias("bin"))
         .select(*keys, "bin", "value", bases.alias("bases"))
         .groupBy(*keys, "bin")
         .agg(

@@ -9,13 +9,13 @@ from ..operators import catalog as C
 from ..operators import genes as GN
 from ..operators import sizes as SZ
 from ..operators.contigs import audit_missing, harmonise_contigs, resolve_missing
-from ..operators.intervals import check_bounds, find_overlaps
+from ..operators.intervals import check_bounds
+from ..operators.lookup import lookup_join
+from ..operators.scratch import land
 from ..sources import records
 from ..sources.logs import summarise_logs
 from ..sources.tables import read_assembly_report
 from ..sources.text import clean_path
-from ..operators.lookup import lookup_join
-from ..operators.scratch import land
 
 
 class Track(NamedTuple):
@@ -66,19 +66,16 @@ def bed_job(spark, sheet, sizes, on_missing="drop", sep="whitespace"):
     return clean_intervals(attach_track(records.read_bed(spark, paths, sep), sheet), sizes, on_missing)
 
 
-class Signal(NamedTuple):
-    track: Track
-    overlaps: DataFrame
-
-
 def bedgraph_job(spark, sheet, sizes, on_missing="drop"):
-    """bedGraph files of a samplesheet to clean signal, with the records that overlap."""
+    """bedGraph files of a samplesheet to clean signal.
+
+    ``write_signal`` sorts and summarises it and reports the records that overlap.
+    """
     paths = _paths(sheet, "bedgraph")
     if not paths:
         return None
     C.attach_sizes(sheet.filter("file_type = 'bedgraph'"), sizes)
-    track = clean_signal(attach_track(records.read_bedgraph(spark, paths), sheet), sizes, on_missing)
-    return Signal(track, find_overlaps(track.clean, keys=("genome", "path", "chrom")))
+    return clean_signal(attach_track(records.read_bedgraph(spark, paths), sheet), sizes, on_missing)
 
 
 class Genes(NamedTuple):
@@ -93,8 +90,8 @@ def gff3_job(spark, sheet, sizes, on_missing="drop", partitions=None):
         return None
     C.attach_sizes(sheet.filter("file_type = 'gff3'"), sizes)
     # Text is parsed once; the models go over the features several times.
-    features = land(attach_track(records.read_gff3(spark, paths, partitions), sheet))
-    return gene_rows(features, sizes, on_missing, keys=("genome", "run", "path"))
+    fields = land(attach_track(records.read_gff3_fields(spark, paths, partitions), sheet))
+    return gene_rows(records.with_attributes(fields), sizes, on_missing, keys=("genome", "run", "path"))
 
 
 def gene_rows(features, sizes, on_missing="drop", keys=("genome", "path"), on="genome"):

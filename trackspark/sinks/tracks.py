@@ -4,11 +4,22 @@ from pyspark.sql import functions as F
 
 from ..functions.values import joined_list
 from ..operators.contigs import EmptySizesError
-from ..operators.intervals import order_columns
+from ..operators.intervals import find_overlaps, order_columns
 from ..operators.signal import summarise_signal
 from ..schemas import BIG_GENE_PRED
 
 
+class OverlapError(ValueError):
+    """Raised when records of a signal track overlap."""
+
+
+def ranges_for(spark, paths, bytes_per_range=256 << 20):
+    """Number of output ranges for input files of this total size."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    total = files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()["bytes"]
+    return max(1, -(-total // bytes_per_range))
+
+
 def clustered(df, partitions=None):
     """Rows in ranges of (genome, chrom, start, whole record), sorted within each.
 
@@ -34,13 +45,21 @@ def write_intervals(df, path, partitions=None, mode="errorifexists"):
     _write(clustered(df, partitions), path, ["genome"], mode)
 
 
-def write_signal(df, path, reductions, keys=("genome", "path", "chrom"), partitions=None, mode="errorifexists"):
-    """Signal records under ``records`` and their summaries under ``summaries``.
+def write_signal(
+    df, path, reductions, keys=("genome", "path", "chrom"), partitions=None, mode="errorifexists", on_overlap="report"
+):
+    """Signal under ``records``, its summaries under ``summaries``, and ``overlaps``.
 
-    The summaries are made from the records as written, not from their source.
+    Overlaps and summaries are made from the records as written, which are sorted
+    and columnar, not from their source. ``on_overlap='error'`` raises after the
+    overlapping records are written.
     """
     write_intervals(df, f"{path}/records", partitions, mode)
-    written = df.sparkSession.read.schema(df.schema).parquet(f"{path}/records")
+    spark = df.sparkSession
+    written = spark.read.schema(df.schema).parquet(f"{path}/records")
+    find_overlaps(written, keys).write.mode(mode).parquet(f"{path}/overlaps")
+    if on_overlap == "error" and spark.read.parquet(f"{path}/overlaps").limit(1).count():
+        raise OverlapError(f"signal records overlap; they are listed in {path}/overlaps")
     summaries = summarise_signal(written, reductions, keys)
     ordered = [*keys, "bin"]
     placed = summaries.repartitionByRange("reduction", *ordered).sortWithinPartitions("reduction", *ordered)
@@ -75,7 +94,7 @@ def write_chrom_sizes(sizes, path, mode="errorifexists"):
 def publish(catalog, path, mode="errorifexists"):
     """Catalog rows, one folder per hub and genome.
 
-    Rows are spread by a hash of the path as well, so that no hub is one task.
+    Rebalancing splits a hub that holds many rows and merges the small ones.
     """
-    spread = catalog.repartition("hub", "genome", F.pmod(F.xxhash64("path"), F.lit(16)))
+    spread = catalog.hint("rebalance", "hub", "genome")
     spread.write.mode(mode).partitionBy("hub", "genome").parquet(path)

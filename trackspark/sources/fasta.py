@@ -4,6 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators.lookup import lookup_join
+from ..operators.scratch import land
 from .text import read_ordered_lines
 
 CHUNK_LINES = 8192
@@ -15,18 +16,20 @@ def sequence_lengths(lines, keys=("path",), chunk_lines=CHUNK_LINES):
     The length of a record is the number of bases before the next header less the
     number before its own. Chunks of lines are summed before the shuffle, so that
     only chunks that hold a header travel line by line.
+
+    The text is read once: its line lengths are landed, which also pins the line
+    numbers, since a second scan could be split in another way.
     """
     keys = list(keys)
     chunk = [*keys, "block", "chunk"]
     is_header = F.col("value").startswith(">")
-    marked = lines.select(
+    marked = land(lines.select(
         *keys,
         "block",
         "line",
-        F.expr(f"line div {chunk_lines}").alias("chunk"),
         F.when(is_header, F.regexp_extract("value", r"^>(\S*)", 1)).alias("name"),
         F.when(is_header, 0).otherwise(F.length(F.translate("value", " \t\r\n", ""))).cast("bigint").alias("bases"),
-    )
+    )).withColumn("chunk", F.expr(f"line div {chunk_lines}"))
     along = Window.partitionBy(*keys).orderBy("block", "chunk")
     totals = (
         marked.groupBy(*chunk)

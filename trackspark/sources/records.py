@@ -68,7 +68,12 @@ def read_bedgraph(spark, paths):
 
 
 def parse_gff3(lines, dropped_attribute=None):
-    """GFF3 features from a ``value`` column; positions become 0-based and half-open.
+    """GFF3 features from a ``value`` column, with the attributes that link them."""
+    return with_attributes(gff3_fields(lines, dropped_attribute))
+
+
+def gff3_fields(lines, dropped_attribute=None):
+    """The nine fields of GFF3 lines; positions become 0-based and half-open.
 
     Comments, and lines without nine fields (an embedded sequence section), are
     left out. ``dropped_attribute`` names an attribute to strip first.
@@ -79,7 +84,7 @@ def parse_gff3(lines, dropped_attribute=None):
         return F.get(fields, F.lit(position))
 
     attributes = G.without_attribute(field(8), dropped_attribute) if dropped_attribute else field(8)
-    features = (
+    return (
         lines.filter(~F.col("value").startswith("#"))
         .withColumn("_fields", V.tab_fields("value"))
         .filter(F.size("_fields") == 9)
@@ -90,17 +95,19 @@ def parse_gff3(lines, dropped_attribute=None):
             field(2).alias("type"),
             (V.number(field(3)) - 1).alias("start"),
             V.number(field(4)).alias("end"),
-            V.number(field(5), "double").alias("score"),
+            V.number(F.nullif(field(5), F.lit(".")), "double").alias("score"),
             field(6).alias("strand"),
-            V.number(field(7), "int").alias("phase"),
+            V.number(F.nullif(field(7), F.lit(".")), "int").alias("phase"),
             attributes.alias("attributes"),
         )
     )
-    return with_attributes(features)
 
 
 def with_attributes(features):
-    """Add ``id``, ``name`` and ``parents``, read from ``attributes``."""
+    """Add ``id``, ``name`` and ``parents``, read from ``attributes``.
+
+    Apply this after landing: only the rows and keys a query needs are then searched.
+    """
     return features.select(
         "*",
         G.attribute("attributes", "ID").alias("id"),
@@ -109,15 +116,24 @@ def with_attributes(features):
     )
 
 
-def read_gff3(spark, paths, partitions=None, dropped_attribute="AdditionalSources"):
-    """Features of plain or gzipped GFF3 files.
+def read_gff3_fields(spark, paths, partitions=None, dropped_attribute="AdditionalSources"):
+    """The fields of plain or gzipped GFF3 files.
 
-    A gzipped file is one split; ``partitions`` spreads its lines before parsing.
+    A gzipped file is one split; its lines are spread over ``partitions`` before
+    parsing, by default as many as a shuffle has.
     """
     lines = read_lines(spark, paths)
+    named = [paths] if isinstance(paths, str) else paths
+    if partitions is None and any(path.endswith(".gz") for path in named):
+        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if partitions:
         lines = lines.repartition(partitions)
-    return parse_gff3(lines, dropped_attribute)
+    return gff3_fields(lines, dropped_attribute)
+
+
+def read_gff3(spark, paths, partitions=None, dropped_attribute="AdditionalSources"):
+    """Features of plain or gzipped GFF3 files."""
+    return with_attributes(read_gff3_fields(spark, paths, partitions, dropped_attribute))
 
 
 def parse_biggenepred(lines):
