@@ -16,8 +16,14 @@ REPORT = "# Sequence-Name\tRole\tGenBank-Accn\tRefSeq-Accn\tSequence-Length\tUCS
 GFF = "1\ts\tgene\t1\t500\t.\t+\t.\tID=g;Name=G\n1\ts\tmRNA\t1\t500\t.\t+\t.\tID=t;Parent=g\n1\ts\texon\t11\t60\t.\t+\t.\tParent=t\n1\ts\texon\t101\t160\t.\t+\t.\tParent=t\n9\ts\tgene\t1\t50\t.\t-\t.\tID=h\n9\ts\texon\t1\t50\t.\t-\t.\tParent=h\n"
 
 
-@pytest.fixture
-def sheet(spark, write):
+@pytest.fixture(scope="module")
+def sheet(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("inputs")
+
+    def write(name, text):
+        (folder / name).write_text(text)
+        return str(folder / name)
+
     bed = write("one bed.bed", "1\t0\t10\ta\nchr1\t990\t1001\tb\nM\t1\t2\tc\nnope\t1\t2\td\n")
     bed2 = write("two.bed", "chr2\t3\t4\n1\t3\t4\n")
     graph = write("x.bedgraph", "track\n1\t0\t10\t1\n1\t5\t20\t2\n1\t20\t20\t3\n2\t0\t5\t1\n")
@@ -32,7 +38,7 @@ def sheet(spark, write):
     return tables.read_samplesheet(spark, path)
 
 
-@pytest.fixture
+@pytest.fixture(scope="module")
 def sizes(spark, sheet):
     table = spark.createDataFrame([("gB", "2", 50), ("gB", "chr1", 9), ("gA", "ignored", 1)], "genome string, name string, size bigint")
     fasta = spark.createDataFrame([("gB", "zz", 1), ("gC", "c", 3)], "genome string, name string, size bigint")
@@ -140,6 +146,16 @@ def test_chrom_sizes_sink(spark, sizes, tmp_path):
         sinks.write_chrom_sizes(sizes.limit(0), str(tmp_path / "none"))
 
 
+def test_track_files_of_a_samplesheet(sheet):
+    files = jobs.track_files(sheet)
+    assert rows(files, "run", "track_type", "path") == [
+        ("r1", "bigbed", "r1.bb"), ("r2", "bigbed", "r2.bb"), ("r3", "bigwig", "r3.bw"), ("r4", "bigbed", "r4.bb"),
+        ("r5", "bigwig", "/d/r5_x.bw"),
+    ]
+    catalog = jobs.catalog_job(files, "lab")
+    assert rows(catalog.filter("run = 'r2'").select("hub", "params.name")) == [("lab_gB", "lab_gB_r2")]
+
+
 def test_publish(spark, sheet, tmp_path):
     files = sheet.filter("file_type = 'bigwig'").withColumnRenamed("file_type", "track_type")
     out = str(tmp_path / "hubs")

@@ -6,6 +6,7 @@ from ..functions.names import chrize
 from ..functions.values import number
 from ..sources.tables import LENGTH_COLUMN, NAME_COLUMNS
 from .lookup import lookup_join
+from .scratch import land
 
 # Sources of chromosome sizes, best first.
 SIZE_SOURCES = ["report", "ucsc", "fasta"]
@@ -101,7 +102,7 @@ def chrom_sizes_from_reports(report, seqids, force_ucsc=True, on="genome"):
     A row whose chosen name is missing falls back to its sequence name; a report
     without a usable header is read by position. The first row of a name wins.
     """
-    chosen = choose_name_column(report, seqids, force_ucsc, on)
+    chosen = land(choose_name_column(report, seqids, force_ucsc, on))  # one row per genome
     rows = lookup_join(report.filter(F.size("fields") >= 2), chosen, [on], "left")
 
     fields = F.col("fields")

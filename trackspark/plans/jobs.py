@@ -111,7 +111,8 @@ def sizes_job(spark, sheet, tables=None, sequences=None, force_ucsc=True):
     """Chromosome sizes of every genome of a samplesheet: (genome, name, size).
 
     A genome with an assembly report uses it; others take their rows from
-    ``tables`` (genome, name, size), and failing that from ``sequences``.
+    ``tables`` (genome, name, size), and failing that from ``sequences``. The result
+    is landed, since every track of the run is matched against it.
     """
     with_report, _ = SZ.split_size_sources(sheet)
     reports = with_report.select("genome", clean_path("assembly_report").alias("path"))
@@ -129,7 +130,7 @@ def sizes_job(spark, sheet, tables=None, sequences=None, force_ucsc=True):
         raise ValueError("no source of chromosome sizes")
     every = C.union_tracks(*frames)
     best = SZ.pick_sizes_source(every.select("genome", "source").distinct())
-    return lookup_join(every, best, ["genome", "source"], "left_semi").drop("source")
+    return land(lookup_join(every, best, ["genome", "source"], "left_semi").drop("source"))
 
 
 def _seqids(spark, sheet, with_report):
@@ -142,6 +143,31 @@ def _seqids(spark, sheet, with_report):
     return SZ.gff_seqids(lookup_join(records.read_gff3(spark, paths), chosen, ["path"], "inner"))
 
 
+# What each file type becomes, and the extension of a converted file.
+TRACK_TYPES = {"bed": "bigbed", "bedgraph": "bigwig", "bigbed": "bigbed", "bigwig": "bigwig", "gff3": "bigbed"}
+CONVERTED = {"bed": ".bb", "bedgraph": ".bw", "gff3": ".bb"}
+
+
+def track_files(sheet):
+    """The tracks a samplesheet leads to: (path, track_type) with its other columns.
+
+    A converted file is named after its run; one that is already in its final form
+    is taken as it is. Rows of an unknown type lead to none.
+    """
+    kind = F.col("file_type")
+    track_type, extension = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for known, becomes in TRACK_TYPES.items():
+        track_type = F.when(kind == known, becomes).otherwise(track_type)
+    for known, ending in CONVERTED.items():
+        extension = F.when(kind == known, ending).otherwise(extension)
+    return (
+        sheet.withColumnRenamed("path", "source_path")
+        .withColumn("track_type", track_type)
+        .withColumn("path", F.coalesce(F.concat("run", extension), "source_path"))
+        .filter("track_type is not null")
+    )
+
+
 def catalog_job(files, hub_name=None, metadata=None, sample_pattern=None, annotation_pattern=None, ensembl=False):
     """Track files (path, track_type, genome, hub) to catalog rows with display parameters."""
     tracks = C.with_track_fields(C.with_hub_key(files, hub_name), sample_pattern, annotation_pattern)
