@@ -19,7 +19,7 @@ from .registry import query
 
 
 def _folder(spark):
-    return f"{scratch_dir(spark)}/query-{uuid.uuid4().hex}"
+    return f"{scratch_dir(spark)}/{spark.sparkContext.applicationId}/query-{uuid.uuid4().hex}"
 
 
 @query("interval_sink", f"""

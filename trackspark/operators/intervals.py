@@ -57,7 +57,7 @@ def sort_intervals(df):
     )
 
 
-def find_overlaps(df, keys=("track", "chrom"), width=TILE_WIDTH):
+def find_overlaps(df, keys=("genome", "path", "chrom"), width=TILE_WIDTH):
     """Records that start before an earlier record of the same track and contig ends.
 
     Records are ordered by start, end and then their other columns. Equal records
@@ -96,7 +96,7 @@ def find_overlaps(df, keys=("track", "chrom"), width=TILE_WIDTH):
     )
 
 
-def coverage_depth(df, keys=("track", "chrom"), width=TILE_WIDTH):
+def coverage_depth(df, keys=("genome", "path", "chrom"), width=TILE_WIDTH):
     """Maximal runs of equal, non-zero depth: (keys, start, end, depth)."""
     keys = list(keys)
     edges = F.array(
@@ -122,7 +122,7 @@ def coverage_depth(df, keys=("track", "chrom"), width=TILE_WIDTH):
     )
 
 
-def summarise_coverage(df, reductions, keys=("track", "chrom"), width=TILE_WIDTH):
+def summarise_coverage(df, reductions, keys=("genome", "path", "chrom"), width=TILE_WIDTH):
     """Depth of coverage summarised per bin, at each reduction."""
     depth = coverage_depth(df, keys, width).withColumnRenamed("depth", "value")
     return summarise_signal(depth, reductions, keys)

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
 
-# Sketch size: every key holding over about 1/2800 of the rows is reported.
+# Sketch size: every key that holds over about 1/2000 of the rows is reported.
 HEAVY_KEYS = 1_000
 SKETCH_ITEMS = 10_000
 

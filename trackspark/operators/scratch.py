@@ -20,9 +20,10 @@ def scratch_dir(spark):
 def land(df):
     """Write ``df`` as Parquet under the scratch folder and read it back.
 
-    Cuts the lineage, survives the loss of executors and is computed once.
+    Cuts the lineage, survives the loss of executors and is computed once. The
+    tables of a run are under its application id and may be deleted after it.
     """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/landed-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/{spark.sparkContext.applicationId}/landed-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

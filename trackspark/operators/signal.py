@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 STRETCH_BINS = 4096
 
-def bin_signal(df, width, keys=("track", "chrom")):
+def bin_signal(df, width, keys=("genome", "path", "chrom")):
     """Covered bases, sum, sum of squares, minimum and maximum per bin of ``width``.
 
     Values are weighted by the bases they cover in the bin. Each span yields one
@@ -34,7 +34,7 @@ def bin_signal(df, width, keys=("track", "chrom")):
     )
 
 
-def summarise_signal(df, reductions, keys=("track", "chrom")):
+def summarise_signal(df, reductions, keys=("genome", "path", "chrom")):
     """Summaries at each reduction (bin width); all must be multiples of the finest.
 
     Spans are cut into bins once, at the finest reduction. Its bins are then
