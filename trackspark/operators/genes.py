@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions import gff as G
 from ..schemas import BIG_GENE_PRED
-from .lookup import heavy_keys, lookup_join
+from .lookup import heavy_keys, lookup_join, split_join
 from .tiles import TILE_WIDTH, running_before
 
 PIECES = ["exon", "CDS"]
@@ -45,8 +45,8 @@ def feature_nodes(gff, keys=("genome", "path")):
     return features.groupBy(*keys, "id").agg(F.min("node").alias("node"))
 
 
-def _with_hierarchy(rows, nodes, keys):
-    """Add the transcript and the gene of each row, by its ``transcript_id``."""
+def _named_transcripts(nodes, keys):
+    """Transcripts with the names of their genes: (keys, transcript_id, names)."""
     keys = list(keys)
     transcripts = nodes.select(
         *keys,
@@ -62,15 +62,15 @@ def _with_hierarchy(rows, nodes, keys):
         F.col("node.name").alias("gene_name"),
         F.coalesce("node.biotype", "node.type").alias("gene_type"),
     )
-    # Names meet their genes before the rows do. Neither side is known to be small:
-    # adaptive execution broadcasts by measured size and splits skewed partitions.
-    named = transcripts.join(genes, [*keys, "gene_id"], "left")
-    return rows.join(named, [*keys, "transcript_id"], "left")
+    # Neither side is known to be small: adaptive execution broadcasts by measured
+    # size and splits skewed partitions.
+    return transcripts.join(genes, [*keys, "gene_id"], "left")
 
 
 def feature_tree(gff, keys=("genome", "path")):
     """Each exon and CDS with its transcript and gene; columns are null where a parent is missing."""
-    return _with_hierarchy(pieces_of(gff, keys), feature_nodes(gff, keys), keys)
+    named = _named_transcripts(feature_nodes(gff, keys), keys)
+    return split_join(pieces_of(gff, keys), named, [*keys, "transcript_id"])
 
 
 def gene_models(gff, keys=("genome", "path"), wide_pieces=WIDE_PIECES):
@@ -80,7 +80,10 @@ def gene_models(gff, keys=("genome", "path"), wide_pieces=WIDE_PIECES):
     ``transcripts_of`` for the rules.
     """
     transcripts = transcripts_of(pieces_of(gff, keys), keys, wide_pieces)
-    named = _with_hierarchy(transcripts, feature_nodes(gff, keys), keys)
+    # Pieces are already one row per transcript here, so no key of this join is heavy.
+    named = transcripts.join(
+        _named_transcripts(feature_nodes(gff, keys), keys), [*keys, "transcript_id"], "left"
+    )
     reason = F.when(F.col("transcript_type").isNull(), "missing_parent").otherwise(F.col("reason"))
     tagged = named.withColumn("reason", reason)
     models = tagged.filter("reason is null").select(

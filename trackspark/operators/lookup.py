@@ -66,10 +66,12 @@ def lookup_join(left, right, on, how="left", max_rows=BROADCAST_ROWS,
     """
     if fits_broadcast(right, max_rows, max_bytes, measured):
         return left.join(F.broadcast(right), on, how)
-    return _split_join(left, right, on, how, max_rows, max_bytes, min_heavy_rows)
+    return split_join(left, right, on, how, max_rows, max_bytes, min_heavy_rows)
 
 
-def _split_join(left, right, on, how, max_rows, max_bytes, min_heavy_rows):
+def split_join(left, right, on, how="left", max_rows=BROADCAST_ROWS,
+               max_bytes=BROADCAST_BYTES, min_heavy_rows=1_000_000):
+    """Join two large sides on ``on``; keys that are heavy in ``left`` are joined apart."""
     heavy = heavy_keys(left, on, min_heavy_rows)
     if not heavy:
         return left.join(right, on, how)
