@@ -166,16 +166,18 @@ def gff_lines(spark, sf_dir):
 REPORT_HEADER = "# Sequence-Name\tAssigned-Molecule\tGenBank-Accn\tRefSeq-Accn\tSequence-Length\tUCSC-style-name"
 
 
+# A nation's suppliers in thousands: the number of reports grows with the data, their length does not.
+REPORT_GENOME = "'n' || s_nationkey || '_' || (s_suppkey div 1000)"
+
+
 def report_lines(spark, sf_dir):
-    """Assembly reports: nations are genomes, suppliers their contigs; nation 3 has no header."""
-    nation = table(spark, sf_dir, "nation")
+    """Assembly reports with suppliers as contigs; those of nation 3 have no header."""
     supplier = table(spark, sf_dir, "supplier")
-    genome = "'n' || {0}"
-    heads = nation.filter("n_nationkey <> 3").select(
-        F.expr(genome.format("n_nationkey")).alias("genome"), F.lit(REPORT_HEADER).alias("value"), F.lit(0).alias("line")
-    )
+    heads = supplier.filter("s_nationkey <> 3").select(
+        F.expr(REPORT_GENOME).alias("genome"), F.lit(REPORT_HEADER).alias("value"), F.lit(0).alias("line")
+    ).distinct()
     body = supplier.select(
-        F.expr(genome.format("s_nationkey")).alias("genome"),
+        F.expr(REPORT_GENOME).alias("genome"),
         F.concat_ws(
             "\t",
             F.expr("cast(s_suppkey % 400 as string)"),
@@ -196,7 +198,7 @@ def report_seqids(spark, sf_dir):
     supplier = table(spark, sf_dir, "supplier").filter("s_nationkey % 6 <> 5")
     used = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("s_suppkey")).distinct()
     return supplier.join(used, "s_suppkey", "left_semi").select(
-        F.expr("'n' || s_nationkey").alias("genome"),
+        F.expr(REPORT_GENOME).alias("genome"),
         F.expr(
             "case s_nationkey % 4 when 0 then 'chr' || (s_suppkey % 400) when 1 then cast(s_suppkey % 400 as string) "
             "when 2 then 'NC_' || s_suppkey else 'CM' || s_suppkey end"
@@ -206,7 +208,8 @@ def report_seqids(spark, sf_dir):
 
 REPORTS = """
 body as (
-  select 'n' || cast(s_nationkey as varchar(4)) as genome, s_suppkey as line, s_nationkey,
+  select 'n' || cast(s_nationkey as varchar) || '_' || cast(s_suppkey // 1000 as varchar) as genome,
+         s_suppkey as line, s_nationkey,
          cast(s_suppkey % 400 as varchar(8)) as seq_name, 'CM' || cast(s_suppkey as varchar(12)) as genbank,
          case when s_suppkey % 5 = 0 then 'na' else 'NC_' || cast(s_suppkey as varchar(12)) end as refseq,
          case when s_suppkey % 11 = 0 then 'x' else cast(1000 + s_suppkey as varchar(12)) end as len,
@@ -214,7 +217,7 @@ body as (
               else 'chr' || cast(s_suppkey % 400 as varchar(8)) end as ucsc
   from supplier),
 seqids as (
-  select distinct 'n' || cast(s_nationkey as varchar(4)) as genome,
+  select distinct 'n' || cast(s_nationkey as varchar) || '_' || cast(s_suppkey // 1000 as varchar) as genome,
          case s_nationkey % 4 when 0 then 'chr' || cast(s_suppkey % 400 as varchar(8))
               when 1 then cast(s_suppkey % 400 as varchar(8))
               when 2 then 'NC_' || cast(s_suppkey as varchar(12)) else 'CM' || cast(s_suppkey as varchar(12)) end as seqid

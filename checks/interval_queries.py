@@ -43,6 +43,46 @@ def contig_harmonise(spark, sf_dir):
     return harmonised.groupBy("source_chrom", "chrom", "contig_size").agg(F.count("*").alias("records"))
 
 
+@query("contig_harmonise_by_genome", f"""
+with {I.INTERVALS},
+rows as (select 'a' || cast(span_start % 5 as varchar(2)) as assembly, chrom, signal from intervals),
+names as (
+  select 'a' || cast(n_regionkey as varchar(2)) as assembly, case when n_nationkey % 2 = 0 then 'chr' else '' end ||
+         case n_nationkey when 0 then 'M' when 1 then 'MT' when 2 then 'MT' when 3 then 'M'
+              else cast(n_nationkey as varchar(4)) end as name
+  from nation),
+spelled as (
+  select *, case when chrom in ('M', 'MT') then 'chrM' else 'chr' || chrom end as with_chr,
+         case when chrom in ('chrM', 'chrMT') then 'MT' when chrom like 'chr%' then substr(chrom, 4) end as without_chr
+  from rows),
+matched as (
+  select s.assembly, s.chrom as source_chrom, signal, coalesce(a.name, b.name, c.name) as contig
+  from spelled s
+  left join names a on a.assembly = s.assembly and a.name = s.chrom
+  left join names b on b.assembly = s.assembly and b.name = s.with_chr
+  left join names c on c.assembly = s.assembly and c.name = s.without_chr)
+select assembly, source_chrom, coalesce(contig, source_chrom) as chrom, contig is not null as known,
+       count(*) as records, cast(sum(signal) as bigint) as signal
+from matched group by all
+""")
+def contig_harmonise_by_genome(spark, sf_dir):
+    rows = I.intervals(spark, sf_dir).select(
+        F.expr("'a' || (start % 5)").alias("assembly"), "chrom", F.col("chrom").alias("source_chrom"), "value"
+    )
+    sizes = I.table(spark, sf_dir, "nation").select(
+        F.expr("'a' || n_regionkey").alias("assembly"),
+        F.expr(
+            "case when n_nationkey % 2 = 0 then 'chr' else '' end || case n_nationkey when 0 then 'M' when 1 then 'MT' "
+            "when 2 then 'MT' when 3 then 'M' else cast(n_nationkey as string) end"
+        ).alias("name"),
+        F.lit(1).cast("bigint").alias("size"),
+    )
+    harmonised = contigs.harmonise_contigs(rows, sizes, on="assembly")
+    return harmonised.groupBy("assembly", "source_chrom", "chrom", "known").agg(
+        F.count("*").alias("records"), F.sum("value").alias("signal")
+    )
+
+
 @query("contig_drop_missing", f"""
 with {I.HARMONISED}
 select chrom, span_start as start_pos, span_end as end_pos, signal from harmonised where known

@@ -142,3 +142,89 @@ def catalog_publish(spark, sf_dir):
     return spark.read.parquet(path).groupBy("hub", "genome", "track_type").agg(
         F.count("*").alias("tracks"), F.min("path").alias("first_path")
     )
+
+
+@query("bedgraph_files_job", f"""
+with {I.CLEAN}
+select chrom, span_start as start_pos, span_end as end_pos, signal, count(*) as records from clean group by all
+""")
+def bedgraph_files_job(spark, sf_dir):
+    path = _folder(spark)
+    I.intervals(spark, sf_dir).select(
+        F.concat_ws("\t", "chrom", F.col("start").cast("string"), F.col("end").cast("string"),
+                    F.col("value").cast("string"))
+    ).write.option("compression", "gzip").text(path)
+    sheet = tables.list_track_files(spark, path, glob="*.txt.gz").select(
+        F.lit("r").alias("run"), F.lit("bedgraph").alias("file_type"), "path", F.lit("asm").alias("genome")
+    )
+    clean = jobs.bedgraph_job(spark, sheet, I.sizes(spark, sf_dir)).clean
+    return clean.groupBy(
+        "chrom", F.col("start").alias("start_pos"), F.col("end").alias("end_pos"),
+        F.col("value").cast("bigint").alias("signal"),
+    ).agg(F.count("*").alias("records"))
+
+
+@query("gff3_files_job", f"""
+with {ASSEMBLED}, {I.SIZES}
+select s.name as chrom, a.tx_start, a.tx_end, coalesce(transcript_name, transcript_id) as name, gene_id,
+       cast(exon_count as integer) as blocks, count(*) as models
+from assembled a join sizes s on s.name = a.chrom or s.name = substr(a.chrom, 4)
+where reason is null and tx_end <= s.size group by all
+""")
+def gff3_files_job(spark, sf_dir):
+    path = _folder(spark)
+    I.gff_lines(spark, sf_dir).select("value").write.text(path)
+    sheet = tables.list_track_files(spark, path, glob="*.txt").select(
+        F.lit("r").alias("run"), F.lit("gff3").alias("file_type"), "path", F.lit("asm").alias("genome")
+    )
+    clean = jobs.gff3_job(spark, sheet, I.sizes(spark, sf_dir), keys=("genome", "run")).track.clean
+    return clean.groupBy(
+        "chrom", F.col("chromStart").alias("tx_start"), F.col("chromEnd").alias("tx_end"), "name",
+        F.col("geneName2").alias("gene_id"), F.col("blockCount").alias("blocks"),
+    ).agg(F.count("*").alias("models"))
+
+
+@query("sizes_files_job", f"""
+with {I.REPORTS},
+picked as (
+  select b.genome, b.line, c.chosen, b.len,
+         case c.chosen when 'ucsc-style-name' then coalesce(nullif(b.ucsc, 'na'), b.seq_name)
+                       when 'refseq-accn' then coalesce(nullif(b.refseq, 'na'), b.seq_name)
+                       when 'genbank-accn' then b.genbank else b.seq_name end as raw
+  from body b left join choice c on c.genome = b.genome where b.s_nationkey % 7 <> 0),
+named as (
+  select genome, line, cast(len as bigint) as size,
+         case when chosen = 'ucsc-style-name' then raw when regexp_full_match(raw, '[0-9]+') then 'chr' || raw
+              else raw end as name
+  from picked where regexp_full_match(len, '[0-9]+')),
+reported as (select genome, name, arg_min(size, line) as size from named group by genome, name),
+listed as (select distinct genome, 'only_' || genome as name, cast(7 as bigint) as size from body)
+select * from reported
+union all select * from listed where genome not in (select genome from reported)
+""")
+def sizes_files_job(spark, sf_dir):
+    path = _folder(spark)
+
+    def by_genome(lines, name):
+        """One text file per genome, its lines in order; a genome has at most 1,000 suppliers."""
+        placed = lines.repartition("genome").sortWithinPartitions("genome", "line").select("genome", "value")
+        placed.write.partitionBy("genome").text(f"{path}/{name}")
+        files = tables.list_track_files(spark, f"{path}/{name}", glob="*.txt")
+        return files.select(F.regexp_extract("path", "genome=([^/]+)/", 1).alias("genome"), F.col("path").alias(name))
+
+    without = "cast(regexp_extract(genome, '^n([0-9]+)_', 1) as int) % 7 = 0"
+    reports = by_genome(I.report_lines(spark, sf_dir).filter(f"not ({without})"), "report")
+    features = I.report_seqids(spark, sf_dir).select(
+        "genome", F.concat("seqid", F.lit("\ts\tgene\t1\t9\t.\t+\t.\tID=x")).alias("value"), F.lit(0).alias("line")
+    )
+    annotations = by_genome(features, "gff")
+    listed = I.table(spark, sf_dir, "supplier").select(
+        F.expr(I.REPORT_GENOME).alias("genome"), F.concat(F.lit("only_"), F.expr(I.REPORT_GENOME)).alias("name"),
+        F.lit(7).cast("bigint").alias("size"),
+    ).distinct()
+    sheet = listed.join(reports, "genome", "left").join(annotations, "genome", "left").select(
+        F.col("name").alias("run"), F.lit("gff3").alias("file_type"), F.coalesce("gff", F.lit("")).alias("path"),
+        "genome", F.coalesce("report", F.lit("")).alias("assembly_report"),
+    )
+    sheet = land(sheet)  # a samplesheet is a file that each step reads
+    return jobs.sizes_job(spark, sheet, tables=listed)

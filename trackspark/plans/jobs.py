@@ -83,15 +83,19 @@ class Genes(NamedTuple):
     bad_models: DataFrame
 
 
-def gff3_job(spark, sheet, sizes, on_missing="drop", partitions=None):
-    """GFF3 files of a samplesheet to bigGenePred rows on known contigs."""
+def gff3_job(spark, sheet, sizes, on_missing="drop", partitions=None, keys=("genome", "run", "path")):
+    """GFF3 files of a samplesheet to bigGenePred rows on known contigs.
+
+    Features are linked within ``keys``: within a file, or with ``("genome", "run")``
+    over all the files of a run.
+    """
     paths = _paths(sheet, "gff3")
     if not paths:
         return None
     C.attach_sizes(sheet.filter("file_type = 'gff3'"), sizes)
     # Text is parsed once; the models go over the features several times.
     fields = land(attach_track(records.read_gff3_fields(spark, paths, partitions), sheet))
-    return gene_rows(records.with_attributes(fields), sizes, on_missing, keys=("genome", "run", "path"))
+    return gene_rows(records.with_attributes(fields), sizes, on_missing, keys)
 
 
 def gene_rows(features, sizes, on_missing="drop", keys=("genome", "path"), on="genome"):
