@@ -81,6 +81,12 @@ def test_split_join_equals_a_plain_join(spark):
 def test_heavy_keys_are_found(spark):
     df = spark.range(9000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
     assert len(lookup.heavy_keys(df, ["k"], 1000)) == 1
+    assert lookup.oversized_groups(df, ["k"], 3000) is None  # it has exactly 3000
+    assert rows(lookup.oversized_groups(df, ["k"], 2999)) == [(-1,)]
+    # too many groups over the limit for the sketch to name them all
+    many = spark.range(20_000).select((F.col("id") % 1500).alias("k"))
+    assert lookup.oversized_groups(many, ["k"], 5).count() == 1500
+    assert lookup.oversized_groups(many, ["k"], 13).count() == 500
 
 
 def test_broadcast_limit_counts_bytes(spark):

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions import gff as G
 from ..schemas import BIG_GENE_PRED
-from .lookup import heavy_keys, lookup_join, split_join
+from .lookup import lookup_join, oversized_groups, split_join
 from .tiles import TILE_WIDTH, running_before
 
 PIECES = ["exon", "CDS"]
@@ -123,21 +123,12 @@ def transcripts_of(pieces, keys=("genome", "path"), wide_pieces=WIDE_PIECES):
     comes as several parts of consecutive exons, all with its name.
     """
     group = [*keys, "transcript_id"]
-    wide = _wide(pieces, group, wide_pieces)
-    if not wide:
+    wide = oversized_groups(pieces, group, wide_pieces)
+    if wide is None:
         return _gathered(pieces, group)
-    is_wide = F.xxhash64(*group).isin(wide)
-    return _gathered(pieces.filter(~is_wide), group).unionByName(_in_parts(pieces.filter(is_wide), group))
-
-
-def _wide(pieces, group, limit):
-    """Hashes of the transcripts with more than ``limit`` pieces, found by sketch and then counted."""
-    found = heavy_keys(pieces, group, limit)
-    if not found:
-        return []
-    key = F.xxhash64(*group)
-    counted = pieces.filter(key.isin(found)).groupBy(key.alias("key")).count().filter(F.col("count") > limit)
-    return [row["key"] for row in counted.collect()]  # at most one row per sketch entry
+    narrow_pieces = lookup_join(pieces, wide, group, "left_anti")
+    wide_pieces = lookup_join(pieces, wide, group, "left_semi")
+    return _gathered(narrow_pieces, group).unionByName(_in_parts(wide_pieces, group))
 
 
 def _faults(mixed_contig, mixed_strand, bad_span, overlapping, cds_outside):

@@ -115,8 +115,8 @@ def sizes_job(spark, sheet, tables=None, sequences=None, force_ucsc=True):
     """Chromosome sizes of every genome of a samplesheet: (genome, name, size).
 
     A genome with an assembly report uses it; others take their rows from
-    ``tables`` (genome, name, size), and failing that from ``sequences``. The result
-    is landed, since every track of the run is matched against it.
+    ``tables`` (genome, name, size), and failing that from ``sequences``. They
+    are landed, since every track of the run is matched against them.
     """
     with_report, _ = SZ.split_size_sources(sheet)
     reports = with_report.select("genome", clean_path("assembly_report").alias("path"))
@@ -132,9 +132,9 @@ def sizes_job(spark, sheet, tables=None, sequences=None, force_ucsc=True):
             frames.append(rows.select("genome", "name", "size", F.lit(source).alias("source")))
     if not frames:
         raise ValueError("no source of chromosome sizes")
-    every = C.union_tracks(*frames)
+    every = land(C.union_tracks(*frames))
     best = SZ.pick_sizes_source(every.select("genome", "source").distinct())
-    return land(lookup_join(every, best, ["genome", "source"], "left_semi").drop("source"))
+    return lookup_join(every, best, ["genome", "source"], "left_semi").drop("source")
 
 
 def _seqids(spark, sheet, with_report):
