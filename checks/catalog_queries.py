@@ -225,7 +225,7 @@ select run, hub_key as hub, replace(replace(hub_key, ' ', '_'), '-', '_') || '_'
        case when m.k % 3 = 0 then 'off' when track_type = 'bigwig' then 'on' end as auto_scale,
        case when track_type = 'bigwig' then 'on' end as always_zero,
        {shown if ensembl else "cast(null as varchar)"} as format,
-       {parent} as parent, {parent} as composite
+       {parent} as composite
 from labelled l left join sheet_rows m using (sample_id)
 """
 
@@ -241,7 +241,7 @@ def _params(spark, sf_dir, ensembl):
         params["tracktype"].alias("tracktype"), params["short_label"].alias("short_label"),
         params["long_label"].alias("long_label"), params["color"].alias("color"), params["priority"].alias("priority"),
         params["autoScale"].alias("auto_scale"), params["alwaysZero"].alias("always_zero"),
-        params["format"].alias("format"), params["parent"].alias("parent"), "composite",
+        params["format"].alias("format"), "composite",
     )
 
 

@@ -44,7 +44,7 @@ def test_catalog_rows(spark, files):
     assert wig["params"]["long_label"] == "my hub - "
     assert wig["params"]["priority"] == "1" and wig["params"]["color"] == "0,0,100"
     bed = got["S1_orf.final.bb"]
-    assert bed["annotation_type"] == "orf" and "alwaysZero" not in bed["params"]
+    assert bed["annotation_type"] == "orf" and "alwaysZero" not in bed["params"] and "format" not in bed["params"]
     two = got["S2_x.bb"]
     assert (two["hub"], two["params"]["name"]) == ("lab_hg38", "lab_hg38_S2_x")
     assert (two["params"]["color"], two["params"]["visibility"], two["params"]["priority"]) == ("9,9,9", "hide", "4")
@@ -56,7 +56,7 @@ def test_catalog_rows(spark, files):
 def test_ensembl_mode_has_formats_and_no_composite(spark, files):
     got = by_path(jobs.catalog_job(files, None, ensembl=True))
     assert got["S3.bw"]["composite"] is None and got["S3.bw"]["hub"] == "mm10"
-    assert got["S3.bw"]["params"]["format"] == "bigWig" and "parent" not in got["S3.bw"]["params"]
+    assert got["S3.bw"]["params"]["format"] == got["S3.bw"]["params"]["type"] == "bigWig"
 
 
 def test_no_prefix_uses_the_track_type(files):

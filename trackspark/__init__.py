@@ -1,0 +1 @@
+"""Genome-browser track data as PySpark DataFrame jobs."""

@@ -134,8 +134,6 @@ def track_params(tracks, hub_prefix=None, ensembl=False):
         "color": F.coalesce(F.nullif(F.col("color"), F.lit("")), _by_type(DEFAULT_COLORS, "0,100,0")),
         "priority": F.col("priority"),
     }
-    if not ensembl:
-        entries["parent"] = _by_type(COMPOSITES)
     for key, value in BIGWIG_DEFAULTS.items():
         entries[key] = _by_type({"bigwig": value})
     if ensembl:
