@@ -148,8 +148,8 @@ def pattern_ids(spark, sf_dir):
     return tracks.select("p_partkey", "sample_id", "annotation_type")
 
 
-def _metadata(spark, sf_dir):
-    return metadata_rows(I.table(spark, sf_dir, "customer").select(
+def metadata_sheet(spark, sf_dir):
+    return I.table(spark, sf_dir, "customer").select(
         (F.col("c_custkey") % 120).cast("string").alias("sample_id"),
         F.col("c_name").alias("short_label"),
         F.expr("case when c_custkey % 4 = 0 then '' else c_mktsegment end").alias("long_label"),
@@ -161,7 +161,11 @@ def _metadata(spark, sf_dir):
             "when 1 then '{bad' else '' end"
         ).alias("additional_params"),
         F.col("c_custkey").alias("row_order"),
-    ))
+    )
+
+
+def _metadata(spark, sf_dir):
+    return metadata_rows(metadata_sheet(spark, sf_dir))
 
 
 METADATA = """

@@ -102,6 +102,16 @@ def contig_missing_audit(spark, sf_dir):
     return contigs.missing_contigs(I.intervals(spark, sf_dir), I.sizes(spark, sf_dir))
 
 
+@query("contig_first_missing", f"""
+with {I.HARMONISED}
+select genome, chrom, count(*) as records from harmonised where not known group by genome, chrom
+order by genome, chrom limit 5
+""")
+def contig_first_missing(spark, sf_dir):
+    harmonised = contigs.harmonise_contigs(I.intervals(spark, sf_dir), I.sizes(spark, sf_dir))
+    return contigs.first_missing(harmonised, shown=5)
+
+
 @query("bounds_check", f"""
 with {I.HARMONISED}
 select chrom, case when span_end > contig_size then 'end_past_contig' else 'ok' end as outcome, count(*) as records

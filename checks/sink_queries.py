@@ -12,7 +12,7 @@ from trackspark.sinks import tracks as sinks
 from trackspark.sources import fasta, records, tables
 
 from . import inputs as I
-from .catalog_queries import HUBS
+from .catalog_queries import HUBS, METADATA, metadata_sheet
 from .gene_queries import ASSEMBLED, KEYS
 from .interval_queries import _bins
 from .registry import query
@@ -121,6 +121,23 @@ def samplesheet_file(spark, sf_dir):
     return sheet.select("run", "file_type", "path", "genome", F.nullif("hub", F.lit("")).alias("hub"))
 
 
+@query("sample_metadata_file", f"""
+with {METADATA}
+select sample_id, short_label, long_label, color, visibility, priority,
+       case when k % 3 = 0 then cast(k as varchar) end as height
+from sheet_rows
+""")
+def sample_metadata_file(spark, sf_dir):
+    # Part files follow one another in name order, and so do the rows.
+    path = _folder(spark)
+    placed = metadata_sheet(spark, sf_dir).repartitionByRange("row_order").sortWithinPartitions("row_order")
+    placed.drop("row_order").write.option("header", "true").option("escape", '"').csv(path)
+    return tables.read_sample_metadata(spark, path).select(
+        "sample_id", "short_label", "long_label", "color", "visibility", "priority",
+        F.col("additional_params")["height"].alias("height"),
+    )
+
+
 @query("track_files", f"""
 with {I.TRACKS}
 select run, genome, case when file_type in ('bigwig') then 'bigwig' else 'bigbed' end as track_type,

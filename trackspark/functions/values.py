@@ -9,7 +9,10 @@ def _col(value):
 
 def whitespace_fields(line):
     """Fields separated by runs of blanks and tabs; leading and trailing ones are dropped."""
-    return F.split(F.btrim(_col(line), F.lit(" \t\r")), "[ \t]+")
+    text = F.btrim(_col(line), F.lit(" \t\r"))
+    # Most lines hold single tabs only, which need no pattern matching.
+    single_tabs = ~(text.contains(" ") | text.contains("\t\t"))
+    return F.when(single_tabs, F.split(text, "\t")).otherwise(F.split(text, "[ \t]+"))
 
 
 def tab_fields(line):

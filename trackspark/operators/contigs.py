@@ -19,6 +19,9 @@ from .lookup import BROADCAST_BYTES, BROADCAST_ROWS, lookup_join, measure
 MITO_BARE = ["M", "MT"]
 MITO_PREFIXED = ["chrM", "chrMT"]
 
+# Fixed value: missing contigs named in a message.
+SHOWN = 50
+
 
 class MissingContigsError(ValueError):
     """Raised in error mode when records lie on contigs the assembly does not list."""
@@ -94,13 +97,18 @@ def audit_missing(harmonised, on="genome"):
     return harmonised.filter(~F.col("known")).groupBy(*keys).agg(F.count("*").alias("records"))
 
 
-def resolve_missing(harmonised, on_missing="drop", on="genome", shown=50):
+def first_missing(harmonised, on="genome", shown=SHOWN):
+    """The first missing contigs by name, as many as a message shows."""
+    keys = ([on] if on else []) + ["chrom"]
+    return audit_missing(harmonised, on).orderBy(*keys).limit(shown)
+
+
+def resolve_missing(harmonised, on_missing="drop", on="genome", shown=SHOWN):
     """Apply the missing-contig mode: ``drop`` the records or raise an ``error``."""
     if on_missing not in ("drop", "error"):
         raise ValueError(f"on_missing must be 'drop' or 'error', not {on_missing!r}")
     if on_missing == "error":
-        audit = audit_missing(harmonised, on)
-        listed = audit.orderBy(*[c for c in audit.columns if c != "records"]).limit(shown).collect()
+        listed = first_missing(harmonised, on, shown).collect()
         if listed:
             names = ", ".join("/".join(str(row[c]) for c in row.__fields__[:-1]) for row in listed)
             raise MissingContigsError(f"contigs absent from the chromosome sizes: {names}")

@@ -8,7 +8,7 @@ from ..schemas import BED_TAIL, BIG_GENE_PRED
 from .text import read_lines
 
 # A bedGraph line that starts with one of these is a header.
-BEDGRAPH_HEADER = "^(track|browser|#)"
+BEDGRAPH_HEADERS = ["track", "browser", "#"]
 
 
 def _others(lines):
@@ -50,8 +50,11 @@ def read_bed(spark, paths, sep="whitespace"):
 def parse_bedgraph(lines):
     """(chrom, start, end, value) from a ``value`` column of text; header lines are left out."""
     fields = F.col("_fields")
+    is_header = F.lit(False)
+    for prefix in BEDGRAPH_HEADERS:
+        is_header = is_header | F.col("value").startswith(prefix)
     return (
-        lines.filter(~F.col("value").rlike(BEDGRAPH_HEADER))
+        lines.filter(~is_header)
         .withColumn("_fields", V.whitespace_fields("value"))
         .select(
             *_others(lines),
