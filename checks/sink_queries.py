@@ -5,7 +5,6 @@ import uuid
 from pyspark.sql import functions as F
 
 from trackspark.functions import values as V
-from trackspark.operators import genes
 from trackspark.operators.scratch import land, scratch_dir
 from trackspark.plans import jobs
 from trackspark.sinks import tracks as sinks
