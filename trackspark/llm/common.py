@@ -6,10 +6,10 @@ from ..operators.lookup import fits_broadcast
 from ..operators.scratch import land
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-SPACED_WORD = r"[^\x20\x09-\x0D]+"
-ALNUM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+SPACES = r"[\x20\x09-\x0D]+"
+MARKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # what separates words of letters and digits, once in lower case
 
-__all__ = ["ALNUM_WORD", "SPACED_WORD", "ascii_lower", "keyed_join", "land", "let", "read_table", "text_key", "word_count"]
+__all__ = ["MARKS", "SPACES", "ascii_lower", "keyed_join", "land", "let", "read_table", "split_words", "text_key", "word_count"]
 
 
 def read_table(spark, sf_dir, name):
@@ -35,9 +35,17 @@ def let(value, use):
     return F.get(F.transform(F.array(value), use), 0)
 
 
+def split_words(text, separators):
+    """The words of ``text`` between ``separators``; none for null.
+
+    Splitting reads a text once; ``regexp_extract_all`` and ``regexp_count`` copy it for every match.
+    """
+    return F.coalesce(F.array_remove(F.split(text, separators, -1), ""), F.array().cast("array<string>"))
+
+
 def word_count(text):
     """Number of words between ASCII white space; 0 for null."""
-    return F.coalesce(F.regexp_count(text, F.lit(SPACED_WORD)), F.lit(0)).cast("long")
+    return F.size(split_words(text, SPACES)).cast("long")
 
 
 def text_key(text):

@@ -16,7 +16,7 @@ repeated doc_ids each get a row of their own. Empty tables give no hits, or no r
 
 from pyspark.sql import functions as F
 
-from .common import ALNUM_WORD, ascii_lower, keyed_join, land, let, text_key
+from .common import MARKS, ascii_lower, keyed_join, land, let, split_words, text_key
 
 WINDOW = 10
 GRAM = 5
@@ -24,7 +24,7 @@ GRAM = 5
 
 def words_of(text):
     """The words of a text in ASCII lower case; none for null."""
-    return F.coalesce(F.regexp_extract_all(ascii_lower(text), F.lit(ALNUM_WORD), F.lit(0)), F.array().cast("array<string>"))
+    return split_words(ascii_lower(text), MARKS)
 
 
 def _starts(array, span):
@@ -85,15 +85,30 @@ def _item_windows(items, window, gram):
     return windows.filter(F.col("len") == F.least("_n", F.lit(window))).drop("_n", "start"), lengths
 
 
+def _read_once(documents, prints, window, gram, lengths):
+    """(key, n_words, print): one row per row of ``documents`` with print null, and one per shared hash.
+
+    The only pass over all texts. The row without a hash carries the word count.
+    """
+    def rows(words):
+        return F.struct(F.size(words).alias("n_words"), F.concat(
+            F.array(F.lit(None).cast("bigint")), _prints(words, window, gram, lengths)).alias("prints"))
+
+    read = documents.select(text_key(F.col("text")).alias("key"), let(words_of(F.col("text")), rows).alias("_read"))
+    found = read.select("key", F.col("_read.n_words").alias("n_words"), F.explode("_read.prints").alias("print"))
+    marked = keyed_join(found, prints.withColumn("shared", F.lit(True)), ["print"])
+    return marked.filter(F.col("print").isNull() | F.col("shared")).drop("shared")
+
+
 def benchmark_hits(documents, items, window=WINDOW, gram=GRAM):
-    """(key, n_hit, item_ids): texts that hold a window of an item, with their hit words and items."""
+    """Two tables by text key: (key, n_words) of all texts, and (key, n_hit, item_ids) of those with hits."""
     item_windows, lengths = _item_windows(items, window, gram)
     item_windows = land(item_windows)
-    prints = item_windows.select("print").distinct()
-    texts = documents.filter(F.col("text").isNotNull()).select(text_key(F.col("text")).alias("key"), "text")
-    prints_of = let(words_of(F.col("text")), lambda w: _prints(w, window, gram, lengths))
-    shared = keyed_join(texts.select("key", F.explode(prints_of).alias("print")), prints, ["print"], "inner")
-    shared = land(shared.groupBy("key").agg(F.collect_set("print").alias("wanted")))
+    read = land(_read_once(documents, item_windows.select("print").distinct(), window, gram, lengths))
+    sizes = read.filter(F.col("print").isNull()).groupBy("key").agg(F.max("n_words").alias("n_words"))
+    shared = land(read.filter(F.col("print").isNotNull()).groupBy("key").agg(F.collect_set("print").alias("wanted")))
+
+    texts = documents.select(text_key(F.col("text")).alias("key"), "text")
     suspects = keyed_join(texts, shared, ["key"], "inner").dropDuplicates(["key"])
     spans = suspects.select("key", F.inline(let(
         words_of(F.col("text")), lambda w: _all_spans(w, window, gram, lengths, F.col("wanted")))))
@@ -106,29 +121,24 @@ def benchmark_hits(documents, items, window=WINDOW, gram=GRAM):
     )
     hit_items = hits.select("key", F.col("item_id").cast("string").alias("item_id")).distinct().groupBy("key").agg(
         F.sort_array(F.collect_list("item_id")).alias("item_ids"))
-    return hit_words.join(hit_items, "key")
+    return sizes, hit_words.join(hit_items, "key")
 
 
 def contamination(documents, items, window=WINDOW, gram=GRAM):
     """``documents`` with n_words, n_hit, item_ids (sorted strings) and contaminated."""
-    hits = land(benchmark_hits(documents, items, window, gram)).withColumnsRenamed(
-        {"key": "_key", "n_hit": "_n_hit", "item_ids": "_item_ids"})
-    keyed = documents.withColumns({"_n_words": F.coalesce(F.regexp_count("text", F.lit(ALNUM_WORD_ANY)), F.lit(0)),
-                                   "_key": text_key(F.col("text"))})
-    joined = keyed_join(keyed, hits, ["_key"])
+    sizes, hits = benchmark_hits(documents, items, window, gram)
+    found = land(sizes.join(hits, "key", "left")).select(
+        F.col("key").alias("_key"), F.struct("n_words", "n_hit", "item_ids").alias("_found"))
+    joined = keyed_join(documents.withColumn("_key", text_key(F.col("text"))), found, ["_key"])
     return joined.select(
         *documents.columns,
-        F.col("_n_words").cast("long").alias("n_words"),
-        F.coalesce("_n_hit", F.lit(0)).cast("long").alias("n_hit"),
-        F.coalesce("_item_ids", F.array().cast("array<string>")).alias("item_ids"),
-        F.col("_n_hit").isNotNull().alias("contaminated"),
+        F.coalesce("_found.n_words", F.lit(0)).cast("long").alias("n_words"),
+        F.coalesce("_found.n_hit", F.lit(0)).cast("long").alias("n_hit"),
+        F.coalesce("_found.item_ids", F.array().cast("array<string>")).alias("item_ids"),
+        F.col("_found.n_hit").isNotNull().alias("contaminated"),
     )
 
 
-#: Words before lower-casing: A-Z count as letters.
-ALNUM_WORD_ANY = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-
-
 def op2_decontaminate(spark, sf_dir):
     from .common import read_table
 
