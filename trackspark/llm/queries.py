@@ -1,15 +1,19 @@
 """The queries of this subpackage by name, with SQL where SQL can express them."""
 
-from . import decontaminate, lines, mixing
+from . import decontaminate, lines, mixing, secrets, topk
 
 QUERIES = {
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op5_line_dedup": lines.op5_line_dedup,
     "op7_mix_sources": mixing.op7_mix_sources,
+    "op9_secret_scan": secrets.op9_secret_scan,
+    "op10_top_k": topk.op10_top_k,
 }
 
 ORACLES = {
     "op2_decontaminate": decontaminate.OP2_SQL,
     "op5_line_dedup": lines.OP5_SQL,
     "op7_mix_sources": mixing.OP7_SQL,
+    "op9_secret_scan": secrets.OP9_SQL,
+    "op10_top_k": topk.OP10_SQL,
 }
