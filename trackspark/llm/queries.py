@@ -1,11 +1,12 @@
 """The queries of this subpackage by name, with SQL where SQL can express them."""
 
-from . import decontaminate, lines, mixing, secrets, topk
+from . import decontaminate, language, lines, mixing, secrets, topk
 
 QUERIES = {
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op5_line_dedup": lines.op5_line_dedup,
     "op7_mix_sources": mixing.op7_mix_sources,
+    "op8_language_id": language.op8_language_id,
     "op9_secret_scan": secrets.op9_secret_scan,
     "op10_top_k": topk.op10_top_k,
 }

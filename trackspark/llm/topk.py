@@ -157,9 +157,9 @@ def op10_top_k(spark, sf_dir):
 
 OP10_SQL = """
 with v as (
-  select vec_id, list_transform(embedding, x -> floor(256 * x::double)::bigint) as v from embeddings
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings
   where vec_id is not null and embedding is not null
-    and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
 scored as (
   select q.vec_id as query_id, c.vec_id, list_inner_product(q.v::double[], c.v::double[])::bigint as score
   from v q, v c where q.vec_id % 50 = 0 and c.vec_id <> q.vec_id)
