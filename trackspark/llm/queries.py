@@ -1,8 +1,9 @@
 """The queries of this subpackage by name, with SQL where SQL can express them."""
 
-from . import decontaminate, language, lines, mixing, secrets, topk
+from . import decontaminate, language, lines, minhash, mixing, secrets, topk
 
 QUERIES = {
+    "op1_minhash_dedup": minhash.op1_minhash_dedup,
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op5_line_dedup": lines.op5_line_dedup,
     "op7_mix_sources": mixing.op7_mix_sources,
@@ -12,6 +13,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_minhash_dedup": minhash.OP1_SQL,
     "op2_decontaminate": decontaminate.OP2_SQL,
     "op5_line_dedup": lines.OP5_SQL,
     "op7_mix_sources": mixing.OP7_SQL,
