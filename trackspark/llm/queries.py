@@ -1,10 +1,11 @@
 """The queries of this subpackage by name, with SQL where SQL can express them."""
 
-from . import decontaminate, language, lines, minhash, mixing, secrets, topk
+from . import decontaminate, language, lines, minhash, mixing, secrets, suffixes, topk
 
 QUERIES = {
     "op1_minhash_dedup": minhash.op1_minhash_dedup,
     "op2_decontaminate": decontaminate.op2_decontaminate,
+    "op4_suffix_dedup": suffixes.op4_suffix_dedup,
     "op5_line_dedup": lines.op5_line_dedup,
     "op7_mix_sources": mixing.op7_mix_sources,
     "op8_language_id": language.op8_language_id,
