@@ -9,13 +9,18 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SPACES = r"[\x20\x09-\x0D]+"
 MARKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # what separates words of letters and digits, once in lower case
 
-__all__ = ["MARKS", "SPACES", "ascii_lower", "keyed_join", "land", "let", "read_table", "split_words", "text_key", "word_count"]
+__all__ = ["MARKS", "SPACES", "ascii_lower", "keyed_join", "land", "let", "others", "read_table", "split_words", "text_key", "word_count"]
 
 
 def read_table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def others(df, *results):
+    """The columns of ``df`` apart from those that a result replaces."""
+    return [c for c in df.columns if c.lower() not in results]
+
+
 def ascii_lower(text):
     """``text`` with A-Z, and only these, in lower case.
 

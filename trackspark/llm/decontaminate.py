@@ -11,12 +11,12 @@ they are, are taken without winnowing.
 
 Defined cases: a null text has no words; items without words match nothing. Items are told apart by
 item_id; a null item_id marks words as hit but is not counted or listed. Rows of equal text share one computation, so repeated rows and null or
-repeated doc_ids each get a row of their own. Empty tables give no hits, or no rows. Other columns are kept.
+repeated doc_ids each get a row of their own. Empty tables give no hits, or no rows. Other columns are kept; one that has the name of a result is replaced.
 """
 
 from pyspark.sql import functions as F
 
-from .common import MARKS, ascii_lower, keyed_join, land, let, split_words, text_key
+from .common import MARKS, ascii_lower, keyed_join, land, let, others, split_words, text_key
 
 WINDOW = 10
 GRAM = 5
@@ -131,7 +131,7 @@ def contamination(documents, items, window=WINDOW, gram=GRAM):
         F.col("key").alias("_key"), F.struct("n_words", "n_hit", "item_ids").alias("_found"))
     joined = keyed_join(documents.withColumn("_key", text_key(F.col("text"))), found, ["_key"])
     return joined.select(
-        *documents.columns,
+        *others(documents, "n_words", "n_hit", "item_ids", "contaminated"),
         F.coalesce("_found.n_words", F.lit(0)).cast("long").alias("n_words"),
         F.coalesce("_found.n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("_found.item_ids", F.array().cast("array<string>")).alias("item_ids"),

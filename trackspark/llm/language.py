@@ -12,7 +12,8 @@ come to the driver. Prediction reads the whole text and nothing else.
 
 Defined cases: a null text, and a text without a letter, is ``und`` with score 0; so is everything if no
 labelled row exists. Rows with a null id are not learned from and not held out. Ties go to the language first by
-code point. Repeated rows get equal results. An empty table gives no rows. Other columns are kept.
+code point. Repeated rows get equal results. An empty table gives no rows. Other
+columns are kept; one that has the name of a result is replaced.
 """
 
 import numpy as np
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.scratch import land
+from .common import others
 
 GRAMS = (2, 3, 4)
 DIMENSIONS = 1 << 15
@@ -145,6 +146,7 @@ def identify(documents, model):
     """``documents`` with lang_pred and score, from ``text`` alone."""
     spark = documents.sparkSession
     shared = spark.sparkContext.broadcast(model)
+    documents = documents.select(*others(documents, "lang_pred", "score"))
     schema = T.StructType([*documents.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def score(batches):

@@ -10,12 +10,13 @@ Texts of fewer than three lines have no window and stay.
 
 Defined cases: a null text stays null, with no lines; an empty text has one empty line. Null ids come
 last. Rows of equal id and text are one document and get equal results. A text that loses every line
-becomes empty, its row stays. An empty table gives no rows. Other columns are kept.
+becomes empty, its row stays. An empty table gives no rows. Other columns are
+kept; one that has the name of a result is replaced.
 """
 
 from pyspark.sql import functions as F
 
-from .common import keyed_join, land, let, text_key
+from .common import keyed_join, land, let, others, text_key
 
 WINDOW = 3
 
@@ -81,7 +82,7 @@ def dedup_lines(documents, size=WINDOW):
     if "n_chars" in documents.columns:
         out = out.withColumn("n_chars", F.when(F.col("_kept").isNull(), F.col("n_chars")).otherwise(
             F.length("text").cast(documents.schema["n_chars"].dataType)))
-    return out.select(*documents.columns, "n_lines", "n_removed")
+    return out.select(*others(documents, "n_lines", "n_removed"), "n_lines", "n_removed")
 
 
 def op5_line_dedup(spark, sf_dir):

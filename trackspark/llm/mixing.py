@@ -11,13 +11,14 @@ range counts its documents, and only these counts are summed along a source.
 Defined cases: a null text has size 0; null sources form one source, the last in order; null ids are
 one id. Rows of equal id, source and size are one document that is drawn once, and each of them gets
 its copies. A source without words has target 0 and gives no copies. An empty table gives no rows.
-Columns beyond doc_id, text and source are kept by ``mix_documents`` and never read.
+Columns beyond doc_id, text and source are kept by
+``mix_documents`` and never read; a column ``copy`` is replaced.
 """
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .common import keyed_join, land, word_count
+from .common import keyed_join, land, others, word_count
 
 WEIGHTS = (5, 2, 1)
 SHARE = (3, 2)  # the mix has 150% of all words, as a fraction of integers
@@ -98,7 +99,7 @@ def draw(documents, weights=WEIGHTS, share=SHARE, limit=LIMIT, seed=7, ranges=No
 
 def mix_documents(documents, **options):
     """The rows of ``documents`` as often as they are drawn, with a copy number from 1."""
-    kept = documents.withColumn("_size", word_count(F.col("text")))
+    kept = documents.select(*others(documents, "copy")).withColumn("_size", word_count(F.col("text")))
     drawn = (
         draw(documents, **options)
         .select("doc_id", "source", F.col("size").alias("_size"), F.col("copies").alias("_copies"))

@@ -1,10 +1,11 @@
 """The queries of this subpackage by name, with SQL where SQL can express them."""
 
-from . import decontaminate, language, lines, minhash, mixing, secrets, suffixes, topk
+from . import decontaminate, language, lines, minhash, mixing, secrets, suffixes, topk, warc
 
 QUERIES = {
     "op1_minhash_dedup": minhash.op1_minhash_dedup,
     "op2_decontaminate": decontaminate.op2_decontaminate,
+    "op3_warc_captures": warc.op3_warc_captures,
     "op4_suffix_dedup": suffixes.op4_suffix_dedup,
     "op5_line_dedup": lines.op5_line_dedup,
     "op7_mix_sources": mixing.op7_mix_sources,
@@ -16,6 +17,7 @@ QUERIES = {
 ORACLES = {
     "op1_minhash_dedup": minhash.OP1_SQL,
     "op2_decontaminate": decontaminate.OP2_SQL,
+    "op3_warc_captures": warc.OP3_SQL,
     "op5_line_dedup": lines.OP5_SQL,
     "op7_mix_sources": mixing.OP7_SQL,
     "op9_secret_scan": secrets.OP9_SQL,

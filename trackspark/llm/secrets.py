@@ -10,13 +10,14 @@ overlaps no base span. Copies of a text, and the rows of one owner, are counted
 so one text or value held by a third of all rows is one row per owner there.
 
 Defined cases: null and empty texts have no spans. Null owners count as one owner, null repositories as none. Repeated
-rows share one scan and each get a row. Empty tables give no rows. Other columns are not read.
+rows share one scan and each get a row. Empty tables give no rows. Other columns are
+kept; one that has the name of a result is replaced.
 """
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .common import keyed_join, land, text_key
+from .common import keyed_join, land, others, text_key
 
 # Kind, pattern, what of the match must reach which length. In the order in which kinds are listed.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -118,7 +119,7 @@ def summarise(documents, spans):
     found = per_text.select(F.col("key").alias("_key"), F.struct(*numbers, "base", "spans").alias("_found"))
     joined = keyed_join(documents.withColumn("_key", text_key(F.col("text"))), land(found), ["_key"])
     return joined.select(
-        *documents.columns, *(F.coalesce(f"_found.{n}", F.lit(0)).cast("long").alias(n) for n in numbers),
+        *others(documents, *numbers, "base", "spans"), *(F.coalesce(f"_found.{n}", F.lit(0)).cast("long").alias(n) for n in numbers),
         F.coalesce("_found.base", F.lit("")).alias("base"), F.coalesce("_found.spans", F.lit("")).alias("spans"))
 
 
