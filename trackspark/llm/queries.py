@@ -1,6 +1,6 @@
 """The queries of this subpackage by name, with SQL where SQL can express them."""
 
-from . import decontaminate, language, lines, minhash, mixing, secrets, suffixes, topk, warc
+from . import decontaminate, katz, language, lines, minhash, mixing, secrets, suffixes, topk, warc
 
 QUERIES = {
     "op1_minhash_dedup": minhash.op1_minhash_dedup,
@@ -8,6 +8,7 @@ QUERIES = {
     "op3_warc_captures": warc.op3_warc_captures,
     "op4_suffix_dedup": suffixes.op4_suffix_dedup,
     "op5_line_dedup": lines.op5_line_dedup,
+    "op6_katz_scores": katz.op6_katz_scores,
     "op7_mix_sources": mixing.op7_mix_sources,
     "op8_language_id": language.op8_language_id,
     "op9_secret_scan": secrets.op9_secret_scan,
