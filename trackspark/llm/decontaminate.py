@@ -69,9 +69,12 @@ def _spans(words, hashes, length, wanted=None):
 def _all_spans(words, window, gram, lengths, wanted=None):
     def of(h):
         parts = [let(_kept(h, window, gram), lambda m: _spans(words, m, window, wanted))]
-        parts += [let(_short(h, n), lambda m, n=n: _spans(words, m, n, wanted)) for n in lengths]
+        parts += [short(h, n) for n in lengths]
         return F.concat(*parts)
 
+    def short(h, n):
+        return let(_short(h, n), lambda m: _spans(words, m, n, wanted))
+
     return let(F.transform(words, lambda w: F.xxhash64(w)), of)
 
 
