@@ -6,11 +6,12 @@ row. Two sets of similarity 0.75 miss every band of 32 x 4 with probability 5e-6
 
 Within a bucket no pairs are listed. Each member is compared with one leader: first with minima (an
 estimate, cut 5 standard deviations below the threshold), then on the full sets, with integers. Confirmed links
-are joined to components. Where a bucket still holds several components, members outside the leader's are
-compared with another leader, and last, what is still apart in a bucket is compared whole: members are dealt into
-chunks of ``CHUNK``, those outside the largest-seen component visit every chunk of their bucket, and a task compares the
-minima of visitors and residents and confirms on full sets, joining as it goes, so it emits at most one link
-per member. So every pair that shares a bucket is either in one component or has been compared.
+are joined to components. A bucket that still holds several components is
+compared whole: members are dealt into chunks of ``CHUNK``, those outside the leader's component visit every chunk of
+their bucket, and a task compares the minima of visitors and residents. Members that are like none of another
+component, as most that met by a shared passage, are done; the others meet again with their full sets, and a task confirms and
+joins as it goes, so it emits at most one link per member. So every pair that shares a bucket is either in one component or has
+been compared. ``LEADER_ROUNDS`` over 1 tries further leaders first.
 
 Defined cases: a null text, or one without words, has an empty set and is linked with nothing. With fewer words
 than a shingle, all words are one shingle. Rows of one doc_id are one node; each row gets its own n_shingles. A row with
@@ -31,7 +32,7 @@ SHINGLE = 5
 HASHES = 128
 ROWS = 4
 PERCENT = 75
-LEADER_ROUNDS = 3
+LEADER_ROUNDS = 1
 CHUNK = 512
 
 _random = np.random.Generator(np.random.PCG64(19970714))
@@ -96,6 +97,24 @@ def _plausible(percent):
     return run
 
 
+def _likely_bucket(percent):
+    """The members of one chunk of a bucket whose minima agree with those of a member of another component."""
+    least = _least_equal(percent)
+
+    def run(key, pdf):
+        import pandas as pd
+
+        comp, away = pdf["comp"].to_numpy(), ~pdf["resident"].to_numpy()
+        minima = np.frombuffer(b"".join(pdf["minima"]), np.uint32).reshape(-1, HASHES)
+        home, alive = np.flatnonzero(~away), np.zeros(len(pdf), bool)
+        for i in np.flatnonzero(away):
+            near = home[((minima[home] == minima[i]).sum(1) >= least) & (comp[home] != comp[i])]
+            alive[near] = True
+            alive[i] |= len(near) > 0
+        return pd.DataFrame({"bucket": key[0], "rep": pdf["rep"][alive]})
+    return run
+
+
 def _compare_bucket(percent):
     """Links found among the residents and visitors of one chunk of a bucket, at most one per member joined."""
     least = _least_equal(percent)
@@ -185,8 +204,22 @@ def near_links(sketches, texts, percent=PERCENT, shingle=SHINGLE, rows=ROWS, chu
     apart = _unsettled(_with_components(members, links))
     if not apart.limit(1).count():
         return links
+    minima = sketches.select("rep", "minima")
+    met = _meetings(apart, chunk).join(minima, "rep").groupBy("bucket", "chunk", "part").applyInPandas(_likely_bucket(percent), "bucket long, rep long")
+    alive = land(apart.join(met.distinct(), ["bucket", "rep"], "left_semi").drop("n"))
+    if not alive.limit(1).count():
+        return links
+    alive = land(alive.join(alive.groupBy("bucket").agg(F.count("*").alias("n")), "bucket"))
+    sets = _sets_of(alive.select("rep").distinct(), sketches, texts, shingle)
+    rows_ = _meetings(alive, chunk).join(minima, "rep").join(sets, "rep")
+    more = rows_.groupBy("bucket", "chunk", "part").applyInPandas(_compare_bucket(percent), "u long, v long")
+    return land(links.unionByName(more.distinct()))
+
+
+def _meetings(apart, chunk):
+    """(bucket, chunk, part, rep, comp, resident): every member at home in one chunk of its bucket and, unless it is
+    of the leader's component, a visitor in all of them; visitors are dealt into parts likewise."""
     chunks = F.ceil(F.col("n") / chunk).cast("int")
-    sets = _sets_of(apart.select("rep").distinct(), sketches, texts, shingle)
     main = F.min(F.struct(F.col("rep") != F.col("leader"), "comp"))["comp"]
     known = apart.join(apart.groupBy("bucket").agg(main.alias("main")), "bucket").withColumn("visits", F.col("comp") != F.col("main"))
     guests = known.groupBy("bucket").agg(F.ceil(F.count_if("visits") / chunk).cast("int").alias("parts"))
@@ -196,10 +229,7 @@ def near_links(sketches, texts, percent=PERCENT, shingle=SHINGLE, rows=ROWS, chu
     homes = known.select("bucket", own("chunks").alias("chunk"), every("parts").alias("part"), "rep", "comp", F.lit(True).alias("resident"))
     visits = known.filter("visits").select(
         "bucket", every("chunks").alias("chunk"), own("parts").alias("part"), "rep", "comp", F.lit(False).alias("resident"))
-    rows_ = keyed_join(homes.unionByName(visits), sketches.select("rep", "minima"), ["rep"], "inner")
-    rows_ = keyed_join(rows_, sets, ["rep"], "inner")
-    more = rows_.groupBy("bucket", "chunk", "part").applyInPandas(_compare_bucket(percent), "u long, v long")
-    return land(links.unionByName(more.distinct()))
+    return homes.unionByName(visits)
 
 
 def _unsettled(members):
