@@ -32,9 +32,9 @@ from .tokens import _BASE, _INVERSE, _VALUES, _power, mix, text_bytes
 
 LENGTH = 400
 GRAM = 64
-MOST = 2_000  # contexts of one gram that are gathered in one bundle
-BUNDLE = 4 << 20  # bytes of contexts in a bundle, about
-PIECE = 4 << 20
+MOST = 1_000  # contexts of one gram that are gathered in one bundle
+BUNDLE = 1 << 20  # bytes of contexts in a bundle, about
+PIECE = 2 << 20
 _PLAIN = np.random.Generator(np.random.PCG64(4)).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
