@@ -50,39 +50,28 @@ def hub_keys(spark, sf_dir):
 
 @query("hub_groups", f"""
 with {HUBS}
-select hub_key as hub, genome, count(*) as tracks,
-       coalesce(string_agg(distinct path, ',' order by path) filter (where track_type = 'bigbed'), '') as bigbeds,
-       coalesce(string_agg(distinct path, ',' order by path) filter (where track_type = 'bigwig'), '') as bigwigs
-from tracks group by 1, 2
+select hub_key as hub, genome, track_type, path, count(*) as tracks
+from tracks where track_type in ('bigbed', 'bigwig') group by all
 """)
 def hub_groups(spark, sf_dir):
-    groups = C.group_hubs(_tracks(spark, sf_dir))
-    return groups.select(
-        "hub", "genome", "tracks", F.array_join("bigbeds", ",").alias("bigbeds"),
-        F.array_join("bigwigs", ",").alias("bigwigs"),
-    )
+    return C.group_hubs(_tracks(spark, sf_dir))
 
 
 @query("sample_groups", f"""
 with {HUBS}
-select split_part(split_part(path, '/', 3), '_', 1) as sample_id, count(*) as tracks,
-       string_agg(distinct path, ',' order by path) as paths
-from tracks group by 1
+select split_part(split_part(path, '/', 3), '_', 1) as sample_id, path, count(*) as tracks from tracks group by all
 """)
 def sample_groups(spark, sf_dir):
-    groups = C.group_tracks(C.with_track_fields(_tracks(spark, sf_dir)), "sample_id")
-    return groups.select("sample_id", "tracks", F.array_join("paths", ",").alias("paths"))
+    return C.group_tracks(C.with_track_fields(_tracks(spark, sf_dir)), "sample_id")
 
 
 @query("annotation_groups", f"""
 with {HUBS}
-select 'tool' || substr(path, strpos(path, '_tool') + 5, 1) as annotation_type, count(*) as tracks,
-       string_agg(distinct path, ',' order by path) as paths
-from tracks where track_type = 'bigbed' group by 1
+select 'tool' || substr(path, strpos(path, '_tool') + 5, 1) as annotation_type, path, count(*) as tracks
+from tracks where track_type = 'bigbed' group by all
 """)
 def annotation_groups(spark, sf_dir):
-    groups = C.group_tracks(C.with_track_fields(_tracks(spark, sf_dir)), "annotation_type")
-    return groups.select("annotation_type", "tracks", F.array_join("paths", ",").alias("paths"))
+    return C.group_tracks(C.with_track_fields(_tracks(spark, sf_dir)), "annotation_type")
 
 
 @query("track_counts", f"with {HUBS} select track_type, genome, count(*) as tracks from tracks group by 1, 2")

@@ -108,9 +108,9 @@ piece_rows as (
 
 NODES = """
 transcripts as (
-  select 't' || cast(o_orderkey as varchar(20)) as transcript_id, 'mRNA' as transcript_type,
+  select 't' || cast(o_orderkey as varchar(20)) || case when o_orderkey % 50 = 7 then '_lost' else '' end as transcript_id, 'mRNA' as transcript_type,
          o_orderpriority as transcript_name, 'g' || cast(o_custkey as varchar(20)) as gene_id
-  from orders where o_orderkey % 50 <> 7),
+  from orders),
 genes as (
   select 'g' || cast(c_custkey as varchar(20)) as gene_id, c_name as gene_name, c_mktsegment as gene_type
   from customer),
@@ -134,11 +134,11 @@ def gff_lines(spark, sf_dir):
             F.expr("'ID=g' || c_custkey || ';Name=' || replace(c_name, '#', '%23') || ';biotype=' || c_mktsegment"),
         )
     )
-    orders = table(spark, sf_dir, "orders").filter("o_orderkey % 50 <> 7").select(
+    orders = table(spark, sf_dir, "orders").select(
         _gff_line(
             F.expr("'chr' || (o_orderkey % 22 + 1)"), F.lit("mRNA"), F.lit(0), F.lit(9000), F.lit("+"), dot,
             F.expr(
-                "'ID=t' || o_orderkey || ';AdditionalSources=' || o_custkey || ';Parent=g' || o_custkey || "
+                "'ID=t' || o_orderkey || case when o_orderkey % 50 = 7 then '_lost' else '' end || ';AdditionalSources=' || o_custkey || ';Parent=g' || o_custkey || "
                 "';Name=' || replace(o_orderpriority, ' ', '%20')"
             ),
         )
@@ -148,8 +148,9 @@ def gff_lines(spark, sf_dir):
     second = F.expr("case when l_partkey % 401 = 0 then ',t' || (l_orderkey + 1) else '' end")
     parent = F.expr("'Parent=t' || l_orderkey")
     lineitem = table(spark, sf_dir, "lineitem")
-    exons = lineitem.filter("l_linenumber % 7 <> 6").select(
-        _gff_line(chrom, F.lit("exon"), start, end, strand, dot, F.concat(parent, second))
+    kind = F.expr("case when l_linenumber % 7 = 6 then 'match_part' else 'exon' end")
+    exons = lineitem.select(
+        _gff_line(chrom, kind, start, end, strand, dot, F.concat(parent, second))
     )
     cds = lineitem.filter("l_returnflag = 'N'").select(
         _gff_line(chrom, F.lit("CDS"), start + 1, end, strand, F.expr("cast(l_suppkey % 3 as string)"), parent)
@@ -195,10 +196,10 @@ def report_lines(spark, sf_dir):
 
 def report_seqids(spark, sf_dir):
     """(genome, seqid): sequence names used by the annotation of each genome, in a style of its own."""
-    supplier = table(spark, sf_dir, "supplier").filter("s_nationkey % 6 <> 5")
+    supplier = table(spark, sf_dir, "supplier")
     used = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("s_suppkey")).distinct()
     return supplier.join(used, "s_suppkey", "left_semi").select(
-        F.expr(REPORT_GENOME).alias("genome"),
+        F.expr(f"case when s_nationkey % 6 = 5 then 'other' else '' end || {REPORT_GENOME}").alias("genome"),
         F.expr(
             "case s_nationkey % 4 when 0 then 'chr' || (s_suppkey % 400) when 1 then cast(s_suppkey % 400 as string) "
             "when 2 then 'NC_' || s_suppkey else 'CM' || s_suppkey end"

@@ -77,15 +77,17 @@ def test_routing_keeps_every_row(spark):
 def test_hub_groups(files):
     tracks = catalog.with_hub_key(catalog.with_track_fields(files))
     assert rows(catalog.group_hubs(tracks)) == [
-        ("hg38", "hg38", 0, ["/d/S2_x.bb"], [], 1),
-        ("mm10", "mm10", 0, [], ["/d/S3.bw"], 1),
-        ("my hub", "hg38", 0, ["/d/S1_orf.final.bb"], ["/d/S1.sorted_macs.bw"], 2),
+        ("hg38", "hg38", "bigbed", "/d/S2_x.bb", 1),
+        ("mm10", "mm10", "bigwig", "/d/S3.bw", 1),
+        ("my hub", "hg38", "bigbed", "/d/S1_orf.final.bb", 1),
+        ("my hub", "hg38", "bigwig", "/d/S1.sorted_macs.bw", 1),
     ]
     by_sample = catalog.group_tracks(tracks)
-    assert rows(by_sample, "sample_id", "tracks") == [("S1", 2), ("S2", 1), ("S3", 1)]
+    assert rows(by_sample) == [
+        ("S1", "/d/S1.sorted_macs.bw", 1), ("S1", "/d/S1_orf.final.bb", 1), ("S2", "/d/S2_x.bb", 1), ("S3", "/d/S3.bw", 1)]
     blank = tracks.withColumn("annotation_type", F.when(F.col("annotation_type") == "x", "").otherwise(F.col("annotation_type")))
-    assert rows(catalog.group_tracks(blank, "annotation_type"), "annotation_type", "paths") == [
-        ("default", ["/d/S2_x.bb"]), ("orf", ["/d/S1_orf.final.bb"]),
+    assert rows(catalog.group_tracks(blank, "annotation_type"), "annotation_type", "path") == [
+        ("default", "/d/S2_x.bb"), ("orf", "/d/S1_orf.final.bb"),
     ]
 
 

@@ -171,3 +171,47 @@ def test_landed_tables_use_the_shared_folder(spark):
     assert scratch_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert landed.inputFiles()[0].split("://")[1].startswith(scratch_dir(spark))
     assert landed.count() == 5
+
+
+def test_no_record_is_lost_by_the_spelling_of_a_path(spark, tmp_path, monkeypatch):
+    """Relative, doubled slashes, a directory, and pattern characters in a name."""
+    (tmp_path / "d").mkdir()
+    for name in ("a.bed", "y[1].bed", "d/b.bed", "d/c.bed"):
+        (tmp_path / name).write_text("chr1\t0\t10\nchr1\tx\t10\nchr9\t0\t1\n")
+    names = [f"{tmp_path}//a.bed", f"{tmp_path}/y[1].bed", f"{tmp_path}/d", f"{tmp_path}/d/../a.bed"]
+    rows_ = [(f"r{i}", "bed", name, "gA", "", None) for i, name in enumerate(names)]
+    sheet = spark.createDataFrame(rows_, "run string, file_type string, path string, genome string, assembly_report string, hub string")
+    sizes = spark.createDataFrame([("gA", "chr1", 50)], "genome string, name string, size bigint")
+    track = jobs.bed_job(spark, sheet.filter("run != 'r3'"), sizes)
+    assert rows(track.clean.groupBy("run").count()) == [("r0", 1), ("r1", 1), ("r2", 2)]
+    assert rows(track.rejects.groupBy("run", "reject_reason").count()) == [
+        ("r0", "unreadable_position", 1), ("r1", "unreadable_position", 1), ("r2", "unreadable_position", 2)]
+    assert rows(track.missing) == [("gA", "chr9", 4)]
+    gone = sheet.limit(1).withColumn("path", F.lit(f"{tmp_path}/none.bed"))
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        jobs.bed_job(spark, gone, sizes)
+    with pytest.raises(UnmatchedGenomeError):
+        jobs.bed_job(spark, sheet, sizes.withColumn("genome", F.lit("other")))
+    assert jobs.bed_job(spark, sheet, sizes.withColumn("genome", F.lit("other")), on_unmatched="drop") is None
+
+
+def test_values_and_sizes_are_checked(spark, tmp_path):
+    (tmp_path / "s.sizes").write_text("chr1 1000\nchr2\tabc\n\n")
+    sizes = tables.read_chrom_sizes(spark, str(tmp_path / "s.sizes"), "gA")
+    assert rows(sizes) == [("gA", "chr1", 1000), ("gA", "chr2", None)]
+    signal = spark.createDataFrame(
+        [("gA", "chr1", 0, 5, 1.0), ("gA", "chr1", 5, 9, None), ("gA", "chr1", 9, 12, float("nan")), ("gA", "chr2", 0, 5, 1.0)],
+        "genome string, chrom string, start bigint, end bigint, value double")
+    track = jobs.clean_signal(signal, sizes)
+    assert track.clean.count() == 1
+    assert rows(track.rejects, "start", "reject_reason") == [
+        (0, "unknown_contig_size"), (5, "unreadable_value"), (9, "unreadable_value")]
+
+
+def test_directory_to_sheet(spark, tmp_path):
+    for name in ("S1_x.bw", "two.bed", "notes.md"):
+        (tmp_path / name).write_text("x")
+    sheet = jobs.directory_sheet(spark, str(tmp_path), "hg38", hub="lab")
+    assert rows(sheet, "file_type", "genome", "hub") == [("bed", "hg38", "lab"), ("bigwig", "hg38", "lab")]
+    catalog = jobs.catalog_job(jobs.track_files(sheet), ensembl=True)
+    assert {r["genome"] for r in catalog.select("genome").collect()} == {"GRCh38"}

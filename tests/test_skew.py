@@ -5,7 +5,7 @@ import random
 from conftest import rows
 from pyspark.sql import functions as F
 
-from trackspark.operators import genes, grouping, intervals, lookup, signal, tiles
+from trackspark.operators import catalog, genes, intervals, lookup, signal, tiles
 from trackspark.sinks.tracks import clustered
 
 
@@ -81,12 +81,6 @@ def test_split_join_equals_a_plain_join(spark):
 def test_heavy_keys_are_found(spark):
     df = spark.range(9000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
     assert len(lookup.heavy_keys(df, ["k"], 1000)) == 1
-    assert lookup.oversized_groups(df, ["k"], 3000) is None  # it has exactly 3000
-    assert rows(lookup.oversized_groups(df, ["k"], 2999)) == [(-1,)]
-    # too many groups over the limit for the sketch to name them all
-    many = spark.range(20_000).select((F.col("id") % 1500).alias("k"))
-    assert lookup.oversized_groups(many, ["k"], 5).count() == 1500
-    assert lookup.oversized_groups(many, ["k"], 13).count() == 500
 
 
 def test_broadcast_limit_counts_bytes(spark):
@@ -105,19 +99,15 @@ def test_copies_are_spread_over_output_ranges(spark):
     assert max(r["count"] for r in sizes) < 2500
 
 
-def test_large_groups_come_in_parts_and_whole(spark):
+def test_groups_are_rows_at_every_size(spark):
     df = spark.range(3000).select(
-        F.when(F.col("id") < 2000, "big").otherwise(F.concat(F.lit("s"), F.col("id") % 10)).alias("k"),
+        F.when(F.col("id") < 2000, "big").otherwise(F.concat(F.lit("s"), F.col("id") % 10)).alias("sample_id"),
         F.concat(F.lit("p"), F.col("id")).alias("path"),
     )
-    df = df.unionByName(df.filter("k = 's1'"))
-    lists = grouping.bounded_lists(df, "k", "path", list_size=200)
-    assert lists.filter("size(items) > 400").count() == 0
-    assert lists.filter("k != 'big' and part != 0").count() == 0
-    assert lists.filter("k = 'big'").count() > 5
-    items = lists.select("k", F.explode("items").alias("path"))
-    assert rows(items) == rows(df.distinct())
-    assert lists.agg(F.sum("rows")).first()[0] == df.count()
+    df = df.unionByName(df.filter("sample_id = 's1'"))
+    groups = catalog.group_tracks(df)
+    assert rows(groups, "sample_id", "path") == rows(df.distinct())
+    assert groups.agg(F.sum("tracks")).first()[0] == df.count()
 
 
 def test_summary_levels_agree(spark):
@@ -160,23 +150,24 @@ def model_features(spark, n_exons):
     )
 
 
-def test_wide_transcripts_come_in_parts_and_whole(spark):
-    pieces = model_features(spark, 60)
-    keys = ("genome",)
-    whole = genes.transcripts_of(pieces, keys, wide_pieces=10_000)
-    group = ["genome", "transcript_id"]
-    parts = genes._in_parts(pieces, group, width=512)
-    assert parts.filter("transcript_id = 'wide'").count() > 5
-    assert parts.filter("transcript_id = 'wide' and size(exon_starts) > 6").count() == 0
-
-    def exons(df):
-        zipped = F.arrays_zip("exon_starts", "exon_ends", "exon_frames")
-        return rows(df.filter("reason is null").select("transcript_id", "strand", F.inline(zipped)))
-
-    assert exons(parts) == exons(whole)
-    assert rows(parts.select("transcript_id", "reason").distinct()) == rows(whole.select("transcript_id", "reason"))
-    spans = parts.filter("transcript_id = 'wide' and cds_start < cds_end").agg(F.min("cds_start"), F.max("cds_end"))
-    assert rows(spans) == rows(whole.filter("transcript_id = 'wide'").select("cds_start", "cds_end"))
-    split = genes.transcripts_of(pieces, keys, wide_pieces=50)
-    assert split.filter("transcript_id = 'small'").count() == 1
-    assert exons(split) == exons(whole)
+def test_every_transcript_is_one_row(spark):
+    whole = genes.transcripts_of(model_features(spark, 3000), ("genome",))
+    assert rows(whole, "transcript_id", F.size("exon_starts"), "reason") == [
+        ("cdsonly", 3000, None), ("clash", 3000, "overlapping_exons"), ("small", 3, None), ("wide", 3000, None)]
+
+
+def test_a_coding_piece_frames_every_exon_it_overlaps(spark):
+    data = [("g", "t", "exon", "chr1", "+", 0, 50, None), ("g", "t", "exon", "chr1", "+", 100, 150, None),
+            ("g", "t", "CDS", "chr1", "+", 40, 120, 1)]
+    pieces = spark.createDataFrame(data, model_features(spark, 2).schema)
+    assert rows(genes.transcripts_of(pieces, ("genome",)), "exon_frames") == [([2, 2],)]
+
+
+def test_pieces_without_a_parent_are_rejected(spark):
+    gff = spark.createDataFrame(
+        [("g", "exon", None), ("g", "CDS", []), ("g", "gene", None)], "genome string, type string, parents array<string>"
+    ).selectExpr("*", "'chr1' chrom", "'+' strand", "0L start", "9L end", "0 phase", "cast(null as string) id",
+                 "cast(null as string) name", "cast(null as string) attributes")
+    assert rows(genes.orphan_pieces(gff, ("genome",))) == [("g", None, "missing_parent", 2)]
+
+

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from ..functions import names as N
 from ..functions.values import merge_maps
 from ..schemas import FILE_TYPES
-from .grouping import LIST_SIZE, bounded_lists
 from .lookup import lookup_join
 
 log = logging.getLogger(__name__)
@@ -155,29 +154,19 @@ def with_hub_key(rows, hub_name=None):
     return rows.withColumn("hub", F.coalesce(F.nullif(F.col("hub"), F.lit("")), fallback))
 
 
-def group_hubs(tracks, list_size=LIST_SIZE):
-    """bigBed and bigWig paths of each (hub, genome), in lists of bounded size."""
-    lists = bounded_lists(tracks, ["hub", "genome"], F.struct("track_type", "path"), list_size)
+def group_hubs(tracks):
+    """The distinct bigBed and bigWig paths of each (hub, genome), one row per path and type; ``tracks`` counts its rows."""
+    shown = tracks.filter(F.col("track_type").isin("bigbed", "bigwig"))
+    return track_counts(shown, "hub", "genome", "track_type", "path")
 
-    def paths(kind):
-        chosen = F.filter("items", lambda item: item["track_type"] == kind)
-        return F.transform(chosen, lambda item: item["path"])
 
-    return lists.select(
-        "hub", "genome", "part", paths("bigbed").alias("bigbeds"), paths("bigwig").alias("bigwigs"),
-        F.col("rows").alias("tracks"),
-    )
-
-
-def group_tracks(tracks, by="sample_id", list_size=LIST_SIZE):
-    """Paths of the tracks of each sample, or of the bigBed tracks of each annotation type."""
+def group_tracks(tracks, by="sample_id"):
+    """The distinct paths of each sample, or the bigBed paths of each annotation type, one row per path."""
     if by == "annotation_type":
         tracks = tracks.filter(F.col("track_type") == "bigbed").withColumn(
             by, F.coalesce(F.nullif(F.col(by), F.lit("")), F.lit("default"))
         )
-    return bounded_lists(tracks, by, "path", list_size).withColumnRenamed("items", "paths").withColumnRenamed(
-        "rows", "tracks"
-    )
+    return track_counts(tracks, by, "path")
 
 
 def track_counts(rows, *by):

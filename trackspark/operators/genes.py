@@ -4,14 +4,10 @@ from pyspark.sql import functions as F
 
 from ..functions import gff as G
 from ..schemas import BIG_GENE_PRED
-from .lookup import lookup_join, oversized_groups, split_join
-from .tiles import TILE_WIDTH, running_before
+from .lookup import lookup_join
 
 PIECES = ["exon", "CDS"]
 
-# A transcript with more pieces than this is put together in parts.
-WIDE_PIECES = 100_000
-
 
 def pieces_of(gff, keys=("genome", "path")):
     """Exon and CDS rows, one per parent: (keys, transcript_id, kind, chrom, strand, start, end, phase)."""
@@ -70,16 +66,23 @@ def _named_transcripts(nodes, keys):
 def feature_tree(gff, keys=("genome", "path")):
     """Each exon and CDS with its transcript and gene; columns are null where a parent is missing."""
     named = _named_transcripts(feature_nodes(gff, keys), keys)
-    return split_join(pieces_of(gff, keys), named, [*keys, "transcript_id"])
+    return lookup_join(pieces_of(gff, keys), named, [*keys, "transcript_id"])
+
 
+def orphan_pieces(gff, keys=("genome", "path")):
+    """Exon and CDS rows without a parent, counted: (keys, transcript_id, reason, pieces) with a null id."""
+    alone = gff.filter(F.col("type").isin(PIECES) & (F.coalesce(F.size("parents"), F.lit(0)) <= 0))
+    return alone.groupBy(*keys).agg(F.count("*").alias("pieces")).select(
+        *keys, F.lit(None).cast("string").alias("transcript_id"), F.lit("missing_parent").alias("reason"), "pieces")
 
-def gene_models(gff, keys=("genome", "path"), wide_pieces=WIDE_PIECES):
+
+def gene_models(gff, keys=("genome", "path")):
     """(models, rejects): one row per transcript with its exon arrays.
 
     Rejected transcripts carry a ``reason``; they never fail the job. See
-    ``transcripts_of`` for the rules.
+    ``transcripts_of`` for the rules. Pieces without any parent are rejected together, with a null id.
     """
-    transcripts = transcripts_of(pieces_of(gff, keys), keys, wide_pieces)
+    transcripts = transcripts_of(pieces_of(gff, keys), keys)
     # Pieces are already one row per transcript here, so no key of this join is heavy.
     named = transcripts.join(
         _named_transcripts(feature_nodes(gff, keys), keys), [*keys, "transcript_id"], "left"
@@ -104,31 +107,21 @@ def gene_models(gff, keys=("genome", "path"), wide_pieces=WIDE_PIECES):
         "gene_id",
         "gene_name",
         "gene_type",
-        "part",
     )
-    # A wide transcript has a row per part; it is rejected once.
-    rejects = tagged.filter("reason is not null").select(*keys, "transcript_id", "reason", "pieces").distinct()
-    return models, rejects
+    rejects = tagged.filter("reason is not null").select(*keys, "transcript_id", "reason", "pieces")
+    return models, rejects.unionByName(orphan_pieces(gff, keys))
 
 
-def transcripts_of(pieces, keys=("genome", "path"), wide_pieces=WIDE_PIECES):
-    """Transcripts from exon and CDS pieces, before they meet their names.
+def transcripts_of(pieces, keys=("genome", "path")):
+    """Transcripts from exon and CDS pieces, before they meet their names: one row each, at every size.
 
-    Equal pieces count once. Without exons the CDS pieces act as exons; without
+    Equal pieces count once, and are merged before the shuffle. Without exons the CDS pieces act as exons; without
     CDS the transcript is non-coding and its coding range is empty, at its end.
     ``reason`` is set for a transcript on several contigs or strands, with an
     empty or unreadable span, with overlapping exons, or with CDS beyond its exons.
-
-    A transcript of more than ``wide_pieces`` pieces is not gathered in one row: it
-    comes as several parts of consecutive exons, all with its name.
+    A transcript is one row of a BED12+8 table, exon lists included, so its pieces meet in one row.
     """
-    group = [*keys, "transcript_id"]
-    wide = oversized_groups(pieces, group, wide_pieces)
-    if wide is None:
-        return _gathered(pieces, group)
-    narrow_pieces = lookup_join(pieces, wide, group, "left_anti")
-    wide_pieces = lookup_join(pieces, wide, group, "left_semi")
-    return _gathered(narrow_pieces, group).unionByName(_in_parts(wide_pieces, group))
+    return _gathered(pieces, [*keys, "transcript_id"])
 
 
 def _faults(mixed_contig, mixed_strand, bad_span, overlapping, cds_outside):
@@ -193,7 +186,6 @@ def _gathered(pieces, group):
         "exon_starts",
         "exon_ends",
         G.exon_frames(F.col("exons"), F.col("cds")).alias("exon_frames"),
-        F.lit(0).cast("bigint").alias("part"),
         F.col("rows").alias("pieces"),
         _faults(
             F.col("chrom") != F.col("last_chrom"),
@@ -205,96 +197,6 @@ def _gathered(pieces, group):
     )
 
 
-def _in_parts(pieces, group, width=TILE_WIDTH):
-    """Wide transcripts, as parts of at most ``width`` exons; no transcript is gathered whole."""
-    whole = pieces.groupBy(*group).agg(
-        F.min("chrom").alias("chrom"),
-        F.max("chrom").alias("last_chrom"),
-        F.min("strand").alias("strand"),
-        F.max("strand").alias("last_strand"),
-        F.max(_bad_span()).alias("bad_span"),
-        F.count(F.when(F.col("kind") == "exon", 1)).alias("exon_rows"),
-        F.min(F.when(F.col("kind") == "CDS", F.col("start"))).alias("cds_start"),
-        F.max(F.when(F.col("kind") == "CDS", F.col("end"))).alias("cds_end"),
-        F.min(F.when(F.col("kind") == "exon", F.col("start"))).alias("exon_start"),
-        F.max(F.when(F.col("kind") == "exon", F.col("end"))).alias("exon_end"),
-        F.count("*").alias("pieces"),
-    )
-    whole = whole.withColumn("has_exons", F.col("exon_rows") > 0)
-    tagged = lookup_join(pieces, whole.select(*group, "has_exons"), group, "inner")
-    acts_as_exon = F.col("kind") == F.when(F.col("has_exons"), "exon").otherwise("CDS")
-    is_cds = F.col("kind") == "CDS"
-    # One row per start: the exon that begins there and the coding piece that begins there.
-    at = tagged.groupBy(*group, "start").agg(
-        F.min(F.when(acts_as_exon, F.col("end"))).alias("exon_end"),
-        F.max(F.when(acts_as_exon, F.col("end"))).alias("last_end"),
-        F.max(F.when(acts_as_exon, F.col("start"))).alias("exon_start"),
-        F.min(F.when(is_cds, F.struct("end", "phase"))).alias("cds"),
-    )
-    # The exon a coding piece lies in is the last one to start at or before it.
-    holder = running_before(at, group, "start", "exon_start", "max", width).select(
-        *group,
-        F.coalesce("exon_start", "before").alias("exon_start"),
-        F.when(F.col("cds").isNotNull(), F.struct("start", "cds.end", "cds.phase")).alias("cds"),
-        F.when(F.col("exon_start").isNotNull(), F.struct("exon_end", "last_end")).alias("exon"),
-    )
-    exons = (
-        holder.filter("exon_start is not null")
-        .groupBy(*group, "exon_start")
-        .agg(F.min("cds").alias("cds"), F.max("exon").alias("exon"))
-        .select(
-            *group,
-            F.col("exon_start").alias("start"),
-            F.col("exon.exon_end").alias("end"),
-            F.col("exon.last_end").alias("last_end"),
-            F.when(F.col("cds.start").isNull() | (F.col("cds.start") >= F.col("exon.exon_end")), F.lit(-1))
-            .otherwise(G.frame_of_phase(F.coalesce(F.col("cds.phase"), F.lit(0))))
-            .alias("frame"),
-        )
-    )
-    reach = running_before(exons, group, "start", "last_end", "max", width)
-    clash = F.coalesce((F.col("before") > F.col("start")) | (F.col("end") != F.col("last_end")), F.lit(False))
-    parts = (
-        reach.withColumn("part", F.expr(f"start div {width}"))
-        .groupBy(*group, "part")
-        .agg(
-            F.sort_array(F.collect_list(F.struct("start", "end", "frame"))).alias("exons"),
-            F.max(clash).alias("clash"),
-        )
-    )
-    clashes = parts.groupBy(*group).agg(F.max("clash").alias("overlapping"))
-    joined = lookup_join(parts, whole.join(clashes, group), group, "inner")
-    part_start = F.array_min("exon_starts")
-    part_end = F.array_max("exon_ends")
-    joined = joined.withColumn("exon_starts", F.transform("exons", lambda e: e["start"])).withColumn(
-        "exon_ends", F.transform("exons", lambda e: e["end"])
-    )
-    inside = (F.col("cds_start") < part_end) & (F.col("cds_end") > part_start)
-    tx_start = F.when(F.col("has_exons"), F.col("exon_start")).otherwise(F.col("cds_start"))
-    tx_end = F.when(F.col("has_exons"), F.col("exon_end")).otherwise(F.col("cds_end"))
-    return joined.select(
-        *group,
-        "chrom",
-        "strand",
-        part_start.alias("tx_start"),
-        part_end.alias("tx_end"),
-        F.when(inside, F.greatest("cds_start", part_start)).otherwise(part_end).alias("cds_start"),
-        F.when(inside, F.least("cds_end", part_end)).otherwise(part_end).alias("cds_end"),
-        "exon_starts",
-        "exon_ends",
-        F.transform("exons", lambda e: e["frame"]).alias("exon_frames"),
-        "part",
-        "pieces",
-        _faults(
-            F.col("chrom") != F.col("last_chrom"),
-            F.col("strand") != F.col("last_strand"),
-            F.col("bad_span"),
-            F.col("overlapping"),
-            (F.col("cds_start") < tx_start) | (F.col("cds_end") > tx_end),
-        ).alias("reason"),
-    )
-
-
 def to_biggenepred(models, extra=()):
     """Gene models as bigGenePred rows (BED12+8); block starts count from the start of the row."""
     coding = F.col("cds_start") < F.col("cds_end")

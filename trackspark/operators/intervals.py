@@ -11,17 +11,22 @@ from .tiles import TILE_WIDTH, running_before
 def check_bounds(harmonised, allow_empty=True):
     """Tag harmonised records with ``reject_reason`` (null for a good record).
 
-    ``allow_empty`` admits zero-length records, as BED does and bedGraph does not.
+    ``allow_empty`` admits zero-length records, as BED does and bedGraph does not. A contig whose size could not be read
+    cannot bound its records, so they are rejected; so are signal records, which
+    must not be empty, of a missing or NaN ``value``.
     """
     start, end, size = F.col("start"), F.col("end"), F.col("contig_size")
     backwards = end < start if allow_empty else end <= start
-    return harmonised.withColumn(
-        "reject_reason",
+    reason = (
         F.when(start.isNull() | end.isNull(), "unreadable_position")
         .when(start < 0, "negative_start")
         .when(backwards, "end_before_start")
-        .when(end > size, "end_past_contig"),
+        .when(size.isNull(), "unknown_contig_size")
+        .when(end > size, "end_past_contig")
     )
+    if not allow_empty and "value" in harmonised.columns:
+        reason = reason.when(F.col("value").isNull() | F.isnan("value"), "unreadable_value")
+    return harmonised.withColumn("reject_reason", reason)
 
 
 def validate_bounds(harmonised, allow_empty=True):

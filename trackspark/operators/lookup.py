@@ -9,15 +9,12 @@ task. Which keys count as heavy changes the plan only, never the result.
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .scratch import land
-
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
 
-# Sketch size: every key that holds over 1/SKETCH_SHARE of the rows is reported.
+# Sketch size of the search for heavy keys.
 HEAVY_KEYS = 1_000
 SKETCH_ITEMS = 10_000
-SKETCH_SHARE = 2_000
 
 
 def _row_bytes(schema):
@@ -66,22 +63,6 @@ def heavy_keys(df, on, min_rows):
     return [key for key, count in top_keys(df, on)[1].items() if count >= min_rows]
 
 
-def oversized_groups(df, on, limit):
-    """The groups of more than ``limit`` rows, exactly; None where there are none.
-
-    In most data the sketch alone shows that there are none. Otherwise the groups
-    are counted: only those the sketch names, if it is sure to name all of them.
-    """
-    rows, top = top_keys(df, on)
-    named = [key for key, count in top.items() if count >= limit]
-    sure = rows <= limit * SKETCH_SHARE and len(named) < HEAVY_KEYS
-    if sure and not named:
-        return None
-    counted = df.filter(F.xxhash64(*on).isin(named)) if sure else df
-    groups = land(counted.groupBy(*on).agg(F.count("*").alias("_n")).filter(F.col("_n") > limit).select(*on))
-    return groups if groups.limit(1).count() else None
-
-
 def lookup_join(left, right, on, how="left", max_rows=BROADCAST_ROWS,
                 max_bytes=BROADCAST_BYTES, min_heavy_rows=1_000_000, measured=None):
     """Join ``left`` to the lookup side ``right`` on the columns ``on``.

@@ -1,5 +1,6 @@
 """Intermediate results that are used twice are written once, to shared storage."""
 
+import re
 import tempfile
 import uuid
 
@@ -7,11 +8,13 @@ _fallback = {}
 
 
 def scratch_dir(spark):
-    """The shared folder named by ``spark.checkpoint.dir``; a local one where it is unset."""
+    """The shared folder named by ``spark.checkpoint.dir``; a local one where it is unset and all runs in one process."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    app = spark.sparkContext.applicationId
+    app, master = spark.sparkContext.applicationId, spark.sparkContext.master
+    if not re.fullmatch(r"local(\[[^]]*\])?", master):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all nodes of {master} share")
     if app not in _fallback:
         _fallback[app] = tempfile.mkdtemp(prefix="trackspark-")
     return _fallback[app]

@@ -5,6 +5,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.names import basename, ensembl_genome, file_type, run_name
 from ..operators import catalog as C
 from ..operators import genes as GN
 from ..operators import sizes as SZ
@@ -14,8 +15,10 @@ from ..operators.lookup import lookup_join
 from ..operators.scratch import land
 from ..sources import records
 from ..sources.logs import summarise_logs
-from ..sources.tables import read_assembly_report
-from ..sources.text import clean_path
+from ..sources.tables import list_track_files, read_assembly_report
+from ..sources.text import literal_path, resolve_files
+
+TRACK = ["run", "genome"]
 
 
 class Track(NamedTuple):
@@ -46,36 +49,50 @@ def clean_signal(rows, sizes, on_missing="drop", on="genome"):
     return _cleaned(rows, sizes, on_missing, False, on)
 
 
-def attach_track(rows, sheet):
-    """Give each record the run and genome of the file it was read from."""
-    tracks = sheet.select(clean_path("path").alias("path"), "run", "genome").distinct()
-    return lookup_join(rows, tracks, ["path"], "inner")
+def attach_files(rows, files, columns):
+    """Give each record the ``columns`` of the sheet row of its file; ``files`` comes from ``resolve_files``.
+
+    A record of a file that no sheet row names ends the job: none is left out.
+    """
+    known = files.select("path", *columns, F.lit(True).alias("_known")).distinct()
+    joined = lookup_join(rows, known, ["path"], "left")
+    stray = F.raise_error(F.concat(F.lit("no samplesheet row names the file "), F.col("path")))
+    return joined.withColumn("path", F.when(F.col("_known"), F.col("path")).otherwise(stray)).drop("_known")
 
 
-def _paths(sheet, kind):
-    """Paths of one file type; a samplesheet is small, and its paths are what the reader is given."""
-    return [row["path"] for row in sheet.filter(F.col("file_type") == kind).select("path").distinct().collect()]
+def _sheet_files(spark, sheet, kind, sizes, on_unmatched):
+    """(paths to read, their files with run and genome) of one file type; (None, None) where the sheet has none.
+
+    A samplesheet has one row per track file, so its paths fit in the driver.
+    """
+    chosen = sheet.filter(F.col("file_type") == kind)
+    if not chosen.limit(1).count():
+        return None, None
+    chosen = C.attach_sizes(chosen, sizes, on_unmatched=on_unmatched)
+    files = resolve_files(spark, chosen.select("path", "run", "genome"))
+    paths = [row["path"] for row in chosen.select("path").distinct().collect()]
+    return [literal_path(path) for path in paths], files
 
 
-def bed_job(spark, sheet, sizes, on_missing="drop", sep="whitespace"):
-    """BED files of a samplesheet to clean intervals. All files are read in one plan."""
-    paths = _paths(sheet, "bed")
+def bed_job(spark, sheet, sizes, on_missing="drop", sep="whitespace", on_unmatched="error"):
+    """BED files of a samplesheet to clean intervals. All files are read in one plan, once."""
+    paths, files = _sheet_files(spark, sheet, "bed", sizes, on_unmatched)
     if not paths:
         return None
-    C.attach_sizes(sheet.filter("file_type = 'bed'"), sizes)
-    return clean_intervals(attach_track(records.read_bed(spark, paths, sep), sheet), sizes, on_missing)
+    rows = land(attach_files(records.read_bed(spark, paths, sep), files, TRACK))
+    return clean_intervals(rows, sizes, on_missing)
 
 
-def bedgraph_job(spark, sheet, sizes, on_missing="drop"):
+def bedgraph_job(spark, sheet, sizes, on_missing="drop", on_unmatched="error"):
     """bedGraph files of a samplesheet to clean signal.
 
     ``write_signal`` sorts and summarises it and reports the records that overlap.
     """
-    paths = _paths(sheet, "bedgraph")
+    paths, files = _sheet_files(spark, sheet, "bedgraph", sizes, on_unmatched)
     if not paths:
         return None
-    C.attach_sizes(sheet.filter("file_type = 'bedgraph'"), sizes)
-    return clean_signal(attach_track(records.read_bedgraph(spark, paths), sheet), sizes, on_missing)
+    rows = land(attach_files(records.read_bedgraph(spark, paths), files, TRACK))
+    return clean_signal(rows, sizes, on_missing)
 
 
 class Genes(NamedTuple):
@@ -83,18 +100,19 @@ class Genes(NamedTuple):
     bad_models: DataFrame
 
 
-def gff3_job(spark, sheet, sizes, on_missing="drop", partitions=None, keys=("genome", "run", "path")):
+def gff3_job(
+    spark, sheet, sizes, on_missing="drop", partitions=None, keys=("genome", "run", "path"), on_unmatched="error"
+):
     """GFF3 files of a samplesheet to bigGenePred rows on known contigs.
 
     Features are linked within ``keys``: within a file, or with ``("genome", "run")``
     over all the files of a run.
     """
-    paths = _paths(sheet, "gff3")
+    paths, files = _sheet_files(spark, sheet, "gff3", sizes, on_unmatched)
     if not paths:
         return None
-    C.attach_sizes(sheet.filter("file_type = 'gff3'"), sizes)
     # Text is parsed once; the models go over the features several times.
-    fields = land(attach_track(records.read_gff3_fields(spark, paths, partitions), sheet))
+    fields = land(attach_files(records.read_gff3_fields(spark, paths, partitions), files, TRACK))
     return gene_rows(records.with_attributes(fields), sizes, on_missing, keys)
 
 
@@ -119,11 +137,13 @@ def sizes_job(spark, sheet, tables=None, sequences=None, force_ucsc=True):
     are landed, since every track of the run is matched against them.
     """
     with_report, _ = SZ.split_size_sources(sheet)
-    reports = with_report.select("genome", clean_path("assembly_report").alias("path"))
+    reports = with_report.select("genome", F.col("assembly_report").alias("path"))
     paths = [row["path"] for row in reports.select("path").distinct().collect()]
     frames = []
     if paths:
-        body = lookup_join(read_assembly_report(spark, paths), reports, ["path"], "inner").drop("path")
+        body = attach_files(
+            read_assembly_report(spark, [literal_path(p) for p in paths]), resolve_files(spark, reports), ["genome"]
+        ).drop("path")
         frames.append(SZ.chrom_sizes_from_reports(body, _seqids(spark, sheet, with_report), force_ucsc).select(
             "genome", "name", "size", F.lit("report").alias("source")
         ))
@@ -140,11 +160,12 @@ def sizes_job(spark, sheet, tables=None, sequences=None, force_ucsc=True):
 def _seqids(spark, sheet, with_report):
     """Sequence names of the representative annotation of each genome that has a report."""
     chosen = lookup_join(SZ.representative_gff(sheet), with_report.select("genome"), ["genome"], "left_semi")
-    chosen = chosen.filter("path != ''").select("genome", clean_path("path").alias("path"))
+    chosen = chosen.filter("path != ''").select("genome", "path")
     paths = [row["path"] for row in chosen.select("path").distinct().collect()]
     if not paths:
         return spark.createDataFrame([], "genome string, seqid string")
-    return SZ.gff_seqids(lookup_join(records.read_gff3(spark, paths), chosen, ["path"], "inner"))
+    lines = records.read_gff3(spark, [literal_path(p) for p in paths])
+    return SZ.gff_seqids(attach_files(lines, resolve_files(spark, chosen), ["genome"]))
 
 
 # What each file type becomes, and the extension of a converted file.
@@ -172,12 +193,26 @@ def track_files(sheet):
     )
 
 
+def directory_sheet(spark, roots, genome, glob=None, hub=None):
+    """Samplesheet rows of the track files under ``roots``: run and file type come from each file's name."""
+    files = list_track_files(spark, roots, glob).withColumn("_name", basename("path"))
+    return files.select(
+        run_name("_name").alias("run"), file_type("_name").alias("file_type"), "path",
+        F.lit(genome).alias("genome"), F.lit("").alias("assembly_report"), F.lit(hub).cast("string").alias("hub"),
+    ).filter("file_type != 'unknown'")
+
+
 def catalog_job(files, hub_name=None, metadata=None, sample_pattern=None, annotation_pattern=None, ensembl=False):
-    """Track files (path, track_type, genome, hub) to catalog rows with display parameters."""
+    """Track files (path, track_type, genome, hub) to catalog rows with display parameters.
+
+    Genomes get their Ensembl names with ``ensembl``. ``publish`` refuses two tracks of one name in a hub.
+    """
     tracks = C.with_track_fields(C.with_hub_key(files, hub_name), sample_pattern, annotation_pattern)
     if metadata is not None:
         tracks = C.apply_sample_metadata(tracks, metadata)
     tracks = C.track_params(tracks, hub_prefix="hub", ensembl=ensembl)
+    if ensembl:
+        tracks = tracks.withColumn("genome", ensembl_genome("genome"))
     return C.with_composite(tracks, ensembl)
 
 

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions.values import joined_list
+from ..operators.catalog import check_unique_names
 from ..operators.contigs import EmptySizesError
 from ..operators.intervals import find_overlaps, order_columns
 from ..operators.signal import summarise_signal
@@ -91,10 +92,12 @@ def write_chrom_sizes(sizes, path, mode="errorifexists"):
     rows.write.mode(mode).partitionBy("genome").option("sep", "\t").csv(path)
 
 
-def publish(catalog, path, mode="errorifexists"):
-    """Catalog rows, one folder per hub and genome.
+def publish(catalog, path, mode="errorifexists", unique_names=True):
+    """Catalog rows, one folder per hub and genome; two tracks of one name in a hub raise.
 
     Rebalancing splits a hub that holds many rows and merges the small ones.
     """
+    if unique_names and "params" in catalog.columns:
+        check_unique_names(catalog)
     spread = catalog.hint("rebalance", "hub", "genome")
     spread.write.mode(mode).partitionBy("hub", "genome").parquet(path)

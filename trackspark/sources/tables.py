@@ -6,10 +6,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ..functions.names import header_key
-from ..functions.values import json_map, tab_fields
+from ..functions.values import json_map, number, tab_fields, whitespace_fields
 from ..operators.dedupe import dedupe
 from ..operators.lookup import lookup_join
-from ..schemas import SIZES
 from .text import clean_path, read_ordered_lines
 
 log = logging.getLogger(__name__)
@@ -81,9 +80,13 @@ def read_sample_metadata(spark, path):
 
 
 def read_chrom_sizes(spark, path, genome=None):
-    """(genome, name, size) from a tab-separated file without a header."""
-    sizes = spark.read.csv(path, sep="\t", schema=SIZES)
-    return sizes.select(F.lit(genome).cast("string").alias("genome"), "name", "size")
+    """(genome, name, size) from the first two blank-separated fields of each line; a size that is no number is null."""
+    fields = whitespace_fields("value")
+    lines = spark.read.text(path).filter(F.btrim("value", F.lit(" \t\r")) != "")
+    return lines.select(
+        F.lit(genome).cast("string").alias("genome"), F.get(fields, F.lit(0)).alias("name"),
+        number(F.get(fields, F.lit(1))).alias("size"),
+    )
 
 
 def parse_assembly_report(lines, keys=("path",)):

@@ -1,5 +1,7 @@
 """Lines of text files, with their file and their order."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from ..functions.gff import percent_decode
@@ -13,6 +15,27 @@ def clean_path(path, encoded=False):
     return F.regexp_replace(path, "^file:/+", "/")
 
 
+def literal_path(path):
+    """A path with its pattern characters escaped: a samplesheet names files, not patterns."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
+def resolve_files(spark, rows):
+    """``rows`` with ``path`` as Spark spells the files there: one row per file of a directory.
+
+    Relative paths, doubled slashes and directories are resolved by the file system, so that records meet their rows
+    however a path was written. One row per track file: they fit in the driver. A path without a file raises.
+    """
+    found = []
+    for path in [row["path"] for row in rows.select("path").distinct().collect()]:
+        files = spark.read.format("text").load(literal_path(path)).inputFiles()
+        if not files:
+            raise FileNotFoundError(f"no files at {path}")
+        found += [(path, file) for file in files]
+    resolved = spark.createDataFrame(found, "path string, file string")
+    return rows.join(resolved, "path").withColumn("path", clean_path("file", encoded=True)).drop("file")
+
+
 def read_lines(spark, paths):
     """(path, value) for each line; order is not kept."""
     return spark.read.text(paths).select(clean_path("_metadata.file_path", encoded=True).alias("path"), "value")
