@@ -33,8 +33,8 @@ from .common import land, read_table
 from .tokens import word_hashes
 
 K = 5
-BLOCK = 16 << 20
-PART = 24 << 20  # bytes of text behind one partition of the tables
+BLOCK = 8 << 20
+PART = 12 << 20  # bytes of text behind one partition of the tables
 FOLDS = 10
 START, STOP = np.uint64(0x5354415254), np.uint64(0x53544F50)
 _MASK = np.uint64((1 << 48) - 1)
