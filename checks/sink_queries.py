@@ -2,6 +2,7 @@
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from trackspark.functions import values as V
@@ -9,6 +10,7 @@ from trackspark.operators.scratch import land, scratch_dir
 from trackspark.plans import jobs
 from trackspark.sinks import tracks as sinks
 from trackspark.sources import fasta, records, tables
+from trackspark.sources.text import literal_path
 
 from . import inputs as I
 from .catalog_queries import HUBS, METADATA, metadata_sheet
@@ -37,6 +39,29 @@ def interval_sink(spark, sf_dir):
     )
 
 
+@query("interval_sink_order", f"""
+with {I.CLEAN}
+select genome, count(*) as records, cast(0 as bigint) as out_of_order, cast(0 as bigint) as overlapping_files
+from clean group by genome
+""")
+def interval_sink_order(spark, sf_dir):
+    """Records that come before their predecessor in a file, and files that reach into one another."""
+    path = _folder(spark)
+    clean = jobs.clean_signal(I.intervals(spark, sf_dir), I.sizes(spark, sf_dir)).clean
+    sinks.write_intervals(clean, path)
+    key = F.struct("chrom", "start", "end", "value")
+    rows = spark.read.parquet(path).select(
+        "genome", key.alias("key"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    before = F.lag("key").over(Window.partitionBy("genome", "file").orderBy("row"))
+    files = rows.withColumn("before", before).groupBy("genome", "file").agg(
+        F.count("*").alias("n"), F.count_if(F.col("before") > F.col("key")).alias("wrong"),
+        F.min("key").alias("first"), F.max("key").alias("last"))
+    reach = F.max("last").over(Window.partitionBy("genome").orderBy("first", "last").rowsBetween(Window.unboundedPreceding, -1))
+    return files.withColumn("reach", reach).groupBy("genome").agg(
+        F.sum("n").alias("records"), F.sum("wrong").alias("out_of_order"),
+        F.count_if(F.col("reach") > F.col("first")).alias("overlapping_files"))
+
+
 @query("signal_sink", f"with {I.CLEAN} {_bins('clean', 'span_start', 'span_end', 'signal')}")
 def signal_sink(spark, sf_dir):
     path = _folder(spark)
@@ -112,6 +137,45 @@ def bed_files_job(spark, sf_dir):
     ).agg(F.count("*").alias("records"))
 
 
+@query("relative_paths_job", f"""
+with {I.HARMONISED},
+runs(run) as (values ('folder'), ('slashes'), ('up')),
+tagged as (select run, case when not known then 'missing' when span_end <= contig_size then 'clean' else 'rejects' end as frame from harmonised, runs)
+select case when frame = 'missing' then 'all' else run end as run, frame, count(*) as records from tagged group by all
+""")
+def relative_paths_job(spark, sf_dir):
+    """One folder under three spellings: every record of each is in one of the frames."""
+    path = _folder(spark)
+    I.intervals(spark, sf_dir).select(
+        F.concat_ws("\t", "chrom", F.col("start").cast("string"), F.col("end").cast("string"), F.lit("n"))
+    ).write.text(f"{path}/bed[1]")
+    for spelling in ("a", "b"):
+        spark.read.text(literal_path(f"{path}/bed[1]")).write.text(f"{path}/{spelling}")
+    sheet = spark.createDataFrame(
+        [("folder", f"{path}/bed[1]"), ("slashes", f"{path}//a/"), ("up", f"{path}/a/../b")], "run string, path string"
+    ).select("run", F.lit("bed").alias("file_type"), "path", F.lit("asm").alias("genome"))
+    track = jobs.bed_job(spark, sheet, I.sizes(spark, sf_dir))
+    counts = [track.clean.groupBy("run").agg(F.count("*").alias("records")).withColumn("frame", F.lit("clean")),
+              track.rejects.groupBy("run").agg(F.count("*").alias("records")).withColumn("frame", F.lit("rejects")),
+              track.missing.agg(F.sum("records").alias("records")).select(F.lit("all").alias("run"), "records", F.lit("missing").alias("frame"))]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+@query("directory_catalog", f"""
+with {HUBS}
+select file_type, 'GRCh38' as genome, count(*) as tracks
+from sheet where file_type in ('bigwig', 'bigbed', 'bed', 'gff3') group by all
+""")
+def directory_catalog(spark, sf_dir):
+    """Events as names of files under a folder, then a samplesheet and a catalog of them."""
+    extension = "case file_type when 'bigwig' then 'bw' when 'bigbed' then 'bb' else file_type end"
+    names = tables.samplesheet_rows(I.samplesheet(spark, sf_dir)).select(
+        F.expr(f"concat('/d/run', run, '_x.', {extension})").alias("path"))
+    sheet = jobs.sheet_rows(names, "hg38", "lab").drop("assembly_report")
+    catalog = jobs.catalog_job(jobs.track_files(sheet), ensembl=True)
+    return catalog.groupBy("file_type", "genome").agg(F.count("*").alias("tracks"))
+
+
 @query("samplesheet_file", f"with {I.TRACKS} select run, file_type, path, genome, nullif(hub, '') as hub from sheet")
 def samplesheet_file(spark, sf_dir):
     path = _folder(spark)

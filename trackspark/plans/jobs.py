@@ -194,9 +194,13 @@ def track_files(sheet):
 
 
 def directory_sheet(spark, roots, genome, glob=None, hub=None):
-    """Samplesheet rows of the track files under ``roots``: run and file type come from each file's name."""
-    files = list_track_files(spark, roots, glob).withColumn("_name", basename("path"))
-    return files.select(
+    """Samplesheet rows of the track files under ``roots``."""
+    return sheet_rows(list_track_files(spark, roots, glob), genome, hub)
+
+
+def sheet_rows(files, genome, hub=None):
+    """Samplesheet rows of track files (path): run and file type come from each file's name."""
+    return files.withColumn("_name", basename("path")).select(
         run_name("_name").alias("run"), file_type("_name").alias("file_type"), "path",
         F.lit(genome).alias("genome"), F.lit("").alias("assembly_report"), F.lit(hub).cast("string").alias("hub"),
     ).filter("file_type != 'unknown'")
