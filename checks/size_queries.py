@@ -63,17 +63,18 @@ from conversations group by conv_id
 """)
 def fasta_lengths(spark, sf_dir):
     turns = I.table(spark, sf_dir, "conversations")
+    path = F.concat(F.lit("f"), F.col("conv_id") % 64, F.lit(".fa")).alias("path")
     heads = turns.select("conv_id").distinct().select(
-        (F.col("conv_id") * 100000).alias("line"),
+        path, (F.col("conv_id") * 100000).alias("line"),
         F.concat(F.lit(">c"), F.col("conv_id").cast("string"), F.lit(" talk > chat")).alias("value"),
     )
     sequences = turns.select(
-        (F.col("conv_id") * 100000 + F.col("turn") + 1).alias("line"), F.concat(F.lit(" "), F.col("text")).alias("value")
+        path, (F.col("conv_id") * 100000 + F.col("turn") + 1).alias("line"), F.concat(F.lit(" "), F.col("text")).alias("value")
     )
     lines = heads.unionByName(sequences).select(
-        F.lit("all.fa").alias("path"), F.lit(0).cast("bigint").alias("block"), "line", "value"
+        "path", F.lit(0).cast("bigint").alias("block"), "line", "value"
     )
-    return sequence_lengths(lines, chunk_lines=500_000).select("name", "size")
+    return sequence_lengths(lines).select("name", "size")
 
 
 @query("sizes_source_pick", """
