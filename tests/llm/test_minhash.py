@@ -46,7 +46,7 @@ def rows():
                 copy[pick.randrange(120)] = pick.choice(vocabulary)
             texts.append(" ".join(copy))
     texts += [None, "", " \n", "a b c", "A b C", texts[0]]
-    rows = [(i, t) for i, t in enumerate(texts)] + [(None, "a b c"), (3, texts[3])]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(None, "a b c"), (3, texts[3]), (4, texts[25]), (5, "x y")]
     pick.shuffle(rows)
     return rows
 

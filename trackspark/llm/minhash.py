@@ -97,35 +97,43 @@ def _plausible(percent):
     return run
 
 
-def _likely_bucket(percent):
+def _partners(pdf, percent, rows):
+    """(visitor, its likely partners among the residents of another component), as places in ``pdf``.
+
+    A pair that meets in several buckets is taken in that of its first band only.
+    """
+    least, band = _least_equal(percent), int(pdf["band"].iloc[0])
+    comp, resident = pdf["comp"].to_numpy(), pdf["resident"].to_numpy()
+    minima = np.frombuffer(b"".join(pdf["minima"]), np.uint32).reshape(-1, HASHES)
+    home = np.flatnonzero(resident)
+    at_home = minima[home]
+    for i in np.flatnonzero(~resident):
+        equal = at_home == minima[i]
+        near = np.flatnonzero((equal.sum(1) >= least) & (comp[home] != comp[i]))
+        first = equal[near].reshape(-1, HASHES // rows, rows).all(2).argmax(1)
+        yield i, home[near[first == band]]
+
+
+def _likely_bucket(percent, rows):
     """The members of one chunk of a bucket whose minima agree with those of a member of another component."""
-    least = _least_equal(percent)
-
     def run(key, pdf):
         import pandas as pd
 
-        comp, away = pdf["comp"].to_numpy(), ~pdf["resident"].to_numpy()
-        minima = np.frombuffer(b"".join(pdf["minima"]), np.uint32).reshape(-1, HASHES)
-        home, alive = np.flatnonzero(~away), np.zeros(len(pdf), bool)
-        for i in np.flatnonzero(away):
-            near = home[((minima[home] == minima[i]).sum(1) >= least) & (comp[home] != comp[i])]
+        alive = np.zeros(len(pdf), bool)
+        for i, near in _partners(pdf, percent, rows):
             alive[near] = True
             alive[i] |= len(near) > 0
         return pd.DataFrame({"bucket": key[0], "rep": pdf["rep"][alive]})
     return run
 
 
-def _compare_bucket(percent):
+def _compare_bucket(percent, rows):
     """Links found among the residents and visitors of one chunk of a bucket, at most one per member joined."""
-    least = _least_equal(percent)
-
     def run(key, pdf):
         import pandas as pd
 
         rep, comp = pdf["rep"].to_numpy(), pdf["comp"].to_numpy()
-        minima = np.frombuffer(b"".join(pdf["minima"]), np.uint32).reshape(-1, HASHES)
         sets = [np.frombuffer(s, np.uint64) for s in pdf["set"]]
-        home = np.flatnonzero(pdf["resident"].to_numpy())
         comp_of = {c: c for c in set(comp)}
 
         def find(c):
@@ -134,8 +142,7 @@ def _compare_bucket(percent):
             return c
 
         links = []
-        for i in np.flatnonzero(~pdf["resident"].to_numpy()):
-            near = home[((minima[home] == minima[i]).sum(1) >= least) & (rep[home] != rep[i])]
+        for i, near in _partners(pdf, percent, rows):
             for j in near:
                 a, b = find(comp[i]), find(comp[j])
                 if a != b and _similar(sets[i], sets[j], percent):
@@ -164,26 +171,26 @@ def _verified(pairs, sketches, texts, percent, shingle):
 
 
 def _sets_of(reps, sketches, texts, shingle):
-    """(rep, set) of the wanted representatives, from their texts. One row each: a rep is one row of the table."""
-    wanted = keyed_join(reps, sketches.select("rep", "key"), ["rep"], "inner").select(F.col("rep").alias("doc_id"), "key")
-    rows = keyed_join(texts, wanted.withColumnRenamed("key", "_key"), ["doc_id"], "inner")
+    """(rep, set) of the wanted sets, from the text of the least document that has each."""
+    wanted = land(sketches.select("rep", "doc_id", F.col("key").alias("_key")).join(reps, "rep", "left_semi"))
+    rows = keyed_join(texts, wanted, ["doc_id"], "inner")
 
     def run(batches):
         for batch in batches:
             found = [(s.tobytes(), len(s) and hashlib.blake2b(s.tobytes(), digest_size=16).digest() == k)
                      for s, k in zip(shingle_sets(batch.column("text"), shingle), batch.column("_key").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([f[0] for f in found], pa.binary())], ["rep", "set"]).filter(
+            yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array([f[0] for f in found], pa.binary())], ["rep", "set"]).filter(
                 pa.array([bool(f[1]) for f in found], pa.bool_()))
 
-    return land(rows.select("doc_id", "text", "_key").mapInArrow(run, "rep long, set binary").dropDuplicates(["rep"]))
+    return land(rows.select("rep", "text", "_key").mapInArrow(run, "rep long, set binary").dropDuplicates(["rep"]))
 
 
 def near_links(sketches, texts, percent=PERCENT, shingle=SHINGLE, rows=ROWS, chunk=CHUNK):
-    """(u, v) links that join all similar sets of ``sketches``, one row (rep, key, minima) per distinct set."""
+    """(u, v) links that join all similar sets of ``sketches``, one row (rep, key, doc_id, minima) per distinct set."""
     width = 4 * rows
     bands = F.transform(F.sequence(F.lit(0), F.lit(HASHES // rows - 1)), lambda b: F.xxhash64(
         b, F.substring("minima", b * width + 1, F.lit(width))))
-    placed = sketches.select("rep", F.explode(bands).alias("bucket"))
+    placed = sketches.select("rep", F.posexplode(bands).alias("band", "bucket"))
     shared = placed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("rep").alias("leader")).filter("n > 1")
     members = land(placed.join(shared, "bucket"))
     links = None
@@ -205,19 +212,19 @@ def near_links(sketches, texts, percent=PERCENT, shingle=SHINGLE, rows=ROWS, chu
     if not apart.limit(1).count():
         return links
     minima = sketches.select("rep", "minima")
-    met = _meetings(apart, chunk).join(minima, "rep").groupBy("bucket", "chunk", "part").applyInPandas(_likely_bucket(percent), "bucket long, rep long")
+    met = _meetings(apart, chunk).join(minima, "rep").groupBy("bucket", "chunk", "part").applyInPandas(_likely_bucket(percent, rows), "bucket long, rep long")
     alive = land(apart.join(met.distinct(), ["bucket", "rep"], "left_semi").drop("n"))
     if not alive.limit(1).count():
         return links
     alive = land(alive.join(alive.groupBy("bucket").agg(F.count("*").alias("n")), "bucket"))
     sets = _sets_of(alive.select("rep").distinct(), sketches, texts, shingle)
     rows_ = _meetings(alive, chunk).join(minima, "rep").join(sets, "rep")
-    more = rows_.groupBy("bucket", "chunk", "part").applyInPandas(_compare_bucket(percent), "u long, v long")
+    more = rows_.groupBy("bucket", "chunk", "part").applyInPandas(_compare_bucket(percent, rows), "u long, v long")
     return land(links.unionByName(more.distinct()))
 
 
 def _meetings(apart, chunk):
-    """(bucket, chunk, part, rep, comp, resident): every member at home in one chunk of its bucket and, unless it is
+    """(bucket, chunk, part, band, rep, comp, resident): every member at home in one chunk of its bucket and, unless it is
     of the leader's component, a visitor in all of them; visitors are dealt into parts likewise."""
     chunks = F.ceil(F.col("n") / chunk).cast("int")
     main = F.min(F.struct(F.col("rep") != F.col("leader"), "comp"))["comp"]
@@ -226,9 +233,9 @@ def _meetings(apart, chunk):
     known = land(known.join(guests, "bucket").withColumn("chunks", chunks))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     own = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
-    homes = known.select("bucket", own("chunks").alias("chunk"), every("parts").alias("part"), "rep", "comp", F.lit(True).alias("resident"))
+    homes = known.select("bucket", own("chunks").alias("chunk"), every("parts").alias("part"), "band", "rep", "comp", F.lit(True).alias("resident"))
     visits = known.filter("visits").select(
-        "bucket", every("chunks").alias("chunk"), own("parts").alias("part"), "rep", "comp", F.lit(False).alias("resident"))
+        "bucket", every("chunks").alias("chunk"), own("parts").alias("part"), "band", "rep", "comp", F.lit(False).alias("resident"))
     return homes.unionByName(visits)
 
 
@@ -244,11 +251,15 @@ def near_duplicates(documents, percent=PERCENT, shingle=SHINGLE, rows=ROWS, chun
     sketched = land(texts.mapInArrow(_sketch(shingle), "doc_id long, n_shingles long, key binary, minima binary"))
     nodes = sketched.filter("doc_id is not null and key is not null")
     least = nodes.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
+    # A doc_id may have several sets, so sets have numbers of their own; written once, they stay as they are.
     firsts = land(nodes.groupBy("key").agg(F.min(F.struct("doc_id", "minima")).alias("f")).select(
-        "key", F.col("f.doc_id").alias("rep"), F.col("f.minima").alias("minima")))
+        "key", "f.doc_id", "f.minima", F.monotonically_increasing_id().alias("rep")))
     links = near_links(firsts, texts, percent, shingle, rows, chunk)
+    ids = firsts.select("rep", "doc_id")
+    linked = links.join(ids.select(F.col("rep").alias("u"), F.col("doc_id").alias("a")), "u").join(
+        ids.select(F.col("rep").alias("v"), F.col("doc_id").alias("b")), "v").select(F.col("a").alias("u"), F.col("b").alias("v"))
     same = keyed_join(nodes.select("key", "doc_id"), least.filter("copies > 1"), ["key"], "inner")
-    edges = same.select(F.col("doc_id").alias("u"), F.col("rep").alias("v")).unionByName(links)
+    edges = same.select(F.col("doc_id").alias("u"), F.col("rep").alias("v")).unionByName(linked)
     comps = land(connected_components(edges)).select(F.col("node").alias("doc_id"), "component")
     out = keyed_join(sketched.select("doc_id", "n_shingles"), comps, ["doc_id"])
     component = F.coalesce("component", "doc_id")
