@@ -47,8 +47,7 @@ def drop_near_duplicates(spark, docs, sf_dir):
 
 def drop_contaminated(spark, docs, sf_dir):
     """Drop documents that hold a window of a benchmark item."""
-    judged = decontaminate.contamination(_packed(docs, "text"), read_table(spark, sf_dir, "benchmark"))
-    return _unpacked(docs, judged.filter(~F.col("contaminated")))
+    return _unpacked(docs, decontaminate.clean_documents(_packed(docs, "text"), read_table(spark, sf_dir, "benchmark")))
 
 
 def mix_to_weights(spark, docs, sf_dir):

@@ -58,12 +58,13 @@ def text_key(text):
     return F.unhex(F.md5(text.cast("binary")))
 
 
-def keyed_join(left, right, on, how="left"):
+def keyed_join(left, right, on, how="left", measured=True):
     """Join on the columns ``on``, null matching null; ``right`` is broadcast only if it was measured as small.
 
-    Beyond that both sides are shuffled, and adaptive execution splits hot keys of ``left``.
+    Beyond that both sides are shuffled, and adaptive execution splits hot keys of ``left``. A ``right`` that has a row
+    for most of ``left`` is not worth measuring: with ``measured`` false both sides are shuffled at every size.
     """
-    if fits_broadcast(right, max_rows=200_000, max_bytes=16 << 20):
+    if measured and fits_broadcast(right, max_rows=200_000, max_bytes=16 << 20):
         right = F.broadcast(right)
     renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in on})
     condition = None

@@ -142,6 +142,14 @@ def contamination(documents, items, window=WINDOW, gram=GRAM):
     )
 
 
+def clean_documents(documents, items, window=WINDOW, gram=GRAM):
+    """The rows of ``documents`` without a hit, all columns as they are."""
+    _, hits = benchmark_hits(documents, items, window, gram)
+    keys = land(hits.select(F.col("key").alias("_key"), F.lit(True).alias("_hit")))
+    keyed = documents.withColumn("_key", text_key(F.col("text")))
+    return keyed_join(keyed, keys, ["_key"]).filter(F.col("_hit").isNull()).drop("_key", "_hit")
+
+
 def op2_decontaminate(spark, sf_dir):
     from .common import read_table
 

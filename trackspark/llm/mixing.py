@@ -107,7 +107,7 @@ def mix_documents(documents, **options):
         .filter("_copies > 0")
     )
     return (
-        keyed_join(kept, drawn, ["doc_id", "source", "_size"], "inner")
+        keyed_join(kept, drawn, ["doc_id", "source", "_size"], "inner", measured=False)
         .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
         .drop("_size", "_copies")
     )
