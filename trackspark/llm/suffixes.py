@@ -309,12 +309,13 @@ def repeated_spans(texts, length=LENGTH, gram=GRAM, most=MOST, bundle=BUNDLE):
     groups = land(groups.groupBy("print").agg(F.count("*").alias("contexts"), F.sum("n").alias("total"))
                   .filter("total > 1").join(groups, "print"))
     copies = groups.filter("n > 1").select("print", "context")
-    copied = keyed_join(runs, copies, ["print", "context"], "inner").select("key", "lo", (F.col("hi") + length).alias("hi"))
+    # Copies and contexts grow with the corpus, so these joins shuffle at every size.
+    copied = runs.join(copies, ["print", "context"]).select("key", "lo", (F.col("hi") + length).alias("hi"))
     mixed = groups.filter("contexts > 1").select("print", "contexts", "at.*")
     per_text = lambda rows: rows.groupBy("key").agg(F.collect_list(F.struct("print", "lo", "hi")).alias("runs"))
 
     def with_text(rows):  # one row per text; rows of equal text have one key
-        return keyed_join(texts, per_text(rows), ["key"], "inner").dropDuplicates(["key"])
+        return keyed_join(texts, per_text(rows), ["key"], "inner", measured=False).dropDuplicates(["key"])
 
     gathered = mixed.filter(F.col("contexts") <= most)
     size = gathered.agg(F.sum(F.col("hi") - F.col("lo") + length)).first()[0] or 0
