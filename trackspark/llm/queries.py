@@ -1,6 +1,6 @@
 """The queries of this subpackage by name, with SQL where SQL can express them."""
 
-from . import decontaminate, katz, language, lines, minhash, mixing, secrets, suffixes, topk, warc
+from . import centroids, decontaminate, divergence, katz, language, lines, minhash, mixing, secrets, shards, suffixes, topk, warc
 
 QUERIES = {
     "op1_minhash_dedup": minhash.op1_minhash_dedup,
@@ -13,6 +13,9 @@ QUERIES = {
     "op8_language_id": language.op8_language_id,
     "op9_secret_scan": secrets.op9_secret_scan,
     "op10_top_k": topk.op10_top_k,
+    "op11_shard_shuffle": shards.op11_shard_shuffle,
+    "op12_centroid_clusters": centroids.op12_centroid_clusters,
+    "op13_source_divergence": divergence.op13_source_divergence,
 }
 
 ORACLES = {
@@ -23,4 +26,6 @@ ORACLES = {
     "op7_mix_sources": mixing.OP7_SQL,
     "op9_secret_scan": secrets.OP9_SQL,
     "op10_top_k": topk.OP10_SQL,
+    "op12_centroid_clusters": centroids.OP12_SQL,
+    "op13_source_divergence": divergence.OP13_SQL,
 }
