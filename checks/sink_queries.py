@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from trackspark.functions import values as V
 from trackspark.operators.scratch import land, scratch_dir
 from trackspark.plans import jobs
+from trackspark.sinks import regions
 from trackspark.sinks import tracks as sinks
 from trackspark.sources import fasta, records, tables
 from trackspark.sources.text import literal_path
@@ -308,3 +309,64 @@ def sizes_files_job(spark, sf_dir):
     )
     sheet = land(sheet)  # a samplesheet is a file that each step reads
     return jobs.sizes_job(spark, sheet, tables=listed)
+
+
+@query("job_counts", f"""
+with {I.HARMONISED},
+tagged as (
+  select *, case when not known then 'missing' when span_end > contig_size then 'rejects' else 'clean' end as frame from harmonised),
+frames as (
+  select 'bed' as job, frame as what, count(*) as records from tagged group by frame
+  union all select 'bed', 'input', count(*) from tagged
+  union all select 'bed', 'lines', count(*) from tagged
+  union all select 'bedgraph', frame, count(*) from tagged where signal % 10 <> 3 group by frame
+  union all select 'bedgraph', 'input', count(*) from tagged where signal % 10 <> 3
+  union all select 'bedgraph', 'lines', count(*) from tagged
+  union all select 'bedgraph', 'headers', count(*) from tagged where signal % 10 = 3)
+select job, what, records from frames
+""")
+def job_counts(spark, sf_dir):
+    """What two file jobs counted while they wrote their records, with gzipped bedGraph and header lines."""
+    path, rows = _folder(spark), I.intervals(spark, sf_dir)
+    record = F.concat_ws("\t", "chrom", F.col("start").cast("string"), F.col("end").cast("string"), F.col("value").cast("string"))
+    rows.select(record).write.text(f"{path}/bed")
+    rows.select(F.when(F.col("value") % 10 == 3, F.concat(F.lit("#"), record)).otherwise(record)).write.option("compression", "gzip").text(f"{path}/graph")
+    sheet = spark.createDataFrame([("r", "bed", f"{path}/bed", "asm"), ("s", "bedgraph", f"{path}/graph", "asm")],
+                                  "run string, file_type string, path string, genome string")
+    sizes = I.sizes(spark, sf_dir)
+    counts = {"bed": jobs.bed_job(spark, sheet, sizes).counts, "bedgraph": jobs.bedgraph_job(spark, sheet, sizes).counts}
+    found = [(job, what, n) for job, of in counts.items() for what, n in of.items()]
+    return spark.createDataFrame(found, "job string, what string, records long")
+
+
+_REGION = "(n_nationkey * 7919) % 90000"
+
+
+def _region_sql(span):
+    return f"""
+with {I.CLEAN},
+long_ones as (select chrom, span_start, case when signal % 50 = 0 then span_start + {span} else span_end end as span_end, signal from clean),
+regions as (
+  select n_nationkey as region, name as chrom, {_REGION} as region_start, {_REGION} + n_nationkey * 40 as region_end
+  from nation join (select distinct name, row_number() over (order by name) as k from sizes) s on s.k = n_nationkey % 20 + 1)
+select region, r.chrom, span_start as start_pos, span_end as end_pos, signal, count(*) as records
+from regions r join long_ones l on l.chrom = r.chrom and span_start < greatest(region_end, region_start + 1)
+  and greatest(span_end, span_start + 1) > region_start
+group by all"""
+
+
+@query("interval_region_reads", _region_sql(30_000))
+def interval_region_reads(spark, sf_dir):
+    """Records of many regions from a written and indexed table; every fiftieth value marks a span of 30,000 positions."""
+    path, sizes = _folder(spark), I.sizes(spark, sf_dir)
+    clean = jobs.clean_signal(I.intervals(spark, sf_dir), sizes).clean
+    long_ones = clean.withColumn("end", F.when(F.col("value") % 50 == 0, F.col("start") + 30_000).otherwise(F.col("end")))
+    sinks.write_intervals(long_ones, path)
+    regions.write_index(spark, path, block_rows=1_000)
+    numbered = sizes.select(F.col("name").alias("chrom"), F.row_number().over(Window.orderBy("name")).alias("k"))
+    wanted = I.table(spark, sf_dir, "nation").join(numbered, F.col("k") == F.col("n_nationkey") % 20 + 1).select(
+        F.lit("asm").alias("genome"), "chrom", F.expr(_REGION).cast("long").alias("start"),
+        F.expr(f"{_REGION} + n_nationkey * 40").cast("long").alias("end"), F.col("n_nationkey").alias("number"))
+    return regions.read_regions(spark, path, wanted).groupBy(
+        F.col("region_number").alias("region"), "chrom", F.col("start").alias("start_pos"), F.col("end").alias("end_pos"),
+        F.col("value").alias("signal")).agg(F.count("*").alias("records"))

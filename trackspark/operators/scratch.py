@@ -20,13 +20,13 @@ def scratch_dir(spark):
     return _fallback[app]
 
 
-def land(df):
-    """Write ``df`` as Parquet under the scratch folder and read it back.
+def land(df, by=()):
+    """Write ``df`` as Parquet under the scratch folder and read it back, in folders by the columns ``by``.
 
     Cuts the lineage, survives the loss of executors and is computed once. The
     tables of a run are under its application id and may be deleted after it.
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{spark.sparkContext.applicationId}/landed-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

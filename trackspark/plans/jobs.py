@@ -2,16 +2,16 @@
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.names import basename, ensembl_genome, file_type, run_name
 from ..operators import catalog as C
 from ..operators import genes as GN
 from ..operators import sizes as SZ
-from ..operators.contigs import audit_missing, harmonise_contigs, resolve_missing
+from ..operators.contigs import audit_missing, contig_aliases, harmonise_contigs, resolve_missing
 from ..operators.intervals import check_bounds
-from ..operators.lookup import lookup_join
+from ..operators.lookup import fits_broadcast, lookup_join
 from ..operators.scratch import land
 from ..sources import records
 from ..sources.logs import summarise_logs
@@ -27,6 +27,32 @@ class Track(NamedTuple):
     clean: DataFrame
     missing: DataFrame
     rejects: DataFrame
+    counts: dict | None = None
+
+
+def sorted_out(rows, sizes, on_missing="drop", allow_empty=True, on="genome", seen=()):
+    """A ``Track`` of records that are matched, checked and written once, with the ``counts`` of that one write.
+
+    ``counts`` has the records of ``input``, ``clean``, ``missing`` and ``rejects``, and what the observations ``seen``
+    counted further up, such as header lines. Each frame reads its own folder of the written table.
+    """
+    if not fits_broadcast(contig_aliases(sizes, on)):
+        rows = land(rows)  # the join will look for heavy keys first
+    frame = F.when(~F.col("known"), "missing").when(F.col("reject_reason").isNotNull(), "rejects").otherwise("clean")
+    tagged = check_bounds(harmonise_contigs(rows, sizes, on), allow_empty).withColumn("_frame", frame)
+    found = Observation()
+    of = {name: F.count_if(F.col("_frame") == name).alias(name) for name in ("clean", "missing", "rejects")}
+    written = land(tagged.observe(found, F.count("*").alias("input"), *of.values()), by=["_frame"])
+    counts = {name: n for part in (*seen, found) for name, n in part.get.items()}
+    part = {name: written.filter(F.col("_frame") == name).drop("_frame") for name in of}
+    if counts["missing"]:
+        resolve_missing(part["missing"], on_missing, on)  # raises in error mode
+    return Track(
+        part["clean"].drop("reject_reason", "contig_size", "known"),
+        audit_missing(part["missing"], on),
+        part["rejects"].drop("known"),
+        counts,
+    )
 
 
 def _cleaned(rows, sizes, on_missing, allow_empty, on):
@@ -56,43 +82,45 @@ def attach_files(rows, files, columns):
     """
     known = files.select("path", *columns, F.lit(True).alias("_known")).distinct()
     joined = lookup_join(rows, known, ["path"], "left")
+    # As a filter, the check stays however few columns the caller goes on with.
     stray = F.raise_error(F.concat(F.lit("no samplesheet row names the file "), F.col("path")))
-    return joined.withColumn("path", F.when(F.col("_known"), F.col("path")).otherwise(stray)).drop("_known")
+    return joined.filter(F.when(F.col("_known"), F.lit(True)).otherwise(stray)).drop("_known")
 
 
 def _sheet_files(spark, sheet, kind, sizes, on_unmatched):
     """(paths to read, their files with run and genome) of one file type; (None, None) where the sheet has none.
 
-    A samplesheet has one row per track file, so its paths fit in the driver.
+    A samplesheet has one row per track file; its paths are collected once, as Spark's reader takes them as a list.
     """
-    chosen = sheet.filter(F.col("file_type") == kind)
+    chosen = sheet.filter(F.col("file_type") == kind).select("path", "run", "genome", "file_type")
     if not chosen.limit(1).count():
         return None, None
-    chosen = C.attach_sizes(chosen, sizes, on_unmatched=on_unmatched)
-    files = resolve_files(spark, chosen.select("path", "run", "genome"))
+    chosen = land(C.attach_sizes(chosen, sizes, on_unmatched=on_unmatched).select("path", "run", "genome"))
     paths = [row["path"] for row in chosen.select("path").distinct().collect()]
-    return [literal_path(path) for path in paths], files
+    return [literal_path(path) for path in paths], resolve_files(spark, chosen, paths)
 
 
 def bed_job(spark, sheet, sizes, on_missing="drop", sep="whitespace", on_unmatched="error"):
-    """BED files of a samplesheet to clean intervals. All files are read in one plan, once."""
+    """BED files of a samplesheet to clean intervals. All files are read in one plan, once, and counted as they are written."""
     paths, files = _sheet_files(spark, sheet, "bed", sizes, on_unmatched)
     if not paths:
         return None
-    rows = land(attach_files(records.read_bed(spark, paths, sep), files, TRACK))
-    return clean_intervals(rows, sizes, on_missing)
+    seen = Observation()
+    rows = attach_files(records.read_bed(spark, paths, sep, seen), files, TRACK)
+    return sorted_out(rows, sizes, on_missing, seen=[seen])
 
 
 def bedgraph_job(spark, sheet, sizes, on_missing="drop", on_unmatched="error"):
-    """bedGraph files of a samplesheet to clean signal.
+    """bedGraph files of a samplesheet to clean signal, with the number of header lines among the counts.
 
     ``write_signal`` sorts and summarises it and reports the records that overlap.
     """
     paths, files = _sheet_files(spark, sheet, "bedgraph", sizes, on_unmatched)
     if not paths:
         return None
-    rows = land(attach_files(records.read_bedgraph(spark, paths), files, TRACK))
-    return clean_signal(rows, sizes, on_missing)
+    seen = Observation()
+    rows = attach_files(records.read_bedgraph(spark, paths, seen), files, TRACK)
+    return sorted_out(rows, sizes, on_missing, allow_empty=False, seen=[seen])
 
 
 class Genes(NamedTuple):
@@ -112,21 +140,22 @@ def gff3_job(
     if not paths:
         return None
     # Text is parsed once; the models go over the features several times.
-    fields = land(attach_files(records.read_gff3_fields(spark, paths, partitions), files, TRACK))
-    return gene_rows(records.with_attributes(fields), sizes, on_missing, keys)
+    seen = Observation()
+    fields = land(attach_files(records.read_gff3_fields(spark, paths, partitions, seen=seen), files, TRACK))
+    return gene_rows(records.with_attributes(fields), sizes, on_missing, keys, seen=[seen])
 
 
-def gene_rows(features, sizes, on_missing="drop", keys=("genome", "path"), on="genome"):
-    """GFF3 features to bigGenePred rows on known contigs and within bounds."""
+def gene_rows(features, sizes, on_missing="drop", keys=("genome", "path"), on="genome", seen=()):
+    """GFF3 features to bigGenePred rows on known contigs and within bounds; ``counts`` are of models."""
     models, bad = GN.gene_models(features, keys)
     rows = GN.to_biggenepred(models, extra=keys)
     spans = rows.withColumnRenamed("chromStart", "start").withColumnRenamed("chromEnd", "end")
-    track = _cleaned(spans, sizes, on_missing, True, on)
+    track = sorted_out(spans, sizes, on_missing, True, on, seen)
 
     def named(df):
         return df.withColumnRenamed("start", "chromStart").withColumnRenamed("end", "chromEnd")
 
-    return Genes(Track(named(track.clean), track.missing, named(track.rejects)), bad)
+    return Genes(Track(named(track.clean), track.missing, named(track.rejects), track.counts), bad)
 
 
 def sizes_job(spark, sheet, tables=None, sequences=None, force_ucsc=True):
@@ -142,7 +171,7 @@ def sizes_job(spark, sheet, tables=None, sequences=None, force_ucsc=True):
     frames = []
     if paths:
         body = attach_files(
-            read_assembly_report(spark, [literal_path(p) for p in paths]), resolve_files(spark, reports), ["genome"]
+            read_assembly_report(spark, [literal_path(p) for p in paths]), resolve_files(spark, reports, paths), ["genome"]
         ).drop("path")
         frames.append(SZ.chrom_sizes_from_reports(body, _seqids(spark, sheet, with_report), force_ucsc).select(
             "genome", "name", "size", F.lit("report").alias("source")
@@ -165,7 +194,7 @@ def _seqids(spark, sheet, with_report):
     if not paths:
         return spark.createDataFrame([], "genome string, seqid string")
     lines = records.read_gff3(spark, [literal_path(p) for p in paths])
-    return SZ.gff_seqids(attach_files(lines, resolve_files(spark, chosen), ["genome"]))
+    return SZ.gff_seqids(attach_files(lines, resolve_files(spark, chosen, paths), ["genome"]))
 
 
 # What each file type becomes, and the extension of a converted file.

@@ -43,15 +43,36 @@ def typed_bed(df):
     return df.select("*", *typed)
 
 
-def read_bed(spark, paths, sep="whitespace"):
-    return parse_bed(read_lines(spark, paths), sep)
+def spread_gzip(lines, paths, partitions=None):
+    """``lines`` dealt out evenly where a gzipped file is among ``paths``, by default over as many parts as a shuffle has.
 
+    A gzipped file is one split, so one task decodes it; the fields are then parsed by many.
+    """
+    named = [paths] if isinstance(paths, str) else paths
+    if partitions is None and any(path.endswith(".gz") for path in named):
+        partitions = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return lines.repartition(partitions) if partitions else lines
+
+
+def read_bed(spark, paths, sep="whitespace", seen=None):
+    """BED records of plain or gzipped files; an Observation ``seen`` counts their ``lines``."""
+    lines = spread_gzip(read_lines(spark, paths), paths)
+    if seen is not None:
+        lines = lines.observe(seen, F.count("*").alias("lines"))
+    return parse_bed(lines, sep)
 
-def parse_bedgraph(lines):
-    """(chrom, start, end, value) from a ``value`` column of text; header lines are left out."""
+
+def parse_bedgraph(lines, seen=None):
+    """(chrom, start, end, value) from a ``value`` column of text; header lines are left out.
+
+    An Observation ``seen`` counts ``lines`` and ``headers`` as they pass.
+    """
     fields = F.col("_fields")
+    header = F.col("value").rlike(BEDGRAPH_HEADER)
+    if seen is not None:
+        lines = lines.observe(seen, F.count("*").alias("lines"), F.count_if(header).alias("headers"))
     return (
-        lines.filter(~F.col("value").rlike(BEDGRAPH_HEADER))
+        lines.filter(~header)
         .withColumn("_fields", V.whitespace_fields("value"))
         .select(
             *_others(lines),
@@ -63,8 +84,8 @@ def parse_bedgraph(lines):
     )
 
 
-def read_bedgraph(spark, paths):
-    return parse_bedgraph(read_lines(spark, paths))
+def read_bedgraph(spark, paths, seen=None):
+    return parse_bedgraph(spread_gzip(read_lines(spark, paths), paths), seen)
 
 
 def parse_gff3(lines, dropped_attribute=None):
@@ -72,13 +93,18 @@ def parse_gff3(lines, dropped_attribute=None):
     return with_attributes(gff3_fields(lines, dropped_attribute))
 
 
-def gff3_fields(lines, dropped_attribute=None):
+def gff3_fields(lines, dropped_attribute=None, seen=None):
     """The nine fields of GFF3 lines; positions become 0-based and half-open.
 
     Comments, and lines without nine fields (an embedded sequence section), are
-    left out. ``dropped_attribute`` names an attribute to strip first.
+    left out. ``dropped_attribute`` names an attribute to strip first. An Observation ``seen`` counts ``lines``, ``comments``
+    and ``malformed`` lines as they pass.
     """
     fields = F.col("_fields")
+    if seen is not None:
+        comment = F.col("value").startswith("#")
+        lines = lines.observe(seen, F.count("*").alias("lines"), F.count_if(comment).alias("comments"),
+                              F.count_if(~comment & (F.size(V.tab_fields("value")) != 9)).alias("malformed"))
 
     def field(position):
         return F.get(fields, F.lit(position))
@@ -116,19 +142,12 @@ def with_attributes(features):
     )
 
 
-def read_gff3_fields(spark, paths, partitions=None, dropped_attribute="AdditionalSources"):
+def read_gff3_fields(spark, paths, partitions=None, dropped_attribute="AdditionalSources", seen=None):
     """The fields of plain or gzipped GFF3 files.
 
-    A gzipped file is one split; its lines are spread over ``partitions`` before
-    parsing, by default as many as a shuffle has.
+    The lines of gzipped files are spread over ``partitions`` before parsing.
     """
-    lines = read_lines(spark, paths)
-    named = [paths] if isinstance(paths, str) else paths
-    if partitions is None and any(path.endswith(".gz") for path in named):
-        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if partitions:
-        lines = lines.repartition(partitions)
-    return gff3_fields(lines, dropped_attribute)
+    return gff3_fields(spread_gzip(read_lines(spark, paths), paths, partitions), dropped_attribute, seen)
 
 
 def read_gff3(spark, paths, partitions=None, dropped_attribute="AdditionalSources"):
