@@ -199,3 +199,57 @@ def gff3_attribute_values(spark, sf_dir):
         F.concat(F.size(parents).cast("string"), F.lit(":"), F.concat_ws(",", parents)).alias("both_parents"),
         F.size(G.attribute_pairs("attributes")).alias("pairs"),
     )
+
+
+# Chains of up to six features below a top one; every tenth block of seven is a cycle.
+_PARENT = """case when k % 7 = 0 and (k div 7) % 10 = 3 then 'n' || cast(k + 6 as string)
+                  when k % 7 > 0 then 'n' || cast(k - 1 as string) end"""
+
+
+@query("feature_ancestors", f"""
+with recursive links as (
+  select 'n' || k as id, {_PARENT.replace('div', '//').replace('string', 'varchar')} as parent from (select p_partkey as k from part)),
+walk as (
+  select id, id as up_id, 0 as depth, false as cycle from links
+  union all
+  select w.id, l.parent, w.depth + 1, l.parent = w.id from walk w join links l on l.id = w.up_id
+  where l.parent is not null and not w.cycle and w.depth < 8),
+last as (select id, arg_max(up_id, depth) as top, max(depth) as depth, bool_or(cycle) as cycle from walk group by id)
+select id, case when not cycle then top end as top, case when not cycle then cast(depth as integer) end as depth, cycle from last
+""")
+def feature_ancestors(spark, sf_dir):
+    """The topmost ancestor of features in chains of depth 6, with parents that are missing and parents that form a cycle."""
+    links = I.table(spark, sf_dir, "part").selectExpr("p_partkey as k").select(
+        F.lit("asm").alias("genome"), F.expr("'n' || cast(k as string)").alias("id"), F.expr(_PARENT).alias("parent"))
+    return genes.top_ancestors(links, ["genome"]).select("id", "top", "depth", "cycle")
+
+
+@query("deep_gene_models", f"""
+with lines as (
+  select l_partkey as k, l_linenumber * 1000 as s, l_linenumber * 1000 + 10 as e from lineitem),
+pieces as (
+  select k, min(s) as tx_start, max(e) as tx_end from lines where k % 7 > 3 group by k)
+select 'n' || k as transcript_id, cast(tx_start as bigint) as tx_start, cast(tx_end as bigint) as tx_end,
+       case when (k // 7) % 10 <> 3 then case when k < 7 then 'n0' else 'n' || (k - k % 7) end
+            when not exists (select 1 from part where p_partkey = k - k % 7 + 6) then 'n' || (k - k % 7 + 6) end as gene_id,
+       case when (k // 7) % 10 = 3 and exists (select 1 from part where p_partkey = k - k % 7 + 6) then 'parent_cycle' end as reason
+from pieces
+""")
+def deep_gene_models(spark, sf_dir):
+    """Exons under features four to six levels down: their gene is the topmost feature, and a cycle is a reason to reject."""
+    nodes = I.table(spark, sf_dir, "part").selectExpr("p_partkey as k").select(
+        F.lit("region").alias("type"), F.lit(0).alias("start"), F.lit(9).alias("end"), F.lit(None).cast("int").alias("phase"),
+        F.expr("'n' || cast(k as string)").alias("id"), F.expr(f"array_compact(array({_PARENT}))").alias("parents"))
+    exons = I.table(spark, sf_dir, "lineitem").filter("l_partkey % 7 > 3").select(
+        F.lit("exon").alias("type"), F.expr("l_linenumber * 1000").alias("start"), F.expr("l_linenumber * 1000 + 10").alias("end"),
+        F.lit(None).cast("int").alias("phase"), F.lit(None).cast("string").alias("id"),
+        F.array(F.expr("'n' || cast(l_partkey as string)")).alias("parents"))
+    gff = nodes.unionByName(exons).select(
+        F.lit("asm").alias("genome"), F.lit("chr1").alias("chrom"), "*", F.lit("+").alias("strand"), F.lit("").alias("attributes"),
+        F.lit(None).cast("string").alias("name"))
+    models, rejects = genes.gene_models(gff, ["genome"])
+    spans = exons.groupBy(F.get("parents", F.lit(0)).alias("transcript_id")).agg(F.min("start").alias("tx_start"), F.max("end").alias("tx_end"))
+    outcome = models.select("transcript_id", "gene_id", F.lit(None).cast("string").alias("reason")).unionByName(
+        rejects.select("transcript_id", F.lit(None).cast("string").alias("gene_id"), "reason"))
+    return outcome.join(spans, "transcript_id").select(
+        "transcript_id", F.col("tx_start").cast("long").alias("tx_start"), F.col("tx_end").cast("long").alias("tx_end"), "gene_id", "reason")

@@ -6,6 +6,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from trackspark.functions import values as V
+from trackspark.operators.lookup import row_bytes
+from trackspark.operators.ranges import clustered_by_bytes
 from trackspark.operators.scratch import land, scratch_dir
 from trackspark.plans import jobs
 from trackspark.sinks import regions
@@ -370,3 +372,30 @@ def interval_region_reads(spark, sf_dir):
     return regions.read_regions(spark, path, wanted).groupBy(
         F.col("region_number").alias("region"), "chrom", F.col("start").alias("start_pos"), F.col("end").alias("end_pos"),
         F.col("value").alias("signal")).agg(F.count("*").alias("records"))
+
+
+@query("interval_sink_ranges", f"""
+with {I.CLEAN}
+select count(*) as records, cast(0 as bigint) as out_of_order, cast(0 as bigint) as overlapping_files, true as even from clean
+""")
+def interval_sink_ranges(spark, sf_dir):
+    """A table with a third of its records at one start, written in ranges of measured bytes: no file holds over twice the median."""
+    path = _folder(spark)
+    clean = jobs.clean_signal(I.intervals(spark, sf_dir), I.sizes(spark, sf_dir)).clean
+    hot = clean.withColumn("_hot", F.pmod(F.xxhash64("start", "value"), F.lit(3)) == 0)
+    skewed = land(hot.select(
+        "genome", F.when(F.col("_hot"), F.lit("chr2")).otherwise(F.col("chrom")).alias("chrom"),
+        F.when(F.col("_hot"), F.lit(7)).otherwise(F.col("start")).alias("start"), F.col("end").alias("end"), "value"))
+    size = skewed.agg(F.sum(row_bytes(skewed.schema))).first()[0]
+    placed = clustered_by_bytes(skewed, per_range=size // 24, width=1_000)
+    placed.write.partitionBy("genome").parquet(path)
+    key = F.struct("chrom", "start", "end", "value")
+    rows = spark.read.parquet(path).select(
+        key.alias("key"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    before = F.lag("key").over(Window.partitionBy("file").orderBy("row"))
+    files = rows.withColumn("before", before).groupBy("file").agg(
+        F.count("*").alias("n"), F.count_if(F.col("before") > F.col("key")).alias("wrong"), F.min("key").alias("first"), F.max("key").alias("last"))
+    reach = F.max("last").over(Window.orderBy("first", "last").rowsBetween(Window.unboundedPreceding, -1))  # one row per file
+    return files.withColumn("reach", reach).agg(
+        F.sum("n").alias("records"), F.sum("wrong").alias("out_of_order"), F.count_if(F.col("reach") > F.col("first")).alias("overlapping_files"),
+        (F.max("n") <= 2 * F.median("n")).alias("even"))

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..functions import gff as G
 from ..schemas import BIG_GENE_PRED
 from .lookup import lookup_join
+from .scratch import land
 
 PIECES = ["exon", "CDS"]
 
@@ -41,31 +42,69 @@ def feature_nodes(gff, keys=("genome", "path")):
     return features.groupBy(*keys, "id").agg(F.min("node").alias("node"))
 
 
+def top_ancestors(links, keys=("genome", "path")):
+    """(keys, id, top, depth, cycle): the topmost ancestor of every feature, however deep, by pointer doubling.
+
+    ``links`` is (keys, id, parent), one row per id; a parent that is no feature itself is a top. Every round doubles the
+    distance that a pointer spans, and settles at least the features just beyond the last distance as long as any is on a chain. When a round
+    settles none, those left are in a cycle, or lead into one: their top is null.
+    """
+    keys = list(keys)
+    settled = land(links.filter("parent is null").select(*keys, "id", F.col("id").alias("top"), F.lit(0).alias("depth")))
+    open_ = land(links.filter("parent is not null").select(*keys, "id", F.col("parent").alias("up"), F.lit(1).alias("depth")))
+    left = open_.count()
+    while left:
+        ahead = settled.select(*keys, F.col("id").alias("up"), F.col("top").alias("_up"), F.col("depth").alias("_more"), F.lit(True).alias("_done"))
+        ahead = ahead.unionByName(open_.select(
+            *keys, F.col("id").alias("up"), F.col("up").alias("_up"), F.col("depth").alias("_more"), F.lit(False).alias("_done")))
+        met = land(open_.join(ahead, [*keys, "up"], "left").select(
+            *keys, "id", F.coalesce("_up", "up").alias("up"), (F.col("depth") + F.coalesce("_more", F.lit(0))).alias("depth"),
+            F.coalesce("_done", F.lit(True)).alias("_done")))
+        settled = settled.unionByName(met.filter("_done").select(*keys, "id", F.col("up").alias("top"), "depth"))
+        open_ = met.filter("not _done").drop("_done")
+        before, left = left, open_.count()
+        if left == before:
+            break
+    none = open_.select(*keys, "id", F.lit(None).cast("string").alias("top"), F.lit(None).cast("int").alias("depth"), F.lit(True).alias("cycle"))
+    return settled.withColumn("cycle", F.lit(False)).unionByName(none)
+
+
 def _named_transcripts(nodes, keys):
-    """Transcripts with the names of their genes: (keys, transcript_id, names)."""
+    """Transcripts with the names of their genes, and whether their ancestors form a cycle.
+
+    The gene of a transcript is its topmost ancestor. Nearly always that is its parent, or itself where a gene holds exons: one join
+    finds it. Only features whose parents have parents go on to ``top_ancestors``.
+    """
     keys = list(keys)
-    transcripts = nodes.select(
+    nodes = land(nodes)  # attributes are searched once
+    up = nodes.select(*keys, F.col("id").alias("_up"), F.col("node").alias("_up_node"))
+    # Neither side is known to be small: adaptive execution broadcasts by measured
+    # size and splits skewed partitions.
+    first = land(nodes.withColumn("_up", F.col("node.parent")).join(up, [*keys, "_up"], "left"))
+    deep = F.coalesce(F.col("_up_node.parent").isNotNull(), F.lit(False))
+    near = first.filter(~deep).select(
+        *keys, "id", "node", F.coalesce("_up", "id").alias("top"),
+        F.when(F.col("_up").isNull(), F.col("node")).otherwise(F.col("_up_node")).alias("top_node"), F.lit(False).alias("parent_cycle"))
+    far = first.filter(deep).select(*keys, "id", "node")
+    if far.limit(1).count():
+        tops = top_ancestors(first.select(*keys, "id", F.col("_up").alias("parent")), keys).drop("depth")
+        tops = far.join(tops, [*keys, "id"]).withColumnRenamed("cycle", "parent_cycle").withColumnRenamed("top", "_up")
+        near = near.unionByName(tops.join(up, [*keys, "_up"], "left").withColumnsRenamed({"_up": "top", "_up_node": "top_node"}))
+    return near.select(
         *keys,
         F.col("id").alias("transcript_id"),
         F.col("node.type").alias("transcript_type"),
         F.col("node.name").alias("transcript_name"),
-        # A gene that holds exons itself is its own transcript.
-        F.coalesce("node.parent", "id").alias("gene_id"),
-    )
-    genes = nodes.select(
-        *keys,
-        F.col("id").alias("gene_id"),
-        F.col("node.name").alias("gene_name"),
-        F.coalesce("node.biotype", "node.type").alias("gene_type"),
+        F.col("top").alias("gene_id"),
+        F.col("top_node.name").alias("gene_name"),
+        F.coalesce("top_node.biotype", "top_node.type").alias("gene_type"),
+        "parent_cycle",
     )
-    # Neither side is known to be small: adaptive execution broadcasts by measured
-    # size and splits skewed partitions.
-    return transcripts.join(genes, [*keys, "gene_id"], "left")
 
 
 def feature_tree(gff, keys=("genome", "path")):
     """Each exon and CDS with its transcript and gene; columns are null where a parent is missing."""
-    named = _named_transcripts(feature_nodes(gff, keys), keys)
+    named = _named_transcripts(feature_nodes(gff, keys), keys).drop("parent_cycle")
     return lookup_join(pieces_of(gff, keys), named, [*keys, "transcript_id"])
 
 
@@ -87,7 +126,7 @@ def gene_models(gff, keys=("genome", "path")):
     named = transcripts.join(
         _named_transcripts(feature_nodes(gff, keys), keys), [*keys, "transcript_id"], "left"
     )
-    reason = F.when(F.col("transcript_type").isNull(), "missing_parent").otherwise(F.col("reason"))
+    reason = F.when(F.col("transcript_type").isNull(), "missing_parent").when(F.col("parent_cycle"), "parent_cycle").otherwise(F.col("reason"))
     tagged = named.withColumn("reason", reason)
     models = tagged.filter("reason is null").select(
         *keys,

@@ -17,7 +17,8 @@ HEAVY_KEYS = 1_000
 SKETCH_ITEMS = 10_000
 
 
-def _row_bytes(schema):
+def row_bytes(schema):
+    """About how many bytes a row takes."""
     parts = []
     for field in schema.fields:
         column = F.col(f"`{field.name}`")
@@ -36,7 +37,7 @@ def _row_bytes(schema):
 def measure(df, max_rows=BROADCAST_ROWS):
     """(rows, bytes) of ``df``, counting at most ``max_rows + 1`` rows."""
     row = (
-        df.select(_row_bytes(df.schema).cast("bigint").alias("size"))
+        df.select(row_bytes(df.schema).cast("bigint").alias("size"))
         .limit(max_rows + 1)
         .agg(F.count("*").alias("rows"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"))
         .first()

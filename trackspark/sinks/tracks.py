@@ -6,6 +6,7 @@ from ..functions.values import joined_list
 from ..operators.catalog import check_unique_names
 from ..operators.contigs import EmptySizesError
 from ..operators.intervals import find_overlaps, order_columns
+from ..operators.ranges import RANGE_BYTES, clustered_by_bytes
 from ..operators.signal import summarise_signal
 from ..schemas import BIG_GENE_PRED
 
@@ -21,19 +22,16 @@ def ranges_for(spark, paths, bytes_per_range=256 << 20):
     return max(1, -(-total // bytes_per_range))
 
 
-def clustered(df, partitions=None):
+def clustered(df, partitions=None, per_range=RANGE_BYTES):
     """Rows in ranges of (genome, chrom, start, whole record), sorted within each.
 
-    Readers prune regions by the minimum and maximum of each row group. The input
-    partition is the last key, so that equal records can be in several ranges.
+    Readers prune regions by the minimum and maximum of each row group. Ranges hold about ``per_range`` bytes, measured, unless
+    ``partitions`` gives their number. The input partition is the last key, so that equal records can be in several ranges.
     """
+    if not partitions:
+        return clustered_by_bytes(df, per_range)
     keys = order_columns(df)
-    marked = df.withColumn("_from", F.spark_partition_id())
-    ranged = (
-        marked.repartitionByRange(partitions, *keys, "_from")
-        if partitions
-        else marked.repartitionByRange(*keys, "_from")
-    )
+    ranged = df.withColumn("_from", F.spark_partition_id()).repartitionByRange(partitions, *keys, "_from")
     return ranged.sortWithinPartitions(*keys).drop("_from")
 
 
@@ -41,9 +39,9 @@ def _write(df, path, by, mode):
     df.write.mode(mode).partitionBy(*by).parquet(path)
 
 
-def write_intervals(df, path, partitions=None, mode="errorifexists"):
-    """Interval records as Parquet, one folder per genome."""
-    _write(clustered(df, partitions), path, ["genome"], mode)
+def write_intervals(df, path, partitions=None, mode="errorifexists", per_range=RANGE_BYTES):
+    """Interval records as Parquet, one folder per genome. ``df`` is read twice: land it first where it is costly."""
+    _write(clustered(df, partitions, per_range), path, ["genome"], mode)
 
 
 def write_signal(
@@ -63,7 +61,9 @@ def write_signal(
         raise OverlapError(f"signal records overlap; they are listed in {path}/overlaps")
     summaries = summarise_signal(written, reductions, keys)
     ordered = [*keys, "bin"]
-    placed = summaries.repartitionByRange("reduction", *ordered).sortWithinPartitions("reduction", *ordered)
+    # A bin is a row of fixed size, so ranges of equal rows are ranges of equal bytes.
+    ranges = [partitions] if partitions else []
+    placed = summaries.repartitionByRange(*ranges, "reduction", *ordered).sortWithinPartitions("reduction", *ordered)
     _write(placed, f"{path}/summaries", ["genome", "reduction"], mode)
 
 
