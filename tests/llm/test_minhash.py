@@ -51,11 +51,11 @@ def rows():
     return rows
 
 
-@pytest.mark.parametrize("rounds", [2, 1])
-def test_components_equal_those_of_all_pairs(spark, rows, rounds, monkeypatch):
-    """With one leader round more is left to comparing whole buckets, in small chunks."""
+@pytest.mark.parametrize(("rounds", "rare"), [(2, 64), (1, 64), (1, 8), (1, 1)])
+def test_components_equal_those_of_all_pairs(spark, rows, rounds, rare, monkeypatch):
+    """With one leader round more is left to the prefix join, with few rare minima to comparing whole buckets in small chunks."""
     monkeypatch.setattr(minhash, "LEADER_ROUNDS", rounds)
-    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), chunk=7).collect()
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), chunk=7, rare=rare).collect()
     assert sorted(tuple(r) for r in got if r.doc_id is not None) == components(rows)
     assert [(r.component_id, r.kept) for r in got if r.doc_id is None] == [(None, True)]
 
@@ -79,3 +79,23 @@ def test_long_path_is_one_component(spark):
     edges = spark.createDataFrame([(i + 1, i) for i in range(300)] + [(5, 5), (None, 2)], "u long, v long")
     got = connected_components(edges).collect()
     assert len(got) == 300 and {r.component for r in got} == {0}
+
+
+def test_a_shared_passage_makes_work_in_proportion(spark, monkeypatch):
+    """Texts that share one passage and nothing else: twice the texts give no pairs, and few members to compare in buckets."""
+    met, meetings = [], minhash._meetings
+
+    def counted(apart, chunk):
+        out = meetings(apart, chunk)
+        met.append(out.count())
+        return out
+
+    monkeypatch.setattr(minhash, "_meetings", counted)
+    pick = random.Random(5)
+    passage = " ".join(f"p{i}" for i in range(60))
+    for n in (150, 300):
+        texts = [passage + " " + " ".join(str(pick.random()) for _ in range(60)) for _ in range(n)]
+        found = minhash.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), chunk=16, rare=8).collect()
+        assert all(r.kept for r in found)
+        assert sum(met) <= 4 * n
+        met.clear()

@@ -6,12 +6,17 @@ row. Two sets of similarity 0.75 miss every band of 32 x 4 with probability 5e-6
 
 Within a bucket no pairs are listed. Each member is compared with one leader: first with minima (an
 estimate, cut 5 standard deviations below the threshold), then on the full sets, with integers. Confirmed links
-are joined to components. A bucket that still holds several components is
-compared whole: members are dealt into chunks of ``CHUNK``, those outside the leader's component visit every chunk of
-their bucket, and a task compares the minima of visitors and residents. Members that are like none of another
-component, as most that met by a shared passage, are done; the others meet again with their full sets, and a task confirms and
-joins as it goes, so it emits at most one link per member. So every pair that shares a bucket is either in one component or has
-been compared. ``LEADER_ROUNDS`` over 1 tries further leaders first.
+are joined to components. Members of buckets that still hold several components go on, apart from their buckets, as a prefix join: two
+signatures that agree in enough of their minima share one of the rarest of them, so each member looks only under its
+rarest minima, and one that all its bucket has, as from a passage that many texts embed, is looked under last or never.
+A minimum of up to ``RARE`` members meets them all, so a member has a bounded number of partners however large its bucket is.
+Only members that more than ``RARE`` others resemble in most of their minima, such as families of one template, have too few rare ones.
+They alone are compared bucket by bucket: dealt into chunks of ``CHUNK``, those outside its largest component visit every chunk of
+their bucket, and a task compares the minima of visitors and residents, then the sets of those that pass, and joins as
+it goes, so it emits at most one link per member. So every pair that shares a bucket is either in one component or has
+been held to the same cut on minima. ``LEADER_ROUNDS`` over 1 tries further leaders first.
+
+Chances of a miss, for a pair at the threshold: 5e-6 that it shares no bucket, 1e-7 that its minima fall below the cut.
 
 Defined cases: a null text, or one without words, has an empty set and is linked with nothing. With fewer words
 than a shingle, all words are one shingle. Rows of one doc_id are one node; each row gets its own n_shingles. A row with
@@ -34,6 +39,7 @@ ROWS = 4
 PERCENT = 75
 LEADER_ROUNDS = 1
 CHUNK = 512
+RARE = 64  # members that share a minimum and are paired by it
 
 _random = np.random.Generator(np.random.PCG64(19970714))
 _A = _random.integers(0, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -185,7 +191,7 @@ def _sets_of(reps, sketches, texts, shingle):
     return land(rows.select("rep", "text", "_key").mapInArrow(run, "rep long, set binary").dropDuplicates(["rep"]))
 
 
-def near_links(sketches, texts, percent=PERCENT, shingle=SHINGLE, rows=ROWS, chunk=CHUNK):
+def near_links(sketches, texts, percent=PERCENT, shingle=SHINGLE, rows=ROWS, chunk=CHUNK, rare=RARE):
     """(u, v) links that join all similar sets of ``sketches``, one row (rep, key, doc_id, minima) per distinct set."""
     width = 4 * rows
     bands = F.transform(F.sequence(F.lit(0), F.lit(HASHES // rows - 1)), lambda b: F.xxhash64(
@@ -212,6 +218,15 @@ def near_links(sketches, texts, percent=PERCENT, shingle=SHINGLE, rows=ROWS, chu
     if not apart.limit(1).count():
         return links
     minima = sketches.select("rep", "minima")
+    pairs, alike = _prefix_pairs(apart.select("rep", "comp").distinct().join(minima, "rep"), _least_equal(percent), rare)
+    links = land(links.unionByName(_verified(pairs, sketches, texts, percent, shingle)))
+    if not alike.limit(1).count():
+        return links
+    apart = members.join(alike, "rep", "left_semi").drop("n", "leader")
+    apart = _unsettled(_with_components(apart, links))
+    if not apart.limit(1).count():
+        return links
+    apart = land(apart.join(apart.groupBy("bucket").agg(F.count("*").alias("n")), "bucket"))
     met = _meetings(apart, chunk).join(minima, "rep").groupBy("bucket", "chunk", "part").applyInPandas(_likely_bucket(percent, rows), "bucket long, rep long")
     alive = land(apart.join(met.distinct(), ["bucket", "rep"], "left_semi").drop("n"))
     if not alive.limit(1).count():
@@ -223,12 +238,32 @@ def near_links(sketches, texts, percent=PERCENT, shingle=SHINGLE, rows=ROWS, chu
     return land(links.unionByName(more.distinct()))
 
 
+def _prefix_pairs(members, least, rare):
+    """((u, v), reps): pairs of different components that share one of their rarest minima, and the members with too few rare ones.
+
+    ``members`` is (rep, comp, minima). Signatures that agree in ``least`` minima share one among the HASHES - least + 1 that come
+    first in any order of all minima, so in that from rare to common too. A minimum that no other member has fills a
+    place and meets nobody.
+    """
+    prefix = HASHES - least + 1
+    minimum = F.transform(F.sequence(F.lit(0), F.lit(HASHES - 1)), lambda i: F.xxhash64(i, F.substring("minima", i * 4 + 1, F.lit(4))))
+    minima = land(members.select("rep", F.explode(minimum).alias("minimum")))
+    shared = minima.groupBy("minimum").agg(F.count("*").alias("n")).filter("n > 1")
+    own = minima.join(shared, "minimum").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("n", "minimum"))).alias("shared"))
+    first = own.select("rep", F.slice("shared", F.lit(1), F.greatest(F.lit(prefix - HASHES) + F.size("shared"), F.lit(0))).alias("first"))
+    first = land(first.filter(F.size("first") > 0).join(members.select("rep", "comp"), "rep"))
+    looks = land(first.select("rep", "comp", F.inline("first")).filter(F.col("n") <= rare).drop("n"))
+    other = looks.select(F.col("rep").alias("v"), F.col("comp").alias("v_comp"), "minimum")
+    pairs = looks.withColumnRenamed("rep", "u").join(other.hint("merge"), "minimum").filter("u > v and comp != v_comp").select("u", "v").distinct()
+    return land(pairs), land(first.filter(F.element_at("first", -1)["n"] > rare).select("rep"))
+
+
 def _meetings(apart, chunk):
     """(bucket, chunk, part, band, rep, comp, resident): every member at home in one chunk of its bucket and, unless it is
-    of the leader's component, a visitor in all of them; visitors are dealt into parts likewise."""
+    of the component that most of the bucket belongs to, a visitor in all of them; visitors are dealt into parts likewise."""
     chunks = F.ceil(F.col("n") / chunk).cast("int")
-    main = F.min(F.struct(F.col("rep") != F.col("leader"), "comp"))["comp"]
-    known = apart.join(apart.groupBy("bucket").agg(main.alias("main")), "bucket").withColumn("visits", F.col("comp") != F.col("main"))
+    main = apart.groupBy("bucket", "comp").agg(F.count("*").alias("size")).groupBy("bucket").agg(F.max_by("comp", F.struct("size", "comp")).alias("main"))
+    known = apart.join(main, "bucket").withColumn("visits", F.col("comp") != F.col("main"))
     guests = known.groupBy("bucket").agg(F.ceil(F.count_if("visits") / chunk).cast("int").alias("parts"))
     known = land(known.join(guests, "bucket").withColumn("chunks", chunks))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
@@ -245,7 +280,7 @@ def _unsettled(members):
     return land(members.join(mixed, "bucket", "left_semi"))
 
 
-def near_duplicates(documents, percent=PERCENT, shingle=SHINGLE, rows=ROWS, chunk=CHUNK):
+def near_duplicates(documents, percent=PERCENT, shingle=SHINGLE, rows=ROWS, chunk=CHUNK, rare=RARE):
     """(doc_id, n_shingles, component_id, kept), one row per row of ``documents``."""
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketched = land(texts.mapInArrow(_sketch(shingle), "doc_id long, n_shingles long, key binary, minima binary"))
@@ -254,7 +289,7 @@ def near_duplicates(documents, percent=PERCENT, shingle=SHINGLE, rows=ROWS, chun
     # A doc_id may have several sets, so sets have numbers of their own; written once, they stay as they are.
     firsts = land(nodes.groupBy("key").agg(F.min(F.struct("doc_id", "minima")).alias("f")).select(
         "key", "f.doc_id", "f.minima", F.monotonically_increasing_id().alias("rep")))
-    links = near_links(firsts, texts, percent, shingle, rows, chunk)
+    links = near_links(firsts, texts, percent, shingle, rows, chunk, rare)
     ids = firsts.select("rep", "doc_id")
     linked = links.join(ids.select(F.col("rep").alias("u"), F.col("doc_id").alias("a")), "u").join(
         ids.select(F.col("rep").alias("v"), F.col("doc_id").alias("b")), "v").select(F.col("a").alias("u"), F.col("b").alias("v"))
