@@ -17,9 +17,9 @@ columns are kept; one that has the name of a result is replaced.
 """
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .common import others
 
@@ -143,19 +143,16 @@ def fold(id_column):
 
 
 def identify(documents, model):
-    """``documents`` with lang_pred and score, from ``text`` alone."""
-    spark = documents.sparkSession
-    shared = spark.sparkContext.broadcast(model)
-    documents = documents.select(*others(documents, "lang_pred", "score"))
-    schema = T.StructType([*documents.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-
-    def score(batches):
-        for batch in batches:
-            found = shared.value.predict(batch.column("text").to_pylist())
-            arrays = [*batch.columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
-            yield pa.RecordBatch.from_arrays(arrays, [*batch.schema.names, "lang_pred", "score"])
-
-    return documents.mapInArrow(score, schema)
+    """``documents`` with lang_pred and score, from ``text`` alone; nothing else goes through Python."""
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("lang_pred string, score double")
+    def score(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame(shared.value.predict(texts.tolist()), columns=["lang_pred", "score"])
+
+    # Not deterministic for the optimizer, which would else run it again for a filter on its result.
+    found = documents.select(*others(documents, "lang_pred", "score"), score.asNondeterministic()("text").alias("_language"))
+    return found.select(*(F.col(f"`{c}`") for c in found.columns[:-1]), "_language.lang_pred", "_language.score")
 
 
 def fit_on_documents(documents, **options):

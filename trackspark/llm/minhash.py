@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import keyed_join, land
 from .components import connected_components
-from .tokens import shingle_sets
+from .tokens import shingle_sets, slices
 
 SHINGLE = 5
 HASHES = 128
@@ -57,7 +57,7 @@ def signature(shingles):
 
 def _sketch(shingle):
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             sizes, keys, minima = [], [], []
             for s in shingle_sets(batch.column("text"), shingle):
                 sizes.append(len(s))
@@ -182,7 +182,7 @@ def _sets_of(reps, sketches, texts, shingle):
     rows = keyed_join(texts, wanted, ["doc_id"], "inner")
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             found = [(s.tobytes(), len(s) and hashlib.blake2b(s.tobytes(), digest_size=16).digest() == k)
                      for s, k in zip(shingle_sets(batch.column("text"), shingle), batch.column("_key").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array([f[0] for f in found], pa.binary())], ["rep", "set"]).filter(

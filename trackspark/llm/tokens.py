@@ -9,6 +9,7 @@ stays small however long a text is.
 import numpy as np
 
 SLAB = 1 << 20
+SLICE = 2 << 20
 _random = np.random.Generator(np.random.PCG64(20240229))
 _VALUES = _random.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _VALUES[ord("A"):ord("Z") + 1] = _VALUES[ord("a"):ord("z") + 1]
@@ -52,6 +53,23 @@ def text_bytes(column):
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def slices(batch, column="text", limit=SLICE):
+    """Parts of an Arrow batch with about ``limit`` bytes of text each, or one text where it is longer.
+
+    What a task computes from a part is freed with it, and memory that Arrow keeps for reuse is given back after the batch.
+    """
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    ends, at = np.cumsum(lengths, dtype=np.int64), 0
+    while at < batch.num_rows:
+        end = max(int(np.searchsorted(ends, (ends[at - 1] if at else 0) + limit, side="right")), at + 1)
+        yield batch.slice(at, end - at)
+        at = end
+    pa.default_memory_pool().release_unused()
+
+
 def _slab(data, breaks):
     """Hashes and start places of the words in ``data``; a word also ends at each place in ``breaks``."""
     inside = _WORD[data]
