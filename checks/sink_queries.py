@@ -6,11 +6,12 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from trackspark.functions import values as V
+from trackspark.operators import catalog, intervals
 from trackspark.operators.lookup import row_bytes
 from trackspark.operators.ranges import clustered_by_bytes
 from trackspark.operators.scratch import land, scratch_dir
 from trackspark.plans import jobs
-from trackspark.sinks import regions
+from trackspark.sinks import regions, zoom
 from trackspark.sinks import tracks as sinks
 from trackspark.sources import fasta, records, tables
 from trackspark.sources.text import literal_path
@@ -399,3 +400,78 @@ def interval_sink_ranges(spark, sf_dir):
     return files.withColumn("reach", reach).agg(
         F.sum("n").alias("records"), F.sum("wrong").alias("out_of_order"), F.count_if(F.col("reach") > F.col("first")).alias("overlapping_files"),
         (F.max("n") <= 2 * F.median("n")).alias("even"))
+
+
+# Views of chr2: bins narrower than every summary, between two of them, and wider than all, none of them aligned.
+VIEWS = [(137, 30_500, 333), (5, 90_001, 2_500), (1_234, 99_000, 17_001)]
+
+
+def _view_sql(start, end, width):
+    return f"""
+select {width} as width, bin, cast(sum(bases) as bigint) as covered, cast(sum(v * bases) as bigint) as total,
+       cast(sum(v * v * bases) as bigint) as total_sq, min(v) as low, max(v) as high
+from (select bin, signal as v, least(span_end, {end}, {start} + (bin + 1) * {width}) - greatest(span_start, {start} + bin * {width}) as bases
+      from (select *, unnest(generate_series((greatest(span_start, {start}) - {start}) // {width},
+                                             (least(span_end, {end}) - 1 - {start}) // {width})) as bin
+            from clean where chrom = 'chr2' and span_start < {end} and span_end > {start}) b) c
+group by bin"""
+
+
+@query("signal_zoom", f"with {I.CLEAN} {' union all '.join(_view_sql(*v) for v in VIEWS)}")
+def signal_zoom(spark, sf_dir):
+    path = _folder(spark)
+    clean = jobs.clean_signal(I.intervals(spark, sf_dir), I.sizes(spark, sf_dir)).clean
+    sinks.write_signal(clean, path, [1000, 4000, 16000], keys=("genome", "chrom"))
+    regions.write_index(spark, f"{path}/records")
+    views = [zoom.read_zoom(spark, path, "asm", "chr2", *view, keys=("genome", "chrom"), reductions=[1000, 4000, 16000]).select(
+        F.lit(view[2]).alias("width"), "bin", "covered", "total", "total_sq", "low", "high") for view in VIEWS]
+    return views[0].unionByName(views[1]).unionByName(views[2])
+
+
+def _placed(df):
+    """``df`` with the position of each row in the order that it comes in."""
+    return df.withColumn("_id", F.monotonically_increasing_id()).withColumn(
+        "position", F.row_number().over(Window.orderBy("_id"))).drop("_id")
+
+
+@query("interval_sort_order", f"""
+with {I.CLEAN}
+select chrom, span_start as start_pos, span_end as end_pos, signal,
+       cast(row_number() over (order by genome, chrom, span_start, span_end, signal) as integer) as position from clean
+""")
+def interval_sort_order(spark, sf_dir):
+    clean = jobs.clean_signal(I.intervals(spark, sf_dir), I.sizes(spark, sf_dir)).clean
+    return _placed(intervals.sort_intervals(clean)).select(
+        "chrom", F.col("start").alias("start_pos"), F.col("end").alias("end_pos"), F.col("value").alias("signal"), "position")
+
+
+@query("multi_assembly_order", f"""
+with {I.TRACKS}
+select genome, path, cast(row_number() over (order by genome, path) as integer) as position from (select distinct genome, path from sheet) s
+""")
+def multi_assembly_order(spark, sf_dir):
+    sheet = tables.samplesheet_rows(I.samplesheet(spark, sf_dir)).select("genome", "path")
+    return _placed(catalog.multi_assembly(sheet.filter("length(path) % 2 = 0"), sheet)).select("genome", "path", "position")
+
+
+@query("directory_job", f"""
+with {I.HARMONISED},
+named as (select *, 'chr' || cast(signal % 3 as varchar) as folder from harmonised),
+clean as (select folder, count(*) as records, cast(sum(span_end - span_start) as bigint) as bases from named
+          where known and span_end <= contig_size group by folder)
+select folder, records, bases, cast(row_number() over (order by folder) as integer) as position from clean
+""")
+def directory_job(spark, sf_dir):
+    """Track files written under folders, listed in order of their paths into a samplesheet, and read by its job; other files are left out."""
+    path = _folder(spark)
+    rows = I.intervals(spark, sf_dir).withColumn("folder", F.concat(F.lit("chr"), (F.col("value") % 3).cast("string")))
+    columns = ["chrom", F.col("start").cast("string"), F.col("end").cast("string")]
+    rows.repartition("folder").select("folder", *columns).write.partitionBy("folder").option("sep", "\t").option("extension", "bed").csv(f"{path}/tracks")
+    rows.limit(1).select("chrom").write.text(f"{path}/tracks/notes")
+    listed = jobs.list_track_files(spark, f"{path}/tracks")
+    place = _placed(listed.filter("path like '%.bed'")).groupBy(F.regexp_extract("path", "folder=([^/]+)/", 1).alias("folder")).agg(
+        F.min("position").alias("_first"))
+    order = place.select("folder", F.row_number().over(Window.orderBy("_first")).alias("position"))
+    clean = jobs.bed_job(spark, jobs.directory_sheet(spark, f"{path}/tracks", "asm"), I.sizes(spark, sf_dir)).clean
+    return clean.groupBy(F.regexp_extract("path", "folder=([^/]+)/", 1).alias("folder")).agg(
+        F.count("*").alias("records"), F.sum(F.col("end") - F.col("start")).alias("bases")).join(order, "folder")
