@@ -81,3 +81,14 @@ def test_secrets(spark):
     assert [got[i].spans for i in (4, 5, 6, 7)] == ["", "", "", ""]
     assert got[8].base == "hex:0:40" and got[9].base == "hex:8:44".replace("8:44", "11:44")
     assert secrets.summarise(df.limit(0), secrets.find_secrets(df.limit(0))).count() == 0
+
+
+def test_ownership_counts_repositories_once(spark):
+    """Three texts of one repository and owner are one repository; a second owner of two repositories, one of them shared, adds one."""
+    key = "AKIA" + "Z" * 16
+    rows = [(f"{i} {key}", r, o) for i, (r, o) in enumerate([("r1", "a"), ("r1", "a"), ("r1", "a"), ("r2", "b"), ("r1", "b"), (None, None)])]
+    df = spark.createDataFrame(rows, "text string, repository string, source string")
+    found = secrets.find_secrets(df, repository="repository").filter("kind = 'access'").select("repositories", "owners", "live").distinct().collect()
+    assert [tuple(r) for r in found] == [(2, 3, False)]
+    one = secrets.find_secrets(df.filter("source = 'a'"), repository="repository").filter("kind = 'access'").select("repositories", "owners", "live")
+    assert [tuple(r) for r in one.distinct().collect()] == [(1, 1, True)]

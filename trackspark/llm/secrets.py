@@ -4,10 +4,10 @@ Each text is scanned once per kind. Matches are set off by a separator that no t
 gives texts and matches in turn and running sums of lengths give their places, in time linear in the text.
 
 Every value found is hashed and counted over the corpus: in how many repositories, and of how many owners, it
-stands. A value of many owners is a widely copied example; one of few owners looks live. Besides
+stands. A value of many owners is a widely copied example; one of few owners looks live, in however many of their repositories it
+stands. A repository is a document here, and an owner its ``source``, of which this corpus has about twenty. Besides
 the base kinds, a long mixed string that looks like no known kind is taken as a ``token`` if it is live-looking and
-overlaps no base span. Copies of a text, and the rows of one owner, are counted before they are joined,
-so one text or value held by a third of all rows is one row per owner there.
+overlaps no base span. Copies of a text are scanned once.
 
 Defined cases: null and empty texts have no spans. Null owners count as one owner, null repositories as none. Repeated
 rows share one scan and each get a row. Empty tables give no rows. Other columns are
@@ -76,13 +76,17 @@ def scan(texts):
 
 
 def ownership(spans, holders):
-    """(print, repositories, owners) per hash of a value; ``holders`` has (key, owner, repositories) per text."""
+    """(print, repositories, owners) per hash of a value; ``holders`` has a row (key, owner, repository) wherever a text stands.
+
+    Distinct values are counted before and after the shuffle by each of them, so a value that stands in very many places is
+    spread over its places first.
+    """
     held = spans.select("key", F.sha2("value", 256).alias("print")).distinct()
-    return (
-        held.join(holders, "key")
-        .groupBy("print", "owner").agg(F.sum("repositories").alias("repositories"))
-        .groupBy("print").agg(F.sum("repositories").alias("repositories"), F.count("*").alias("owners"))
-    )
+    owner = F.coalesce(F.concat(F.lit("="), F.col("owner").cast("string")), F.lit(""))
+    places = held.join(holders, "key").select("print", owner.alias("owner"), "repository").distinct()
+    repositories = places.select("print", "repository").distinct().groupBy("print").agg(F.count("repository").alias("repositories"))
+    owners = places.select("print", "owner").distinct().groupBy("print").agg(F.count("*").alias("owners"))
+    return repositories.join(owners, "print")
 
 
 def find_secrets(documents, repository="doc_id", owner="source", copied_owners=COPIED_OWNERS):
@@ -91,8 +95,7 @@ def find_secrets(documents, repository="doc_id", owner="source", copied_owners=C
     spans = land(scan(texts))
     keys = spans.select("key").distinct()
     rows = documents.select(text_key(F.col("text")).alias("key"), F.col(owner).alias("owner"), F.col(repository).alias("repository"))
-    holders = keyed_join(
-        rows.groupBy("key", "owner").agg(F.count_distinct("repository").alias("repositories")), keys, ["key"], "inner")
+    holders = keyed_join(rows, keys, ["key"], "inner")
     owned = land(ownership(spans, holders))
     known = keyed_join(spans.withColumn("print", F.sha2("value", 256)), owned, ["print"])
     known = known.withColumn("live", F.col("owners") < copied_owners)
