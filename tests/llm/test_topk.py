@@ -44,5 +44,7 @@ def test_bounds_leave_out_candidates():
     q = x[-1:].copy()
     pivots = x[[0, 2005, 100]]
     order = np.argsort(np.arange(len(x)))
-    found = topk._search(q, np.array([-1]), x[order].view(Counted), np.arange(len(x)), pivots, 5)
+    to_q, to_x = topk._distances(q, pivots), topk._distances(x, pivots)
+    found = topk._search(q, np.array([-1]), to_q, x[order].view(Counted), np.arange(len(x)), to_x, 5)
     assert sorted(found[2]) == sorted(np.sort(x @ q[0])[-5:])
+    assert topk.STEP <= sum(seen) <= len(x) // 4

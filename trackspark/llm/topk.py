@@ -1,7 +1,7 @@
 """Exact top-k inner products by pivot-table elimination.
 
 Vectors become integers, floor(scale * x). For integer vectors 2 q.x = |q|^2 + |x|^2 - d(q, x)^2, so a lower bound of
-the distance is an upper bound of the product. A table holds the distance of every vector to many pivots; the largest
+the distance is an upper bound of the product. A table, computed once and landed beside the vectors, holds the distance of every vector to many pivots; the largest
 |d(q, p) - d(x, p)| over the pivots bounds d(q, x) from below. Candidates are taken in order of their bound and
 evaluated until the next bound is below the k-th best product found: no later candidate can enter. Equal bounds are
 evaluated, so ties go to the smaller id exactly.
@@ -31,7 +31,7 @@ QUERY_BLOCK = 2_048
 CANDIDATE_BLOCK = 4_096
 STEP = 256  # candidates evaluated between two looks at the bounds
 
-_PACKED = "block bigint, n int, ids binary, vectors binary"
+_PACKED = "block bigint, n int, ids binary, vectors binary, distances binary"
 
 
 def usable(table, id_column, vector_column, scale=SCALE):
@@ -57,35 +57,37 @@ def fit_pivots(vectors, pivots=PIVOTS, sample=SAMPLE):
     return points[chosen]
 
 
-def _pack(key, ids, vectors):
+def _pack(key, ids, vectors, pivots):
+    """One block with its part of the pivot table."""
     return pd.DataFrame({"block": [key], "n": [len(ids)], "ids": [np.asarray(ids, "<i8").tobytes()],
-                         "vectors": [np.ascontiguousarray(vectors, "<i8").tobytes()]})
+                         "vectors": [np.ascontiguousarray(vectors, "<i8").tobytes()],
+                         "distances": [np.ascontiguousarray(_distances(np.asarray(vectors, np.float64), pivots), "<f8").tobytes()]})
 
 
 def _blocks_by_pivot(pivots, size):
     """Pack each Arrow batch into blocks of vectors that share their nearest pivot."""
     def pack(batches):
         for batch in batches:
+            if not len(batch):
+                continue
             x = np.stack(batch["v"].to_numpy()).astype(np.float64)
-            near = (x**2).sum(1)[:, None] - 2 * x @ pivots.T + (pivots**2).sum(1)
-            order = np.argsort(near.argmin(1), kind="stable")
+            order = np.argsort(_distances(x, pivots).argmin(1), kind="stable")
             for a in range(0, len(order), size):
                 part = order[a:a + size]
-                yield _pack(0, batch["id"].to_numpy()[part], x[part])
+                yield _pack(0, batch["id"].to_numpy()[part], x[part], pivots)
     return pack
 
 
 def _distances(x, pivots):
     square = (x**2).sum(1)
-    return np.sqrt(np.maximum(square[:, None] - 2 * x @ pivots.T + (pivots**2).sum(1), 0)), square
+    return np.sqrt(np.maximum(square[:, None] - 2 * x @ pivots.T + (pivots**2).sum(1), 0))
 
 
-def _search(q, q_ids, x, x_ids, pivots, k):
-    """Row numbers (query, candidate, product) of the best k of this block for each query."""
+def _search(q, q_ids, to_q, x, x_ids, to_x, k):
+    """Row numbers (query, candidate, product) of the best k of this block for each query; to_q and to_x are rows of the pivot table."""
     order = np.argsort(x_ids, kind="stable")
-    x, x_ids = x[order], x_ids[order]
-    to_q, q_square = _distances(q, pivots)
-    to_x, x_square = _distances(x, pivots)
+    x, x_ids, to_x = x[order], x_ids[order], to_x[order]
+    q_square, x_square = (q**2).sum(1), np.asarray((x**2).sum(1))
     out = []
     for i in range(len(q)):
         lower = np.abs(to_x - to_q[i]).max(1) - 1e-6
@@ -122,10 +124,10 @@ def top_k(queries, candidates, k=5, pivots=PIVOTS, sample=SAMPLE, query_block=QU
     n_queries = queries.count()
     q_blocks = max(1, -(-n_queries // query_block))
     packed_q = queries.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(q_blocks))).groupBy("block").applyInPandas(
-        lambda key, g: _pack(key[0], g["id"], np.stack(g["v"].to_numpy())), _PACKED)
-    packed_x = candidates.mapInPandas(_blocks_by_pivot(table, candidate_block), _PACKED)
+        lambda key, g: _pack(key[0], g["id"], np.stack(g["v"].to_numpy()), table), _PACKED)
+    packed_x = land(candidates.mapInPandas(_blocks_by_pivot(table, candidate_block), _PACKED))
     every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(q_blocks - 1).cast("bigint")))
-    wide = packed_x.select(every.alias("block"), F.col("ids").alias("x_ids"), F.col("vectors").alias("x_vectors"))
+    wide = packed_x.select(every.alias("block"), F.col("ids").alias("x_ids"), F.col("vectors").alias("x_vectors"), F.col("distances").alias("x_distances"))
     pairs = wide.join(land(packed_q), "block").repartition(F.xxhash64("x_ids", "block"))
 
     def search(batches):
@@ -133,9 +135,9 @@ def top_k(queries, candidates, k=5, pivots=PIVOTS, sample=SAMPLE, query_block=QU
             for row in batch.itertuples():
                 def unpack(ids, vectors):
                     return np.frombuffer(ids, "<i8"), np.frombuffer(vectors, "<i8").reshape(-1, dim).astype(np.float64)
-                q_ids, q = unpack(row.ids, row.vectors)
-                x_ids, x = unpack(row.x_ids, row.x_vectors)
-                found = _search(q, q_ids, x, x_ids, table, k)
+                (q_ids, q), (x_ids, x) = unpack(row.ids, row.vectors), unpack(row.x_ids, row.x_vectors)
+                to_q, to_x = (np.frombuffer(d, "<f8").reshape(-1, len(table)) for d in (row.distances, row.x_distances))
+                found = _search(q, q_ids, to_q, x, x_ids, to_x, k)
                 yield pd.DataFrame({"query_id": found[0], "id": found[1], "score": found[2].astype(np.int64)})
 
     found = pairs.mapInPandas(search, schema)
