@@ -24,9 +24,9 @@ def expected(text, counts, length):
     return len(data), sum(mask), sum(k for k, _ in itertools.groupby(mask)), bytes(x for x, y in zip(data, mask, strict=True) if not y)
 
 
-@pytest.mark.parametrize("most", [2_000, 2, 0])
-def test_removal_equals_brute_force(spark, most, monkeypatch):
-    """Null, empty and periodic texts, copies, repeated ids; ``most`` sends grams down either way."""
+@pytest.mark.parametrize(("most", "floor"), [(2_000, 280), (2, 280), (0, 24), (2_000, 14), (2, 17), (0, 14)])
+def test_removal_equals_brute_force(spark, most, floor, monkeypatch):
+    """Null, empty and periodic texts, copies, repeated ids; ``most`` sends grams down either way, a lesser ``floor`` counts shorter repeats."""
     pick, length = random.Random(5), 24
     parts = ["aé", "b", "cc", "\n", "d ", "xyz"]
     base = ["".join(pick.choice(parts) for _ in range(pick.randint(5, 60))) for _ in range(12)]
@@ -36,11 +36,28 @@ def test_removal_equals_brute_force(spark, most, monkeypatch):
                              for _ in range(4)))
     texts += texts[10:20]
     rows = [(pick.choice([i, None, 3]), t) for i, t in enumerate(texts)]
-    counts = Counter(d[i:i + length] for t in texts for d in [(t or "").encode()] for i in range(len(d) - length + 1))
+    counts, short = (Counter(d[i:i + n] for t in texts for d in [(t or "").encode()] for i in range(len(d) - n + 1))
+                     for n in (length, min(floor, length)))
     monkeypatch.setattr(suffixes, "PIECE", 100)
-    got = suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), length, 6, most, 3_000).collect()
+    got = suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), length, 6, most, 3_000, floor).collect()
     key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
-    assert sorted(key((*r[:4], bytes(r[4]))) for r in got) == sorted(key((i, *expected(t, counts, length))) for i, t in rows)
+    assert sorted(key((*r[:4], bytes(r[4]), r[5])) for r in got) == sorted(
+        key((i, *expected(t, counts, length), expected(t, short, min(floor, length))[1])) for i, t in rows)
+
+
+def test_passages_on_both_sides_of_the_length(spark):
+    """Passages of 300 to 500 bytes, each in two texts: from 400 bytes on they are removed, all of them count as repeated."""
+    pick = random.Random(8)
+    text = lambda n: "".join(pick.choice("abcdefghij klmnopq") for _ in range(n))
+    sizes = [300, 350, 399, 400, 401, 500]
+    rows = [(2 * i + k, text(700 + 13 * i) + " " + passage + "#" * (k + 1) + text(500)) for i, passage in enumerate(map(text, sizes)) for k in (0, 1)]
+    rows += [(100 + i, text(900)) for i in range(5)]
+    got = {r.doc_id: (r.n_removed, r.n_repeated) for r in suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, size in enumerate(sizes):
+        for k in (0, 1):  # a space before and a mark behind are shared too
+            removed, repeated = got[2 * i + k]
+            assert repeated in (size + 2, size + 3) and removed == (repeated if repeated >= 400 else 0)
+    assert all(got[100 + i] == (0, 0) for i in range(5))
 
 
 def test_empty_table(spark):

@@ -1,15 +1,16 @@
 """Removal of long repeated byte strings by suffix arrays built in two stages.
 
-A byte is removed if a string of ``LENGTH`` bytes that covers it also starts anywhere else in the corpus. Three steps:
+A byte is removed if a string of ``LENGTH`` bytes that covers it also starts anywhere else in the corpus. Strings of ``FLOOR`` bytes,
+about 45 words, are found on the way: their bytes are counted as repeated, so that shorter copied passages show, but stay. Three steps:
 
-1. Candidates. Of the grams of ``GRAM`` bytes in each such string the one of least hash is kept, so two equal strings keep the same
-   gram at the same place. Consecutive starts that keep one gram form a run; the run's bytes, from its first start to
-   the end of its last string, are its context. Runs whose gram occurs once are done. Runs with equal gram and context are copies of each
+1. Candidates. Of the grams of ``GRAM`` bytes in each string of ``FLOOR`` bytes the one of least hash is kept, so two equal strings keep the same
+   gram at the same place. Consecutive starts that keep one gram form a run; the run's bytes, from its first start to ``LENGTH`` bytes after its
+   last, or to the text's end, are its context. Runs whose gram occurs once are done. Runs with equal gram and context are copies of each
    other, wholly repeated, and only counted, so a group of copies costs one row per text and is counted before the shuffle.
 2. Suffix arrays. The different contexts of a gram are gathered, gram by gram, in bundles of bounded size. A bundle is sorted as
    one text in two stages: only suffixes smaller than their successors are sorted directly (as sequences of the
-   segments between two such places, by doubling); all others are induced by scanning the buckets of first bytes in order. Starts whose
-   neighbour in the array shares ``LENGTH`` bytes or more are repeated.
+   segments between two such places, by doubling); all others are induced by scanning the buckets of first bytes in order. Common
+   prefixes of neighbours in the array then tell which starts are repeated, for ``FLOOR`` bytes or for ``LENGTH``.
 3. A gram with over ``MOST`` different contexts, such as that of a passage that very many documents embed, is not gathered anywhere: the strings
    of its runs are counted by 128-bit hash, with partial counts before the shuffle. The result is the same.
 
@@ -31,7 +32,8 @@ from .common import keyed_join, land, text_key
 from .tokens import _BASE, _INVERSE, _VALUES, _power, mix, text_bytes
 
 LENGTH = 400
-GRAM = 64
+FLOOR = 280  # strings whose repeats are counted
+GRAM = 40
 MOST = 1_000  # contexts of one gram that are gathered in one bundle
 BUNDLE = 1 << 20  # bytes of contexts in a bundle, about
 PIECE = 2 << 20
@@ -62,26 +64,31 @@ def _first_least(values, width):
     return (np.minimum(behind[:m], ahead[width - 1:width - 1 + m]) & np.uint64(0xFFFFFF)).astype(np.int64)
 
 
-def runs_of(data, bounds, length=LENGTH, gram=GRAM):
-    """(document, first, last, print, context) of the runs in one piece of texts; places count from the piece's start."""
+def runs_of(data, bounds, owned, length, floor, gram):
+    """(document, first, last, end, print, context) of the runs in one piece of texts; places count from the piece's start.
+
+    Starts from ``owned`` on belong to the next piece.
+    """
     empty = np.empty(0, np.int64)
-    if len(data) < length:
-        return empty, empty, empty, empty, empty
+    if len(data) < floor:
+        return (empty,) * 6
     sums = _sums(data)
     at = np.arange(len(data) - gram + 1)
     grams = mix(_window_hash(sums, at, at + gram))
-    place = _first_least(grams, length - gram + 1)
+    place = _first_least(grams, floor - gram + 1)
     starts = np.arange(len(place))
     document = np.searchsorted(bounds, starts, side="right") - 1
-    ok = starts + length <= bounds[document + 1]
+    ok = (starts + floor <= bounds[document + 1]) & (starts < owned)
     starts, place, document = starts[ok], place[ok], document[ok]
     if not len(starts):
-        return empty, empty, empty, empty, empty
+        return (empty,) * 6
     new = np.flatnonzero((np.diff(place) != 0) | (np.diff(document) != 0)) + 1
     heads, tails = np.append(0, new), np.append(new, len(starts)) - 1
-    first, last, place = starts[heads], starts[tails], place[heads]
-    context = mix(_window_hash(sums, first, last + length) ^ mix((last - first).astype(np.uint64) << np.uint64(20) | (place - first).astype(np.uint64)))
-    return document[heads], first, last, grams[place].view(np.int64), context.view(np.int64)
+    first, last, place, document = starts[heads], starts[tails], place[heads], document[heads]
+    end = np.minimum(last + length, bounds[document + 1])
+    shape = (last - first).astype(np.uint64) << np.uint64(40) | (place - first).astype(np.uint64) << np.uint64(20) | (end - first).astype(np.uint64)
+    context = mix(_window_hash(sums, first, end) ^ mix(shape))
+    return document, first, last, end, grams[place].view(np.int64), context.view(np.int64)
 
 
 def _merge(lo, hi):
@@ -93,54 +100,61 @@ def _merge(lo, hi):
 
 
 def _pieces(offsets, length):
-    """Cuts of a batch: (first document, last document, from, to); a long text is cut with an overlap of ``length`` - 1 bytes."""
+    """Cuts of a batch: (first document, last document, from, to, starts owned); a long text is cut with an overlap of ``length`` - 1 bytes."""
     i, n = 0, len(offsets) - 1
     while i < n:
         j = max(int(np.searchsorted(offsets, offsets[i] + PIECE, side="right")) - 1, i + 1)
         if j == i + 1 and offsets[j] - offsets[i] > PIECE:
             for a in range(offsets[i], offsets[j], PIECE):
-                yield i, j, a, min(a + PIECE + length - 1, offsets[j])
+                yield i, j, a, min(a + PIECE + length - 1, offsets[j]), PIECE
         else:
-            yield i, j, offsets[i], offsets[j]
+            yield i, j, offsets[i], offsets[j], offsets[j] - offsets[i]
         i = j
 
 
-def _find_runs(length, gram):
-    """Rows (key, print, context, lo, hi, n): a run, with n equal ones in its text; or a span of the text that is
-    repeated within it, without a print."""
+def _find_runs(length, floor, gram):
+    """Rows (key, print, context, lo, hi, end, n): a run, with n equal ones in its text; or a span of the text that is
+    repeated within it, without a print and with the length of its strings as n."""
     def run(batches):
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
             keys = batch.column("key")
-            for i, j, a, b in _pieces(offsets, length):
+            for i, j, a, b, owned in _pieces(offsets, length):
                 bounds = np.clip(offsets[i:j + 1], a, b) - a
-                doc, lo, hi, print_, context = runs_of(data[a:b], bounds, length, gram)
+                doc, lo, hi, end, print_, context = runs_of(data[a:b], bounds, owned, length, floor, gram)
                 base = a - offsets[i + doc]
-                frame = pd.DataFrame({"doc": doc + i, "print": print_, "context": context, "lo": lo + base, "hi": hi + base})
+                frame = pd.DataFrame({"doc": doc + i, "print": print_, "context": context, "lo": lo + base, "hi": hi + base, "end": end + base})
                 twice = frame.duplicated(["doc", "print", "context"], keep=False)
                 same = frame[twice]
                 frame["n"] = 1
                 if len(same):
-                    firsts = same.groupby(["doc", "print", "context"], as_index=False).agg(lo=("lo", "min"), hi=("hi", "min"), n=("lo", "size"))
+                    firsts = same.groupby(["doc", "print", "context"], as_index=False).agg(
+                        lo=("lo", "min"), hi=("hi", "min"), end=("end", "min"), n=("lo", "size"))
                     frame = pd.concat([frame[~twice], firsts], ignore_index=True)
                 yield _rows(keys, frame, False)
-                spans = [(d, *_merge(g["lo"].to_numpy(), g["hi"].to_numpy() + length)) for d, g in same.groupby("doc")]
+                spans = []
+                for d, g in same.groupby("doc"):
+                    for kind in {floor, length}:
+                        lo, hi = g["lo"].to_numpy(), np.minimum(g["hi"].to_numpy() + kind, g["end"].to_numpy())
+                        whole = hi - lo >= kind
+                        if whole.any():
+                            x, y = _merge(lo[whole], hi[whole])
+                            spans.append(pd.DataFrame({"doc": d, "print": 0, "context": 0, "lo": x, "hi": y, "end": y, "n": kind}))
                 if spans:
-                    yield _rows(keys, pd.DataFrame({
-                        "doc": np.concatenate([np.full(len(x), d) for d, x, _ in spans]), "print": 0, "context": 0,
-                        "lo": np.concatenate([x for _, x, _ in spans]), "hi": np.concatenate([y for _, _, y in spans]), "n": 0}), True)
+                    yield _rows(keys, pd.concat(spans, ignore_index=True), True)
     return run
 
 
-_RUN = "key binary, print long, context long, lo long, hi long, n long"
+_RUN = "key binary, print long, context long, lo long, hi long, end long, n long"
+_SPAN = "key binary, lo long, hi long, kind int"
 
 
 def _rows(keys, frame, spans):
     column = lambda c: pa.array(frame[c].to_numpy(np.int64))
     prints = pa.nulls(len(frame), pa.int64()) if spans else column("print")
     return pa.RecordBatch.from_arrays(
-        [keys.take(column("doc")), prints, column("context"), column("lo"), column("hi"), column("n")],
-        ["key", "print", "context", "lo", "hi", "n"])
+        [keys.take(column("doc")), prints, *(column(c) for c in ("context", "lo", "hi", "end", "n"))],
+        ["key", "print", "context", "lo", "hi", "end", "n"])
 
 
 def _rank(keys):
@@ -221,148 +235,164 @@ def suffix_array(symbols, depth):
     return np.concatenate(out) if out else np.empty(0, np.int64)
 
 
-def repeated_starts(contexts, widths, length):
-    """For each context a mask of its first ``widths`` starts: whether its ``length`` bytes from there occur elsewhere too."""
+def _prefixes_meet(order, eight, length):
+    """Places of which a neighbour in ``order`` shares the first ``length`` symbols, compared eight by eight."""
+    left, right = order[:-1], order[1:]
+    same = np.arange(len(left))
+    for d in [*range(0, length - 7, 8), length - 8]:
+        same = same[eight[left[same] + d] == eight[right[same] + d]]
+    return np.concatenate([left[same], right[same]])
+
+
+def repeated_starts(contexts, widths, lengths):
+    """For each of ``lengths``, and each context, a mask of its first ``widths`` starts: whether so many bytes from there occur elsewhere too."""
     sizes = np.array([len(c) for c in contexts])
     begin = np.append(0, np.cumsum(sizes + 1))[:-1]
     symbols = np.zeros(int(sizes.sum()) + len(contexts), np.uint16)
     for c, a in zip(contexts, begin, strict=True):
         symbols[a:a + len(c)] = np.frombuffer(c, np.uint8).astype(np.uint16) + 1
-    wanted = np.zeros(len(symbols), bool)
-    for a, w in zip(begin, widths, strict=True):
-        wanted[a:a + w] = True
-    order = suffix_array(symbols, length)
-    order = order[wanted[order]]
-    eight = np.zeros(len(symbols), np.uint64)  # eight bytes from each place; separators end in no wanted string
+    room = np.zeros(len(symbols), np.int64)  # bytes from a start to the end of its context
+    for a, w, n in zip(begin, widths, sizes, strict=True):
+        room[a:a + w] = n - np.arange(w)
+    order = suffix_array(symbols, max(lengths))
+    eight = np.zeros(len(symbols), np.uint64)  # eight bytes from each place; separators are in no compared string
     low = np.append(symbols, np.zeros(8, np.uint16)).astype(np.uint64)
     for k in range(8):
         eight |= (low[k:k + len(symbols)] & np.uint64(0xFF)) << np.uint64(8 * k)
-    left, right = order[:-1], order[1:]
-    same = np.arange(len(left))
-    for d in [*range(0, length - 7, 8), length - 8]:
-        same = same[eight[left[same] + d] == eight[right[same] + d]]
-    hit = np.zeros(len(symbols), bool)
-    hit[left[same]] = hit[right[same]] = True
-    return [hit[a:a + w] for a, w in zip(begin, widths, strict=True)]
+    out = []
+    for length in lengths:
+        hit = np.zeros(len(symbols), bool)
+        hit[_prefixes_meet(order[room[order] >= length], eight, length)] = True
+        out.append([hit[a:a + w] for a, w in zip(begin, widths, strict=True)])
+    return out
 
 
-def _sort_bundle(length):
+def _sort_bundle(lengths):
     def run(pdf):
         contexts = [bytes(b) for b in pdf["bytes"]]
-        widths = [len(c) - length + 1 for c in contexts]
-        keys, lows, highs = [], [], []
-        for key, lo, mask in zip(pdf["key"], pdf["lo"], repeated_starts(contexts, widths, length), strict=True):
-            at = np.flatnonzero(mask)
-            if len(at):
-                a, b = _merge(at, at + length)
-                keys += [key] * len(a)
-                lows += list(a + lo)
-                highs += list(b + lo)
-        return pd.DataFrame({"key": keys, "lo": np.array(lows, np.int64), "hi": np.array(highs, np.int64)})
+        out = []
+        for kind, masks in zip(lengths, repeated_starts(contexts, list(pdf["width"]), lengths), strict=True):
+            for key, lo, mask in zip(pdf["key"], pdf["lo"], masks, strict=True):
+                at = np.flatnonzero(mask)
+                if len(at):
+                    out += [(key, a + lo, b + lo, kind) for a, b in zip(*_merge(at, at + kind), strict=True)]
+        keys, lows, highs, kinds = zip(*out, strict=True) if out else ((),) * 4
+        return pd.DataFrame({"key": list(keys), "lo": np.array(lows, np.int64), "hi": np.array(highs, np.int64), "kind": np.array(kinds, np.int32)})
     return run
 
 
-def _cut_contexts(length):
-    """(print, key, lo, bytes) of the wanted runs of each text."""
-    def run(batches):
-        for batch in batches:
-            out = {"print": [], "key": [], "lo": [], "bytes": []}
-            for key, text, runs in zip(*(batch.column(c).to_pylist() for c in ("key", "text", "runs")), strict=True):
-                data = text.encode("utf-8", "surrogatepass")
-                for r in runs:
-                    out["print"].append(r["print"])
-                    out["key"].append(key)
-                    out["lo"].append(r["lo"])
-                    out["bytes"].append(data[r["lo"]:r["hi"] + length])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out["print"], pa.int64()), pa.array(out["key"], pa.binary()), pa.array(out["lo"], pa.int64()), pa.array(out["bytes"], pa.binary())],
-                list(out))
-    return run
-
+def _cut_contexts(batches):
+    """(print, key, lo, width, bytes) of the wanted runs of each text."""
+    for batch in batches:
+        out = {"print": [], "key": [], "lo": [], "width": [], "bytes": []}
+        for key, text, runs in zip(*(batch.column(c).to_pylist() for c in ("key", "text", "runs")), strict=True):
+            data = text.encode("utf-8", "surrogatepass")
+            for r in runs:
+                out["print"].append(r["print"])
+                out["key"].append(key)
+                out["lo"].append(r["lo"])
+                out["width"].append(r["hi"] - r["lo"] + 1)
+                out["bytes"].append(data[r["lo"]:r["end"]])
+        kinds = {"key": pa.binary(), "bytes": pa.binary()}
+        yield pa.RecordBatch.from_arrays([pa.array(v, kinds.get(k, pa.int64())) for k, v in out.items()], list(out))
+
+
+def _hash_strings(lengths):
+    """(key, lo, kind, h1, h2) for every string of the wanted runs of each text."""
+    other_base = _BASE ^ 0x5555555555555554
+    inverse = pow(other_base, -1, 1 << 64)
 
-def _hash_strings(length):
-    """(key, lo, h1, h2) for every string of the wanted runs of each text."""
     def run(batches):
         for batch in batches:
             for key, text, runs in zip(*(batch.column(c).to_pylist() for c in ("key", "text", "runs")), strict=True):
                 data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
                 for r in runs:
-                    part = data[r["lo"]:r["hi"] + length]
-                    at = np.arange(len(part) - length + 1)
-                    h1 = mix(_window_hash(_sums(part), at, at + length))
-                    other = np.zeros(len(part) + 1, np.uint64)
-                    np.cumsum(_VALUES[part] * _power(_BASE ^ 0x5555555555555554, len(part)), out=other[1:])
-                    h2 = mix((other[at + length] - other[at]) * _power(pow(_BASE ^ 0x5555555555555554, -1, 1 << 64), len(part) + 1)[at])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([key] * len(at), pa.binary()), pa.array(at + r["lo"]), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64))],
-                        ["key", "lo", "h1", "h2"])
+                    part = data[r["lo"]:r["end"]]
+                    sums, other = _sums(part), np.zeros(len(part) + 1, np.uint64)
+                    np.cumsum(_VALUES[part] * _power(other_base, len(part)), out=other[1:])
+                    for kind in lengths:
+                        at = np.arange(min(r["hi"] - r["lo"] + 1, len(part) - kind + 1))
+                        h1 = mix(_window_hash(sums, at, at + kind))
+                        h2 = mix((other[at + kind] - other[at]) * _power(inverse, len(part) + 1)[at])
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([key] * len(at), pa.binary()), pa.array(at + r["lo"]), pa.array(np.full(len(at), kind, np.int32)),
+                             pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64))], ["key", "lo", "kind", "h1", "h2"])
     return run
 
 
-def repeated_spans(texts, length=LENGTH, gram=GRAM, most=MOST, bundle=BUNDLE):
-    """(key, lo, hi): spans of the rows (key, text) to remove, not merged."""
-    runs = land(texts.mapInArrow(_find_runs(length, gram), _RUN))
-    spans = runs.filter("print is null").select("key", "lo", "hi")
+def repeated_spans(texts, length=LENGTH, floor=FLOOR, gram=GRAM, most=MOST, bundle=BUNDLE):
+    """(key, lo, hi, kind): spans of the rows (key, text) whose strings of ``kind`` bytes, ``floor`` or ``length``, are repeated; not merged."""
+    lengths = sorted({floor, length})
+    runs = land(texts.mapInArrow(_find_runs(length, floor, gram), _RUN))
+    spans = runs.filter("print is null").select("key", "lo", "hi", F.col("n").cast("int").alias("kind"))
     runs = runs.filter("print is not null")
     groups = runs.groupBy("print", "context").agg(
-        F.sum("n").alias("n"), F.min(F.struct("key", "lo", "hi")).alias("at"))
+        F.sum("n").alias("n"), F.min(F.struct("key", "lo", "hi", "end")).alias("at"))
     groups = land(groups.groupBy("print").agg(F.count("*").alias("contexts"), F.sum("n").alias("total"))
-                  .filter("total > 1").join(groups, "print"))
+                  .filter("total > 1").join(groups.hint("merge"), "print"))
     copies = groups.filter("n > 1").select("print", "context")
     # Copies and contexts grow with the corpus, so these joins shuffle at every size.
-    copied = runs.join(copies, ["print", "context"]).select("key", "lo", (F.col("hi") + length).alias("hi"))
+    each = F.array(*(F.struct("lo", F.least(F.col("hi") + kind, "end").alias("hi"), F.lit(kind).alias("kind")) for kind in lengths))
+    copied = runs.join(copies.hint("merge"), ["print", "context"]).select("key", F.inline(each)).filter("hi - lo >= kind")
     mixed = groups.filter("contexts > 1").select("print", "contexts", "at.*")
-    per_text = lambda rows: rows.groupBy("key").agg(F.collect_list(F.struct("print", "lo", "hi")).alias("runs"))
+    per_text = lambda rows: rows.groupBy("key").agg(F.collect_list(F.struct("print", "lo", "hi", "end")).alias("runs"))
 
     def with_text(rows):  # one row per text; rows of equal text have one key
         return keyed_join(texts, per_text(rows), ["key"], "inner", measured=False).dropDuplicates(["key"])
 
     gathered = mixed.filter(F.col("contexts") <= most)
-    size = gathered.agg(F.sum(F.col("hi") - F.col("lo") + length)).first()[0] or 0
+    size = gathered.agg(F.sum(F.col("end") - F.col("lo"))).first()[0] or 0
     bundles = max(1, -(-size // bundle))
-    cut = with_text(gathered).select("key", "text", "runs").mapInArrow(_cut_contexts(length), "print long, key binary, lo long, bytes binary")
-    sorted_ = cut.groupBy(F.pmod(F.xxhash64("print"), F.lit(bundles)).alias("bundle")).applyInPandas(_sort_bundle(length), "key binary, lo long, hi long")
-    common = land(keyed_join(runs, mixed.filter(F.col("contexts") > most).select("print").distinct(), ["print"], "inner").select("key", "print", "lo", "hi"))
+    cut = with_text(gathered).select("key", "text", "runs").mapInArrow(_cut_contexts, "print long, key binary, lo long, width long, bytes binary")
+    sorted_ = cut.groupBy(F.pmod(F.xxhash64("print"), F.lit(bundles)).alias("bundle")).applyInPandas(_sort_bundle(lengths), _SPAN)
+    common = land(keyed_join(runs, mixed.filter(F.col("contexts") > most).select("print").distinct(), ["print"], "inner").select("key", "print", "lo", "hi", "end"))
     out = spans.unionByName(copied).unionByName(sorted_)
     if common.limit(1).count():
-        strings = land(with_text(common.distinct()).select("key", "text", "runs").mapInArrow(_hash_strings(length), "key binary, lo long, h1 long, h2 long"))
-        again = strings.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-        out = out.unionByName(keyed_join(strings, land(again), ["h1", "h2"], "inner").select("key", "lo", (F.col("lo") + length).alias("hi")))
+        strings = land(with_text(common.distinct()).select("key", "text", "runs").mapInArrow(
+            _hash_strings(lengths), "key binary, lo long, kind int, h1 long, h2 long"))
+        again = strings.groupBy("kind", "h1", "h2").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+        out = out.unionByName(keyed_join(strings, land(again), ["kind", "h1", "h2"], "inner").select(
+            "key", "lo", (F.col("lo") + F.col("kind")).alias("hi"), "kind"))
     return land(out)
 
 
-def _remove(batches):
-    for batch in batches:
-        out = {"n_bytes": [], "n_removed": [], "n_spans": [], "kept": []}
-        for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
-            data = (text or "").encode("utf-8", "surrogatepass")
-            lo, hi = np.empty(0, np.int64), np.empty(0, np.int64)
-            kept = data
-            if spans:
-                lo, hi = _merge(*np.array([(x["lo"], x["hi"]) for x in spans], np.int64).T)
-                kept = b"".join(data[a:b] for a, b in zip([0, *hi], [*lo, len(data)], strict=True))
-            out["n_bytes"].append(len(data))
-            out["n_removed"].append(int((hi - lo).sum()))
-            out["n_spans"].append(len(lo))
-            out["kept"].append(kept)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), *(pa.array(out[c], pa.int64()) for c in ("n_bytes", "n_removed", "n_spans")), pa.array(out["kept"], pa.binary())],
-            ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
-
-
-def remove_repeats(documents, length=LENGTH, gram=GRAM, most=MOST, bundle=BUNDLE):
-    """(doc_id, n_bytes, n_removed, n_spans, kept): ``kept`` holds the remaining bytes."""
+def _remove(length):
+    def run(batches):
+        for batch in batches:
+            out = {"n_bytes": [], "n_removed": [], "n_spans": [], "kept": [], "n_repeated": []}
+            for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
+                data = (text or "").encode("utf-8", "surrogatepass")
+                lo, hi, repeated = np.empty(0, np.int64), np.empty(0, np.int64), 0
+                kept = data
+                if spans:
+                    every = np.array([(x["lo"], x["hi"], x["kind"]) for x in spans], np.int64).T
+                    a, b = _merge(every[0], every[1])
+                    repeated = int((b - a).sum())
+                    long_ones = every[:, every[2] == length]
+                    if long_ones.size:
+                        lo, hi = _merge(long_ones[0], long_ones[1])
+                        kept = b"".join(data[a:b] for a, b in zip([0, *hi], [*lo, len(data)], strict=True))
+                for name, value in zip(out, (len(data), int((hi - lo).sum()), len(lo), kept, repeated), strict=True):
+                    out[name].append(value)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), *(pa.array(v, pa.binary() if k == "kept" else pa.int64()) for k, v in out.items())], ["doc_id", *out])
+    return run
+
+
+def remove_repeats(documents, length=LENGTH, gram=GRAM, most=MOST, bundle=BUNDLE, floor=FLOOR):
+    """(doc_id, n_bytes, n_removed, n_spans, kept, n_repeated): ``kept`` holds the remaining bytes, ``n_repeated`` counts those in repeats of ``floor`` bytes."""
+    floor = min(floor, length)
     texts = documents.select("doc_id", "text", text_key(F.col("text")).alias("key"))
-    whole = texts.filter(F.octet_length("text") >= length).select("key", "text")
-    spans = repeated_spans(whole, length, gram, most, bundle).distinct()
-    per_text = land(spans.groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")))
+    whole = texts.filter(F.octet_length("text") >= floor).select("key", "text")
+    spans = repeated_spans(whole, length, floor, gram, most, bundle).distinct()
+    per_text = land(spans.groupBy("key").agg(F.collect_list(F.struct("lo", "hi", "kind")).alias("spans")))
     kind = documents.schema["doc_id"].dataType.simpleString()
     return keyed_join(texts, per_text, ["key"]).select("doc_id", "text", "spans").mapInArrow(
-        _remove, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
+        _remove(length), f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary, n_repeated long")
 
 
 def op4_suffix_dedup(spark, sf_dir):
     from .common import read_table
 
     return remove_repeats(read_table(spark, sf_dir, "documents")).select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "n_repeated")
