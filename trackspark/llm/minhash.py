@@ -226,12 +226,10 @@ def near_links(sketches, texts, percent=PERCENT, shingle=SHINGLE, rows=ROWS, chu
     apart = _unsettled(_with_components(apart, links))
     if not apart.limit(1).count():
         return links
-    apart = land(apart.join(apart.groupBy("bucket").agg(F.count("*").alias("n")), "bucket"))
     met = _meetings(apart, chunk).join(minima, "rep").groupBy("bucket", "chunk", "part").applyInPandas(_likely_bucket(percent, rows), "bucket long, rep long")
-    alive = land(apart.join(met.distinct(), ["bucket", "rep"], "left_semi").drop("n"))
+    alive = land(apart.join(met.distinct(), ["bucket", "rep"], "left_semi"))
     if not alive.limit(1).count():
         return links
-    alive = land(alive.join(alive.groupBy("bucket").agg(F.count("*").alias("n")), "bucket"))
     sets = _sets_of(alive.select("rep").distinct(), sketches, texts, shingle)
     rows_ = _meetings(alive, chunk).join(minima, "rep").join(sets, "rep")
     more = rows_.groupBy("bucket", "chunk", "part").applyInPandas(_compare_bucket(percent, rows), "u long, v long")
@@ -261,11 +259,11 @@ def _prefix_pairs(members, least, rare):
 def _meetings(apart, chunk):
     """(bucket, chunk, part, band, rep, comp, resident): every member at home in one chunk of its bucket and, unless it is
     of the component that most of the bucket belongs to, a visitor in all of them; visitors are dealt into parts likewise."""
-    chunks = F.ceil(F.col("n") / chunk).cast("int")
-    main = apart.groupBy("bucket", "comp").agg(F.count("*").alias("size")).groupBy("bucket").agg(F.max_by("comp", F.struct("size", "comp")).alias("main"))
-    known = apart.join(main, "bucket").withColumn("visits", F.col("comp") != F.col("main"))
-    guests = known.groupBy("bucket").agg(F.ceil(F.count_if("visits") / chunk).cast("int").alias("parts"))
-    known = land(known.join(guests, "bucket").withColumn("chunks", chunks))
+    sizes = apart.groupBy("bucket", "comp").agg(F.count("*").alias("size"))
+    shape = sizes.groupBy("bucket").agg(
+        F.max_by("comp", F.struct("size", "comp")).alias("main"), F.ceil(F.sum("size") / chunk).cast("int").alias("chunks"),
+        F.ceil((F.sum("size") - F.max("size")) / chunk).cast("int").alias("parts"))
+    known = land(apart.join(shape, "bucket").withColumn("visits", F.col("comp") != F.col("main")))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     own = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
     homes = known.select("bucket", own("chunks").alias("chunk"), every("parts").alias("part"), "band", "rep", "comp", F.lit(True).alias("resident"))
