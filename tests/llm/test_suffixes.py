@@ -46,10 +46,10 @@ def test_removal_equals_brute_force(spark, most, floor, monkeypatch):
 
 
 def test_passages_on_both_sides_of_the_length(spark):
-    """Passages of 300 to 500 bytes, each in two texts: from 400 bytes on they are removed, all of them count as repeated."""
+    """Passages of 330 to 500 bytes, each in two texts: from 400 bytes on they are removed, all of them count as repeated."""
     pick = random.Random(8)
     text = lambda n: "".join(pick.choice("abcdefghij klmnopq") for _ in range(n))
-    sizes = [300, 350, 399, 400, 401, 500]
+    sizes = [330, 350, 399, 400, 401, 500]
     rows = [(2 * i + k, text(700 + 13 * i) + " " + passage + "#" * (k + 1) + text(500)) for i, passage in enumerate(map(text, sizes)) for k in (0, 1)]
     rows += [(100 + i, text(900)) for i in range(5)]
     got = {r.doc_id: (r.n_removed, r.n_repeated) for r in suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}

@@ -1,7 +1,7 @@
 """Removal of long repeated byte strings by suffix arrays built in two stages.
 
 A byte is removed if a string of ``LENGTH`` bytes that covers it also starts anywhere else in the corpus. Strings of ``FLOOR`` bytes,
-about 45 words, are found on the way: their bytes are counted as repeated, so that shorter copied passages show, but stay. Three steps:
+about 50 words, are found on the way: their bytes are counted as repeated, so that shorter copied passages show, but stay. Three steps:
 
 1. Candidates. Of the grams of ``GRAM`` bytes in each string of ``FLOOR`` bytes the one of least hash is kept, so two equal strings keep the same
    gram at the same place. Consecutive starts that keep one gram form a run; the run's bytes, from its first start to ``LENGTH`` bytes after its
@@ -32,8 +32,8 @@ from .common import keyed_join, land, text_key
 from .tokens import _BASE, _INVERSE, _VALUES, _power, mix, text_bytes
 
 LENGTH = 400
-FLOOR = 280  # strings whose repeats are counted
-GRAM = 40
+FLOOR = 320  # strings whose repeats are counted
+GRAM = 64
 MOST = 1_000  # contexts of one gram that are gathered in one bundle
 BUNDLE = 1 << 20  # bytes of contexts in a bundle, about
 PIECE = 2 << 20
