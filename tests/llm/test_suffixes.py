@@ -52,7 +52,8 @@ def test_passages_on_both_sides_of_the_length(spark):
     sizes = [330, 350, 399, 400, 401, 500]
     rows = [(2 * i + k, text(700 + 13 * i) + " " + passage + "#" * (k + 1) + text(500)) for i, passage in enumerate(map(text, sizes)) for k in (0, 1)]
     rows += [(100 + i, text(900)) for i in range(5)]
-    got = {r.doc_id: (r.n_removed, r.n_repeated) for r in suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    got = {r.doc_id: (r.n_removed, r.n_repeated) for r in suffixes.remove_repeats(
+        spark.createDataFrame(rows, "doc_id long, text string"), floor=320).collect()}
     for i, size in enumerate(sizes):
         for k in (0, 1):  # a space before and a mark behind are shared too
             removed, repeated = got[2 * i + k]

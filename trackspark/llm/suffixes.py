@@ -1,16 +1,16 @@
 """Removal of long repeated byte strings by suffix arrays built in two stages.
 
-A byte is removed if a string of ``LENGTH`` bytes that covers it also starts anywhere else in the corpus. Strings of ``FLOOR`` bytes,
-about 50 words, are found on the way: their bytes are counted as repeated, so that shorter copied passages show, but stay. Three steps:
+A byte is removed if a string of ``LENGTH`` bytes that covers it also starts anywhere else in the corpus. With a lesser ``floor``, strings
+of so many bytes are found on the way: their bytes are counted as repeated, so that shorter copied passages show, but stay. Three steps:
 
-1. Candidates. Of the grams of ``GRAM`` bytes in each string of ``FLOOR`` bytes the one of least hash is kept, so two equal strings keep the same
+1. Candidates. Of the grams of ``GRAM`` bytes in each string of ``floor`` bytes the one of least hash is kept, so two equal strings keep the same
    gram at the same place. Consecutive starts that keep one gram form a run; the run's bytes, from its first start to ``LENGTH`` bytes after its
    last, or to the text's end, are its context. Runs whose gram occurs once are done. Runs with equal gram and context are copies of each
    other, wholly repeated, and only counted, so a group of copies costs one row per text and is counted before the shuffle.
 2. Suffix arrays. The different contexts of a gram are gathered, gram by gram, in bundles of bounded size. A bundle is sorted as
    one text in two stages: only suffixes smaller than their successors are sorted directly (as sequences of the
    segments between two such places, by doubling); all others are induced by scanning the buckets of first bytes in order. Common
-   prefixes of neighbours in the array then tell which starts are repeated, for ``FLOOR`` bytes or for ``LENGTH``.
+   prefixes of neighbours in the array then tell which starts are repeated, for ``floor`` bytes or for ``LENGTH``.
 3. A gram with over ``MOST`` different contexts, such as that of a passage that very many documents embed, is not gathered anywhere: the strings
    of its runs are counted by 128-bit hash, with partial counts before the shuffle. The result is the same.
 
@@ -32,7 +32,6 @@ from .common import keyed_join, land, text_key
 from .tokens import _BASE, _INVERSE, _VALUES, _power, mix, text_bytes
 
 LENGTH = 400
-FLOOR = 320  # strings whose repeats are counted
 GRAM = 64
 MOST = 1_000  # contexts of one gram that are gathered in one bundle
 BUNDLE = 1 << 20  # bytes of contexts in a bundle, about
@@ -320,7 +319,7 @@ def _hash_strings(lengths):
     return run
 
 
-def repeated_spans(texts, length=LENGTH, floor=FLOOR, gram=GRAM, most=MOST, bundle=BUNDLE):
+def repeated_spans(texts, length=LENGTH, floor=LENGTH, gram=GRAM, most=MOST, bundle=BUNDLE):
     """(key, lo, hi, kind): spans of the rows (key, text) whose strings of ``kind`` bytes, ``floor`` or ``length``, are repeated; not merged."""
     lengths = sorted({floor, length})
     runs = land(texts.mapInArrow(_find_runs(length, floor, gram), _RUN))
@@ -379,7 +378,7 @@ def _remove(length):
     return run
 
 
-def remove_repeats(documents, length=LENGTH, gram=GRAM, most=MOST, bundle=BUNDLE, floor=FLOOR):
+def remove_repeats(documents, length=LENGTH, gram=GRAM, most=MOST, bundle=BUNDLE, floor=LENGTH):
     """(doc_id, n_bytes, n_removed, n_spans, kept, n_repeated): ``kept`` holds the remaining bytes, ``n_repeated`` counts those in repeats of ``floor`` bytes."""
     floor = min(floor, length)
     texts = documents.select("doc_id", "text", text_key(F.col("text")).alias("key"))
@@ -395,4 +394,4 @@ def op4_suffix_dedup(spark, sf_dir):
     from .common import read_table
 
     return remove_repeats(read_table(spark, sf_dir, "documents")).select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "n_repeated")
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
