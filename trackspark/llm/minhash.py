@@ -250,10 +250,13 @@ def _prefix_pairs(members, least, rare):
     own = minima.join(shared, "minimum").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("n", "minimum"))).alias("shared"))
     first = own.select("rep", F.slice("shared", F.lit(1), F.greatest(F.lit(prefix - HASHES) + F.size("shared"), F.lit(0))).alias("first"))
     first = land(first.filter(F.size("first") > 0).join(members.select("rep", "comp"), "rep"))
-    looks = land(first.select("rep", "comp", F.inline("first")).filter(F.col("n") <= rare).drop("n"))
-    other = looks.select(F.col("rep").alias("v"), F.col("comp").alias("v_comp"), "minimum")
-    pairs = looks.withColumnRenamed("rep", "u").join(other.hint("merge"), "minimum").filter("u > v and comp != v_comp").select("u", "v").distinct()
-    return land(pairs), land(first.filter(F.element_at("first", -1)["n"] > rare).select("rep"))
+    looks = land(first.select("rep", "comp", F.inline("first")))
+    scarce, common = looks.filter(F.col("n") <= rare).drop("n"), looks.filter(F.col("n") > rare)
+    other = scarce.select(F.col("rep").alias("v"), F.col("comp").alias("v_comp"), "minimum")
+    pairs = scarce.withColumnRenamed("rep", "u").join(other.hint("merge"), "minimum").filter("u > v and comp != v_comp").select("u", "v").distinct()
+    # A common minimum matters only where members of several components look under it.
+    mixed = common.groupBy("minimum").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select("minimum")
+    return land(pairs), land(common.join(mixed, "minimum", "left_semi").select("rep").distinct())
 
 
 def _meetings(apart, chunk):
