@@ -11,8 +11,9 @@ of so many bytes are found on the way: their bytes are counted as repeated, so t
    one text in two stages: only suffixes smaller than their successors are sorted directly (as sequences of the
    segments between two such places, by doubling); all others are induced by scanning the buckets of first bytes in order. Common
    prefixes of neighbours in the array then tell which starts are repeated, for ``floor`` bytes or for ``LENGTH``.
-3. A gram with over ``MOST`` different contexts, such as that of a passage that very many documents embed, is not gathered anywhere: the strings
-   of its runs are counted by 128-bit hash, with partial counts before the shuffle. The result is the same.
+3. The contexts of a gram that has over ``MOST`` different ones, such as that of a passage that very many documents embed, are cut again by a
+   gram three times as long, one context of each group of copies only. Steps 1 and 2 are repeated on these runs, which are fewer to a
+   gram each time. A gram as long as the string itself makes a run of every start, so that all runs of one gram are copies; there the work ends.
 
 Matches never cross documents: texts, contexts and runs end with their document.
 
@@ -21,31 +22,32 @@ are separate documents, so each is a copy of the other. Null or repeated doc_ids
 Spans are counted after merging those that touch or overlap.
 """
 
-import hashlib
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from .common import keyed_join, land, text_key
-from .tokens import _BASE, _INVERSE, _VALUES, _power, mix, text_bytes
+from .tokens import _BASE, _INVERSE, _power, mix, text_bytes
 
 LENGTH = 400
 GRAM = 64
-MOST = 1_000  # contexts of one gram that are gathered in one bundle
+MOST = 1_000  # contexts of one gram that are gathered in one bundle; those of a more common gram are cut by a longer one
+LONGER = 3
 BUNDLE = 1 << 20  # bytes of contexts in a bundle, about
 PIECE = 2 << 20
-_PLAIN = np.random.Generator(np.random.PCG64(4)).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_PLAIN, _OTHER = np.random.Generator(np.random.PCG64(4)).integers(1, 2**63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_OTHER_BASE = _BASE ^ 0x5555555555555554
+_OTHER_INVERSE = pow(_OTHER_BASE, -1, 1 << 64)
 
 
-def _window_hash(sums, starts, ends):
-    return (sums[ends] - sums[starts]) * _power(_INVERSE, len(sums))[starts]
+def _window_hash(sums, starts, ends, inverse=_INVERSE):
+    return (sums[ends] - sums[starts]) * _power(inverse, len(sums))[starts]
 
 
-def _sums(data):
+def _sums(data, values=_PLAIN, base=_BASE):
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_PLAIN[data] * _power(_BASE, len(data)), out=sums[1:])
+    np.cumsum(values[data] * _power(base, len(data)), out=sums[1:])
     return sums
 
 
@@ -66,7 +68,8 @@ def _first_least(values, width):
 def runs_of(data, bounds, owned, length, floor, gram):
     """(document, first, last, end, print, context) of the runs in one piece of texts; places count from the piece's start.
 
-    Starts from ``owned`` on belong to the next piece.
+    Starts from ``owned`` on belong to the next piece. The context's hash is independent of the gram's, so that both together have 128 bits
+    where they cover the same bytes.
     """
     empty = np.empty(0, np.int64)
     if len(data) < floor:
@@ -86,7 +89,7 @@ def runs_of(data, bounds, owned, length, floor, gram):
     first, last, place, document = starts[heads], starts[tails], place[heads], document[heads]
     end = np.minimum(last + length, bounds[document + 1])
     shape = (last - first).astype(np.uint64) << np.uint64(40) | (place - first).astype(np.uint64) << np.uint64(20) | (end - first).astype(np.uint64)
-    context = mix(_window_hash(sums, first, end) ^ mix(shape))
+    context = mix(_window_hash(_sums(data, _OTHER, _OTHER_BASE), first, end, _OTHER_INVERSE) ^ mix(shape))
     return document, first, last, end, grams[place].view(np.int64), context.view(np.int64)
 
 
@@ -146,6 +149,7 @@ def _find_runs(length, floor, gram):
 
 _RUN = "key binary, print long, context long, lo long, hi long, end long, n long"
 _SPAN = "key binary, lo long, hi long, kind int"
+_CUT = "print long, context long, key binary, lo long, width long, bytes binary"
 
 
 def _rows(keys, frame, spans):
@@ -296,29 +300,50 @@ def _cut_contexts(batches):
         yield pa.RecordBatch.from_arrays([pa.array(v, kinds.get(k, pa.int64())) for k, v in out.items()], list(out))
 
 
-def _hash_strings(lengths):
-    """(key, lo, kind, h1, h2) for every string of the wanted runs of each text."""
-    other_base = _BASE ^ 0x5555555555555554
-    inverse = pow(other_base, -1, 1 << 64)
-
+def _cut_again(kind, gram):
+    """(print, context, key, lo, width, bytes) of the runs of ``gram`` within contexts; bytes are left out where every run is one string."""
     def run(batches):
         for batch in batches:
-            for key, text, runs in zip(*(batch.column(c).to_pylist() for c in ("key", "text", "runs")), strict=True):
-                data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-                for r in runs:
-                    part = data[r["lo"]:r["end"]]
-                    sums, other = _sums(part), np.zeros(len(part) + 1, np.uint64)
-                    np.cumsum(_VALUES[part] * _power(other_base, len(part)), out=other[1:])
-                    for kind in lengths:
-                        at = np.arange(min(r["hi"] - r["lo"] + 1, len(part) - kind + 1))
-                        h1 = mix(_window_hash(sums, at, at + kind))
-                        h2 = mix((other[at + kind] - other[at]) * _power(inverse, len(part) + 1)[at])
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([key] * len(at), pa.binary()), pa.array(at + r["lo"]), pa.array(np.full(len(at), kind, np.int32)),
-                             pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64))], ["key", "lo", "kind", "h1", "h2"])
+            parts, keys, lows = batch.column("bytes").to_pylist(), batch.column("key"), batch.column("lo").to_numpy()
+            data = np.frombuffer(b"".join(parts), np.uint8)
+            offsets = np.append(0, np.cumsum([len(part) for part in parts], dtype=np.int64))
+            for i, j, a, b, owned in _pieces(offsets, kind):
+                bounds = np.clip(offsets[i:j + 1], a, b) - a
+                doc, first, last, end, print_, context = runs_of(data[a:b], bounds, owned, kind, kind, gram)
+                own = [] if gram == kind else [data[a + x:a + y].tobytes() for x, y in zip(first, end, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(print_), pa.array(context), keys.take(pa.array(doc + i)), pa.array(first + a - offsets[i + doc] + lows[i + doc]),
+                     pa.array(last - first + 1), pa.array(own, pa.binary()) if own else pa.nulls(len(doc), pa.binary())],
+                    ["print", "context", "key", "lo", "width", "bytes"])
     return run
 
 
+def _sorted_spans(contexts, size, lengths, bundle):
+    """Repeated spans of contexts (print, key, lo, width, bytes) of ``size`` bytes in all, those of one gram side by side in a bundle."""
+    bundles = max(1, -(-size // bundle))
+    return contexts.groupBy(F.pmod(F.xxhash64("print"), F.lit(bundles)).alias("bundle")).applyInPandas(_sort_bundle(lengths), _SPAN)
+
+
+def _spans_by_longer_grams(contexts, kind, gram, most, bundle):
+    """Repeated spans among contexts (key, lo, width, bytes) whose gram is too common to gather them, as a list of tables."""
+    found = []
+    contexts = contexts.withColumn("bytes", F.expr(f"substring(bytes, 1, width + {kind - 1})"))
+    while gram < kind and contexts.limit(1).count():
+        gram = min(LONGER * gram, kind)
+        runs = land(contexts.mapInArrow(_cut_again(kind, gram), _CUT))
+        groups = land(runs.groupBy("print", "context").agg(F.count("*").alias("n"), F.min(F.struct("key", "lo", "width", "bytes")).alias("at")))
+        copies = groups.filter("n > 1").select("print", "context")
+        found.append(runs.join(copies.hint("merge"), ["print", "context"]).select(
+            "key", "lo", (F.col("lo") + F.col("width") + (kind - 1)).alias("hi"), F.lit(kind).alias("kind")))
+        shared = groups.groupBy("print").agg(F.count("*").alias("contexts")).filter("contexts > 1")
+        mixed = land(groups.join(shared.hint("merge"), "print").select("print", "contexts", "at.*"))
+        if gram < kind:
+            few = mixed.filter(F.col("contexts") <= most)
+            found.append(_sorted_spans(few, few.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0, [kind], bundle))
+        contexts = mixed.filter(F.col("contexts") > most).select("key", "lo", "width", "bytes")
+    return found
+
+
 def repeated_spans(texts, length=LENGTH, floor=LENGTH, gram=GRAM, most=MOST, bundle=BUNDLE):
     """(key, lo, hi, kind): spans of the rows (key, text) whose strings of ``kind`` bytes, ``floor`` or ``length``, are repeated; not merged."""
     lengths = sorted({floor, length})
@@ -339,19 +364,15 @@ def repeated_spans(texts, length=LENGTH, floor=LENGTH, gram=GRAM, most=MOST, bun
     def with_text(rows):  # one row per text; rows of equal text have one key
         return keyed_join(texts, per_text(rows), ["key"], "inner", measured=False).dropDuplicates(["key"])
 
-    gathered = mixed.filter(F.col("contexts") <= most)
-    size = gathered.agg(F.sum(F.col("end") - F.col("lo"))).first()[0] or 0
-    bundles = max(1, -(-size // bundle))
-    cut = with_text(gathered).select("key", "text", "runs").mapInArrow(_cut_contexts, "print long, key binary, lo long, width long, bytes binary")
-    sorted_ = cut.groupBy(F.pmod(F.xxhash64("print"), F.lit(bundles)).alias("bundle")).applyInPandas(_sort_bundle(lengths), _SPAN)
-    common = land(keyed_join(runs, mixed.filter(F.col("contexts") > most).select("print").distinct(), ["print"], "inner").select("key", "print", "lo", "hi", "end"))
-    out = spans.unionByName(copied).unionByName(sorted_)
-    if common.limit(1).count():
-        strings = land(with_text(common.distinct()).select("key", "text", "runs").mapInArrow(
-            _hash_strings(lengths), "key binary, lo long, kind int, h1 long, h2 long"))
-        again = strings.groupBy("kind", "h1", "h2").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-        out = out.unionByName(keyed_join(strings, land(again), ["kind", "h1", "h2"], "inner").select(
-            "key", "lo", (F.col("lo") + F.col("kind")).alias("hi"), "kind"))
+    cut = lambda rows: with_text(rows).select("key", "text", "runs").mapInArrow(
+        _cut_contexts, "print long, key binary, lo long, width long, bytes binary")
+    few = mixed.filter(F.col("contexts") <= most)
+    size = few.agg(F.sum(F.col("end") - F.col("lo"))).first()[0] or 0
+    out = spans.unionByName(copied).unionByName(_sorted_spans(cut(few), size, lengths, bundle))
+    common = land(cut(mixed.filter(F.col("contexts") > most)).drop("print"))
+    for kind in lengths:
+        for more in _spans_by_longer_grams(common, kind, gram, most, bundle):
+            out = out.unionByName(more)
     return land(out)
 
 
