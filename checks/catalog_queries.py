@@ -7,7 +7,7 @@ from trackspark.functions import values as V
 from trackspark.operators import catalog as C
 from trackspark.plans.jobs import catalog_job
 from trackspark.sources.logs import summarise_lines
-from trackspark.sources.tables import metadata_rows, samplesheet_rows
+from trackspark.sources.tables import metadata_rows, metadata_warnings, samplesheet_rows
 
 from . import inputs as I
 from .registry import query
@@ -178,6 +178,14 @@ def sample_metadata(spark, sf_dir):
     )
 
 
+@query("sample_metadata_warnings", """
+select cast(c_custkey % 120 as varchar) as sample_id, '{bad' as additional_params, c_custkey as row_order
+from customer where c_custkey % 3 = 1
+""")
+def sample_metadata_warnings(spark, sf_dir):
+    return metadata_warnings(metadata_sheet(spark, sf_dir))
+
+
 @query("track_metadata", f"""
 with {HUBS}, {METADATA},
 named as (
@@ -292,6 +300,17 @@ def json_params_merge(spark, sf_dir):
     )
 
 
+@query("json_params_repeated", """
+select event_id, cast(event_id % 5 as varchar) as k, cast(event_id % 7 as varchar) as n, 2 as keys from events
+""")
+def json_params_repeated(spark, sf_dir):
+    text = F.expr("""concat('{"k":"a","n":', event_id, ',"k":"', event_id % 5, '","n":', event_id % 7, '}')""")
+    merged = V.merge_maps(F.create_map(F.lit("k"), F.lit("base")), V.json_map(text))
+    return I.table(spark, sf_dir, "events").select(
+        "event_id", merged["k"].alias("k"), merged["n"].alias("n"), F.size(merged).alias("keys")
+    )
+
+
 @query("log_summary", """
 select count(distinct source) as files, cast(sum(len(string_split(text, chr(10)))) as bigint) as lines from documents
 """)

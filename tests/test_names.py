@@ -99,6 +99,12 @@ def test_maps(spark):
     assert column(spark, ['{"a":"x"}'], lambda c: values.merge_maps(base, values.json_map(c))) == [
         {"c": "kept", "a": "x"}
     ]
+    # The last of repeated keys counts, in a session that leaves Spark's setting for them alone.
+    assert spark.conf.get("spark.sql.mapKeyDedupPolicy") == "EXCEPTION"
+    repeated = ['{"a":1,"b":2,"a":3}', '{"a":1,"a":null}', '{"c":[1],"c":{"d":1,"d":2},"a":"z"}']
+    assert column(spark, repeated, values.json_map) == [{"a": "3", "b": "2"}, {"a": None}, {"c": '{"d":1,"d":2}', "a": "z"}]
+    assert column(spark, repeated, lambda c: values.merge_maps(base, values.json_map(c)))[0] == {"a": "3", "b": "2", "c": "kept"}
+    assert column(spark, ['{"a":1}', "{bad", "", " ", None, "[1]"], values.unreadable_json) == [False, True, False, False, None, True]
 
 
 def test_attributes(spark):

@@ -2,6 +2,7 @@ import gzip
 
 import pytest
 from conftest import rows
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from trackspark.sources import fasta, logs, records, tables, text
@@ -193,3 +194,14 @@ def test_listing_and_logs(spark, write, tmp_path, caplog):
 def test_chrom_sizes(spark, write):
     path = write("c.sizes", "chr1\t100\nchr2\t50\textra\n")
     assert rows(tables.read_chrom_sizes(spark, path, "g")) == [("g", "chr1", 100), ("g", "chr2", 50)]
+
+
+def test_unreadable_parameters_are_counted_and_listed(spark, write):
+    path = write("meta.csv", 'sample_id,additional_params\ns1,"{""a"":1,""a"":2}"\ns2,{oops\n ,{oops\ns2,\ns3,[1]\n')
+    seen = Observation()
+    got = tables.read_sample_metadata(spark, path, seen)
+    assert {r.sample_id: r.additional_params for r in got.collect()} == {"s1": {"a": "2"}, "s2": {}, "s3": {}}
+    assert seen.get == {"rows": 4, "unreadable_params": 2}
+    warned = tables.metadata_warnings(tables.read_metadata_sheet(spark, path))
+    assert sorted((r.sample_id, r.additional_params) for r in warned.collect()) == [("s2", "{oops"), ("s3", "[1]")]
+    assert tables.metadata_warnings(spark.sql("select 's' as sample_id, 1 as row_order")).collect() == []

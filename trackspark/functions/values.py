@@ -38,9 +38,23 @@ def joined_list(numbers):
 
 
 def json_map(text):
-    """A JSON object as a map of strings; anything else is an empty map."""
+    """A JSON object as a map of strings, of repeated keys the last one; anything else is an empty map.
+
+    This holds in every session, whatever its setting for repeated map keys.
+    """
     parsed = F.from_json(_col(text), "map<string,string>")
-    return F.coalesce(parsed, F.create_map().cast("map<string,string>"))
+    keys = F.map_keys(parsed)
+    last = F.filter(
+        F.map_entries(parsed), lambda entry, at: ~F.array_contains(F.slice(keys, at + 2, F.size(keys)), entry["key"])
+    )
+    single = F.when(F.size(F.array_distinct(keys)) == F.size(keys), parsed).otherwise(F.map_from_entries(last))
+    return F.coalesce(single, F.create_map().cast("map<string,string>"))
+
+
+def unreadable_json(text):
+    """Whether ``text`` holds something, and that is no JSON object."""
+    text = _col(text)
+    return (F.trim(text) != "") & F.from_json(text, "map<string,string>").isNull()
 
 
 def merge_maps(base, override):

@@ -14,8 +14,6 @@ def build_session(app="trackspark", master=None, **conf):
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
-        # Of repeated keys in JSON parameters the last one counts.
-        "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     }
     settings.update({key: str(value) for key, value in conf.items()})
     builder = SparkSession.builder.appName(app)

@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ..functions.names import header_key
-from ..functions.values import json_map, number, tab_fields, whitespace_fields
+from ..functions.values import json_map, number, tab_fields, unreadable_json, whitespace_fields
 from ..operators.dedupe import dedupe
 from ..operators.lookup import lookup_join
 from .text import clean_path, read_ordered_lines
@@ -47,19 +47,35 @@ def read_samplesheet(spark, path):
     return samplesheet_rows(spark.read.csv(path, header=True))
 
 
-def metadata_rows(sheet):
+def _named_samples(sheet):
+    if "sample_id" not in sheet.columns:
+        raise ValueError("sample metadata lacks the column sample_id")
+    return sheet.filter(F.trim("sample_id") != "")
+
+
+def metadata_warnings(sheet):
+    """(sample_id, additional_params, row_order) of the rows whose parameters hold something that is no JSON object."""
+    named = _named_samples(sheet)
+    if "additional_params" not in sheet.columns:
+        named = named.withColumn("additional_params", F.lit(None).cast("string"))
+    return named.filter(unreadable_json("additional_params")).select("sample_id", "additional_params", "row_order")
+
+
+def metadata_rows(sheet, seen=None):
     """Sample metadata with defaults; the row with the greatest ``row_order`` wins per sample.
 
-    An absent label column falls back to the sample; a present but empty one stays empty.
+    An absent label column falls back to the sample; a present but empty one stays empty. Parameters that cannot be read
+    count as empty; ``metadata_warnings`` lists them, and an Observation ``seen`` counts ``rows`` and ``unreadable_params``.
     """
-    if "sample_id" not in sheet.columns:
-        raise ValueError("sample metadata lacks the column sample_id")
+    sheet = _named_samples(sheet)
 
     def column(name, default):
         return (F.coalesce(F.col(name), F.lit("")) if name in sheet.columns else default).alias(name)
 
     params = F.col("additional_params") if "additional_params" in sheet.columns else F.lit(None).cast("string")
-    rows = sheet.filter(F.trim("sample_id") != "").select(
+    if seen is not None:
+        sheet = sheet.observe(seen, F.count("*").alias("rows"), F.count_if(unreadable_json(params)).alias("unreadable_params"))
+    rows = sheet.select(
         "sample_id",
         column("short_label", F.col("sample_id")),
         column("long_label", F.col("sample_id")),
@@ -73,10 +89,15 @@ def metadata_rows(sheet):
     return last.withColumn("additional_params", json_map("additional_params"))
 
 
-def read_sample_metadata(spark, path):
+def read_metadata_sheet(spark, path):
+    """The columns of a sample sheet, and ``row_order``, its rows' order over all files."""
     sheet = spark.read.csv(path, header=True, escape='"')
     order = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())
-    return metadata_rows(sheet.select("*", order.alias("row_order")))
+    return sheet.select("*", order.alias("row_order"))
+
+
+def read_sample_metadata(spark, path, seen=None):
+    return metadata_rows(read_metadata_sheet(spark, path), seen)
 
 
 def read_chrom_sizes(spark, path, genome=None):
