@@ -369,10 +369,12 @@ def repeated_spans(texts, length=LENGTH, floor=LENGTH, gram=GRAM, most=MOST, bun
     few = mixed.filter(F.col("contexts") <= most)
     size = few.agg(F.sum(F.col("end") - F.col("lo"))).first()[0] or 0
     out = spans.unionByName(copied).unionByName(_sorted_spans(cut(few), size, lengths, bundle))
-    common = land(cut(mixed.filter(F.col("contexts") > most)).drop("print"))
-    for kind in lengths:
-        for more in _spans_by_longer_grams(common, kind, gram, most, bundle):
-            out = out.unionByName(more)
+    common = mixed.filter(F.col("contexts") > most)
+    if common.limit(1).count():
+        common = land(cut(common).drop("print"))
+        for kind in lengths:
+            for more in _spans_by_longer_grams(common, kind, gram, most, bundle):
+                out = out.unionByName(more)
     return land(out)
 
 
