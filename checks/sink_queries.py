@@ -429,9 +429,13 @@ def signal_zoom(spark, sf_dir):
 
 
 def _placed(df):
-    """``df`` with the position of each row in the order that it comes in."""
-    return df.withColumn("_id", F.monotonically_increasing_id()).withColumn(
-        "position", F.row_number().over(Window.orderBy("_id"))).drop("_id")
+    """``df`` with the position of each row in the order that it comes in: its place in its partition, after the rows of those before."""
+    kept = land(df.withColumn("_id", F.monotonically_increasing_id())).withColumn("_part", F.shiftright("_id", 33))
+    counts = kept.groupBy("_part").agg(F.count("*").alias("_rows"))  # one row per partition
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    position = F.col("_before") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return kept.join(F.broadcast(before), "_part").select(*df.columns, position.cast("int").alias("position"))
 
 
 @query("interval_sort_order", f"""
