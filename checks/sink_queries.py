@@ -9,7 +9,7 @@ from trackspark.functions import values as V
 from trackspark.operators import catalog, intervals
 from trackspark.operators.lookup import row_bytes
 from trackspark.operators.ranges import clustered_by_bytes
-from trackspark.operators.scratch import land, scratch_dir
+from trackspark.operators.scratch import folders_unsorted, land, scratch_dir
 from trackspark.plans import jobs
 from trackspark.sinks import regions, zoom
 from trackspark.sinks import tracks as sinks
@@ -470,7 +470,8 @@ def directory_job(spark, sf_dir):
     path = _folder(spark)
     rows = I.intervals(spark, sf_dir).withColumn("folder", F.concat(F.lit("chr"), (F.col("value") % 3).cast("string")))
     columns = ["chrom", F.col("start").cast("string"), F.col("end").cast("string")]
-    rows.repartition("folder").select("folder", *columns).write.partitionBy("folder").option("sep", "\t").option("extension", "bed").csv(f"{path}/tracks")
+    with folders_unsorted(spark):
+        rows.select("folder", *columns).write.partitionBy("folder").option("sep", "\t").option("extension", "bed").csv(f"{path}/tracks")
     rows.limit(1).select("chrom").write.text(f"{path}/tracks/notes")
     listed = jobs.list_track_files(spark, f"{path}/tracks")
     place = _placed(listed.filter("path like '%.bed'")).groupBy(F.regexp_extract("path", "folder=([^/]+)/", 1).alias("folder")).agg(

@@ -7,6 +7,7 @@ from ..operators.catalog import check_unique_names
 from ..operators.contigs import EmptySizesError
 from ..operators.intervals import find_overlaps, order_columns
 from ..operators.ranges import RANGE_BYTES, clustered_by_bytes
+from ..operators.scratch import folders_unsorted
 from ..operators.signal import summarise_signal
 from ..schemas import BIG_GENE_PRED
 
@@ -36,7 +37,8 @@ def clustered(df, partitions=None, per_range=RANGE_BYTES):
 
 
 def _write(df, path, by, mode):
-    df.write.mode(mode).partitionBy(*by).parquet(path)
+    with folders_unsorted(df.sparkSession):
+        df.write.mode(mode).partitionBy(*by).parquet(path)
 
 
 def write_intervals(df, path, partitions=None, mode="errorifexists", per_range=RANGE_BYTES):
