@@ -6,6 +6,7 @@ from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from checks.sink_queries import _placed, directory_job
+from trackspark.operators import intervals
 from trackspark.operators.scratch import land, scratch_dir
 
 
@@ -47,3 +48,12 @@ def test_rows_go_to_folders_without_a_sort(spark, monkeypatch):
     rows = spark.range(300, numPartitions=2).withColumn("_kind", (F.col("id") % 20).cast("string"))
     assert sorted(map(tuple, land(rows, by=["_kind"]).collect())) == sorted(map(tuple, rows.collect()))  # more folders than open files
     assert seen[0] > 0 and spark.conf.get(key) == before
+
+
+def test_records_at_reached_starts_are_not_sorted_for_the_first_one(spark):
+    spans = [(0, 100, 1.0), (10, 20, 2.0), (10, 20, 2.0), (10, 30, 0.0), (200, 210, 3.0), (200, 210, 3.0), (200, 200, 9.0), (200, 205, 9.0)]
+    rows = spark.createDataFrame([("g", "p", "c", *s) for s in spans], "genome string, path string, chrom string, start long, end long, value double")
+    found = intervals.find_overlaps(rows)
+    optimized = found._jdf.queryExecution().optimizedPlan().toString()
+    assert any("Filter" in line and "NOT _reached" in line for line in optimized.splitlines())
+    assert sorted(tuple(r)[3:] for r in found.collect()) == [(10, 20, 2.0, 2), (10, 30, 0.0, 1), (200, 210, 3.0, 2)]

@@ -85,17 +85,17 @@ def find_overlaps(df, keys=("genome", "path", "chrom"), width=TILE_WIDTH):
         .groupBy(*at, "end", *rest, "_reached")
         .agg(F.count("*").alias("_copies"))
     )
-    # Where nothing earlier reaches the start, its first non-empty record is clear.
+    # Where nothing earlier reaches the start, its first non-empty record is clear. Copies are merged before records are compared.
     record = F.struct("end", *rest)
-    may_lead = ~F.col("_reached") & (F.col("end") > F.col("start"))
-    leads = counted.groupBy(*at).agg(F.min(F.when(may_lead, record)).alias("_lead"))
+    may_lead = ~F.col("_reached") & (F.col("end") > F.col("start")) & (F.col("_copies") > 0)
+    leads = counted.filter(may_lead).groupBy(*at).agg(F.min(record).alias("_lead"))
     overlapping = (
         F.when(F.col("_reached"), F.col("_copies"))
         .when(F.col("end") <= F.col("start"), F.lit(0))
         .otherwise(F.col("_copies") - record.eqNullSafe(F.col("_lead")).cast("bigint"))
     )
     return (
-        counted.join(leads, at)
+        counted.join(leads, at, "left")
         .select(*df.columns, overlapping.cast("bigint").alias("copies"))
         .filter("copies > 0")
     )
