@@ -63,6 +63,20 @@ def test_audit_equals_plain_counts(spark, top, buffer):
     assert got == audit(docs, top=top)
 
 
+def test_terms_are_counted_before_they_leave_a_task(spark):
+    """One row per group and term however often it occurs, also with few terms held, and long texts in slabs."""
+    docs = [("ax bx AX 7ax", "en", "s"), ("ax", "en", "s"), (None, "en", None), ("cé " * 400_000 + "q" * 1_200_000, "de", "t"), ("ax", "en", "u")]
+    frame = spark.createDataFrame([(i, *d, 0) for i, d in enumerate(docs)], DOCS).coalesce(1)
+    wanted = [("de", "t", "cé", 400_000, 1), ("de", "t", "q" * 1_200_000, 1, 1), ("en", "s", "ax", 4, 2), ("en", "s", "bx", 1, 1), ("en", "u", "ax", 1, 1)]
+    blank = frame.fillna("").select("lang", "source", "text")
+    schema = "lang string, source string, term string, n long, docs long"
+    assert sorted(tuple(r) for r in blank.mapInArrow(divergence._count_terms(100), schema).collect()) == wanted
+    for limit in (100, 1):
+        assert sorted(tuple(r) for r in divergence.term_counts(frame, limit).collect()) == wanted
+    plan = divergence.term_counts(frame)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
 def test_empty_table(spark):
     assert divergence.audit(spark.createDataFrame([], DOCS)).collect() == []
 

@@ -17,34 +17,81 @@ again; what remains is ranked exactly. A partition holds at most ``BUFFER`` term
 
 Defined cases: null text, lang and source are ''. Every row of ``documents`` is a document, repeated rows included. A
 language without kept terms gives its pairs the value 0 and no terms. A source alone in its language has no pairs. Long texts
-are split in the row that holds them. An empty table gives no rows. Columns beyond text, lang and source are never read.
+are split in slabs. An empty table gives no rows. Columns beyond text, lang and source are never read.
 """
 
+from collections import Counter
+
 import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, keyed_join, land, read_table, split_words
+from .common import keyed_join, land, read_table
+from .tokens import SLAB, slices
 
-NOT_LETTERS = r"[\x00-\x60\x7B-\x7F]+"
+# Bytes of terms, with A-Z in lower case; all others separate terms.
+_TERM_BYTES = bytes(b if b >= 0x80 or chr(b).islower() else ord(chr(b).lower()) if chr(b).isupper() else 0x20 for b in range(256))
 MIN_DOCS = 3
 TOP = 200
 BUFFER = 100_000
+HELD = 500_000  # different terms of groups that a task counts before it hands them on
 SALTS = 16
 
 
-def term_counts(documents):
-    """(lang, source, term, n, docs): occurrences of each term in a group and the number of documents that hold it."""
-    words = documents.select(
-        F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"),
-        F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
-        split_words(ascii_lower(F.col("text")), NOT_LETTERS).alias("words"),
-    )
-    every = F.struct(F.col("words").alias("terms"), F.lit(1).alias("n"), F.lit(0).alias("docs"))
-    once = F.struct(F.array_distinct("words").alias("terms"), F.lit(0).alias("n"), F.lit(1).alias("docs"))
+def _words_of(data):
+    """Lists of the terms of one text; a long text gives several, so that not all its terms are held at once."""
+    data = data.translate(_TERM_BYTES)
+    at = 0
+    while at < len(data):
+        end = data.find(b" ", at + SLAB)
+        end = len(data) if end < 0 else end
+        yield data[at:end].split()
+        at = end
+
+
+def _count_terms(limit):
+    """Rows (lang, source, term, n, docs) of the texts so far, each time that more than ``limit`` of them are held."""
+    def rows(held):
+        import pyarrow as pa
+
+        for (lang, source), (n, docs) in held.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.repeat(lang, len(n)), pa.repeat(source, len(n)), pa.array(list(n), pa.binary()).view(pa.string()),
+                 pa.array(list(n.values()), pa.int64()), pa.array([docs[term] for term in n], pa.int64())],
+                ["lang", "source", "term", "n", "docs"])
+
+    def run(batches):
+        import pyarrow as pa
+
+        held, size = {}, 0
+        for batch in (part for whole in batches for part in slices(whole)):
+            texts = batch.column("text").cast(pa.binary()).to_pylist()
+            for *group, text in zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), texts, strict=True):
+                n, docs = held.setdefault(tuple(group), (Counter(), Counter()))
+                size -= len(n)
+                found = set()
+                for words in _words_of(text):
+                    n.update(words)
+                    found.update(words)
+                docs.update(found)
+                size += len(n)
+                if size > limit:
+                    yield from rows(held)
+                    held, size = {}, 0
+        yield from rows(held)
+    return run
+
+
+def term_counts(documents, limit=HELD):
+    """(lang, source, term, n, docs): occurrences of each term in a group and the number of documents that hold it.
+
+    A task counts the terms of its texts first, so that only different ones leave it. The rows lie by (lang, term).
+    """
+    blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
     return (
-        words.select("lang", "source", F.explode(F.array(every, once)).alias("w"))
-        .select("lang", "source", F.explode("w.terms").alias("term"), "w.n", "w.docs")
+        documents.select(blank("lang"), blank("source"), blank("text"))
+        .mapInArrow(_count_terms(limit), "lang string, source string, term string, n long, docs long")
+        .repartition("lang", "term")
         .groupBy("lang", "source", "term")
         .agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     )
@@ -62,14 +109,15 @@ def _divergence(p, q):
 
 def audit_tables(documents, min_docs=MIN_DOCS):
     """(kept, groups): counts of kept terms, one row per (lang, source, term), and the totals of every group."""
-    counts = land(term_counts(documents))
-    terms = counts.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("docs")).filter(F.col("docs") >= min_docs)
-    terms = land(terms.drop("docs"))
-    kept = land(counts.drop("docs").join(terms.hint("merge"), ["lang", "term"]).select("lang", "source", "term", "n", "lang_n"))
+    term = Window.partitionBy("lang", "term")
+    counts = term_counts(documents).withColumns({
+        "lang_n": F.sum("n").over(term), "lang_docs": F.sum("docs").over(term), "first": F.col("source") == F.min("source").over(term)})
+    kept = land(counts.filter(F.col("lang_docs") >= min_docs).select("lang", "source", "term", "n", "lang_n", "first"))
     blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
     groups = documents.select(blank("lang"), blank("source")).distinct()
-    groups = keyed_join(groups, kept.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count("*").alias("found")), ["lang", "source"])
-    groups = keyed_join(groups, terms.groupBy("lang").agg(F.count("*").alias("vocabulary"), F.sum("lang_n").alias("lang_total")), ["lang"])
+    found = land(kept.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count("*").alias("found"), F.count_if("first").alias("firsts")))
+    groups = keyed_join(groups, found.drop("firsts"), ["lang", "source"])
+    groups = keyed_join(groups, found.groupBy("lang").agg(F.sum("firsts").alias("vocabulary"), F.sum("total").alias("lang_total")), ["lang"])
     return kept, land(groups.na.fill(0).withColumn("rest", F.expr(_share(0, "total", "vocabulary"))))
 
 
@@ -90,10 +138,11 @@ def source_pairs(kept, groups):
     theirs = alone.select("lang", F.col("item").alias("source"), F.col("source").alias("item"),
                           F.expr(f"terms * {_divergence('q0', 'p')}").alias("v"))
 
-    left = shares.select("lang", "term", "source", "p", F.col("rest").alias("p0"))
-    right = shares.select("lang", "term", F.col("source").alias("item"), F.col("p").alias("q"), F.col("rest").alias("q0"))
-    both = left.join(right.hint("merge"), ["lang", "term"]).filter(apart).select("lang", "source", "item", F.expr(
-        f"{_divergence('p', 'q')} - {_divergence('p', 'q0')} - {_divergence('p0', 'q')} + {_divergence('p0', 'q0')}").alias("v"))
+    side = shares.select("lang", "term", "source", "p", "rest")
+    # Both sides are one frame under two names, so that it is shuffled once.
+    met = side.alias("a").join(side.hint("merge").alias("b"), [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("lang", "term")])
+    both = met.filter("a.source != b.source").select("a.lang", "a.source", F.col("b.source").alias("item"), F.expr(
+        f"{_divergence('a.p', 'b.p')} - {_divergence('a.p', 'b.rest')} - {_divergence('a.rest', 'b.p')} + {_divergence('a.rest', 'b.rest')}").alias("v"))
     parts = [part.groupBy("lang", "source", "item").agg(F.sum("v").alias("v")) for part in (neither, own, theirs, both)]
     total = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
     return total.groupBy("lang", "source", "item").agg(F.sum("v").alias("value"))
