@@ -1,5 +1,6 @@
 import itertools
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -61,5 +62,23 @@ def test_passages_on_both_sides_of_the_length(spark):
     assert all(got[100 + i] == (0, 0) for i in range(5))
 
 
+def test_texts_move_twice_and_single_grams_do_not_join(spark, monkeypatch):
+    """Also where grams of few and of many contexts meet, and on small tables: for the contexts, and for the removal."""
+    pick = random.Random(6)
+    text = lambda n: "".join(pick.choice("abcdefghij klmnopq") for _ in range(n))
+    often, twice = text(60), text(60)
+    rows = [(i, text(100) + often + text(90)) for i in range(6)] + [(10 + i, text(80) + twice + text(70)) for i in range(2)] + [(20, text(3_000))]
+    landed = []
+    monkeypatch.setattr(suffixes, "land", lambda df, f=suffixes.land: landed.append((df, f(df))) or landed[-1][1])
+    removed = suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), 24, 6, 3)
+    assert all(r.n_removed >= 60 if r.doc_id < 20 else r.n_removed == 0 for r in removed.collect())
+    found, joined = (df for _, df in landed[:2])
+    assert set(found.columns) == set(joined.columns) and joined.count() < found.count() / 2
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in [*(df for df, _ in landed), removed]]
+    moving = [plan for plan in plans if "Join" in plan and re.search(r"\btext#", plan.split("Join", 1)[1])]
+    assert len(moving) == 2
+    assert "BroadcastHashJoin" not in removed._jdf.queryExecution().executedPlan().toString()
+
+
 def test_empty_table(spark):
     assert suffixes.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).collect() == []
