@@ -99,3 +99,20 @@ def test_a_shared_passage_makes_work_in_proportion(spark, monkeypatch):
         assert all(r.kept for r in found)
         assert sum(met) <= 4 * n
         met.clear()
+
+
+def test_sets_meet_by_the_same_joins_at_every_size(spark, monkeypatch):
+    """No set is broadcast, however few there are, and the second look takes minima of the unsettled members only."""
+    pick = random.Random(6)
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = [passage + " " + " ".join(str(pick.random()) for _ in range(60)) for _ in range(60)]
+    texts += [" ".join(str(pick.random()) for _ in range(40)) for _ in range(200)]
+    texts += [texts[i] + " more" for i in range(60, 70)]
+    looks, plans, verified, land = [], [], minhash._verified, minhash.land
+    monkeypatch.setattr(minhash, "_verified", lambda pairs, minima, *rest: looks.append(minima.count()) or verified(pairs, minima, *rest))
+    monkeypatch.setattr(minhash, "land", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or land(df))
+    found = minhash.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert sum(not r.kept for r in found) == 10
+    assert looks[0] == 270 and 0 < looks[1] < 100
+    confirmed = [plan for plan in plans if "(u, v, a, b)" in plan or "run(u#" in plan and "a#" in plan and "b#" in plan and "ma#" not in plan]
+    assert confirmed and all("BroadcastHashJoin" not in plan for plan in confirmed)

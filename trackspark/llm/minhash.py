@@ -164,15 +164,15 @@ def _with_components(members, links):
     return keyed_join(members, comps, ["rep"]).withColumn("comp", F.coalesce("component", "rep")).drop("component")
 
 
-def _verified(pairs, sketches, texts, percent, shingle):
-    """The (u, v) of ``pairs`` whose sets reach the threshold."""
-    minima = sketches.select("rep", "minima")
+def _verified(pairs, minima, sketches, texts, percent, shingle):
+    """The (u, v) of ``pairs`` whose sets reach the threshold; ``minima`` is (rep, minima) of at least their members."""
     both = keyed_join(pairs.withColumn("rep", F.col("u")), minima, ["rep"], "inner").withColumnRenamed("minima", "ma")
     both = keyed_join(both.withColumn("rep", F.col("v")), minima, ["rep"], "inner").withColumnRenamed("minima", "mb")
     likely = land(both.select("u", "v", "ma", "mb").mapInArrow(_plausible(percent), "u long, v long"))
     sets = _sets_of(likely.select(F.explode(F.array("u", "v")).alias("rep")).distinct(), sketches, texts, shingle)
-    whole = keyed_join(likely.withColumn("rep", F.col("u")), sets, ["rep"], "inner").withColumnRenamed("set", "a")
-    whole = keyed_join(whole.withColumn("rep", F.col("v")), sets, ["rep"], "inner").withColumnRenamed("set", "b")
+    # Every set has a row here, and sets are large, so they are shuffled at every size.
+    whole = keyed_join(likely.withColumn("rep", F.col("u")), sets, ["rep"], "inner", measured=False).withColumnRenamed("set", "a")
+    whole = keyed_join(whole.withColumn("rep", F.col("v")), sets, ["rep"], "inner", measured=False).withColumnRenamed("set", "b")
     return land(whole.select("u", "v", "a", "b").mapInArrow(_confirm(percent), "u long, v long"))
 
 
@@ -199,6 +199,7 @@ def near_links(sketches, texts, percent=PERCENT, shingle=SHINGLE, rows=ROWS, chu
     placed = sketches.select("rep", F.posexplode(bands).alias("band", "bucket"))
     shared = placed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("rep").alias("leader")).filter("n > 1")
     members = land(placed.join(shared, "bucket"))
+    minima = sketches.select("rep", "minima")
     links = None
     for turn in range(LEADER_ROUNDS):
         if links is None:
@@ -212,14 +213,14 @@ def near_links(sketches, texts, percent=PERCENT, shingle=SHINGLE, rows=ROWS, chu
                 "bucket", F.col("by.rep").alias("v"), F.col("by.comp").alias("v_comp"))
             pairs = apart.drop("leader").join(leaders, "bucket").filter("comp != v_comp").select(F.col("rep").alias("u"), "v")
         pairs = pairs.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-        found = _verified(land(pairs), sketches, texts, percent, shingle)
+        found = _verified(land(pairs), minima, sketches, texts, percent, shingle)
         links = found if links is None else land(links.unionByName(found))
     apart = _unsettled(_with_components(members, links))
     if not apart.limit(1).count():
         return links
-    minima = sketches.select("rep", "minima")
-    pairs, alike = _prefix_pairs(apart.select("rep", "comp").distinct().join(minima, "rep"), _least_equal(percent), rare)
-    links = land(links.unionByName(_verified(pairs, sketches, texts, percent, shingle)))
+    unsettled = land(apart.select("rep", "comp").distinct().join(minima, "rep"))
+    pairs, alike = _prefix_pairs(unsettled, _least_equal(percent), rare)
+    links = land(links.unionByName(_verified(pairs, unsettled.drop("comp"), sketches, texts, percent, shingle)))
     if not alike.limit(1).count():
         return links
     apart = members.join(alike, "rep", "left_semi").drop("n", "leader")
