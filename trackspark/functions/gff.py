@@ -36,6 +36,15 @@ def attribute_pairs(attributes):
     )
 
 
+def _searched(attributes, key):
+    """The text to search for ``key``, empty where it cannot hold it.
+
+    What is found in it is asked for first in the conditions on it, so Spark works it out once for all of them.
+    """
+    attributes = _col(attributes)
+    return F.when(~attributes.contains(key), "").otherwise(attributes)
+
+
 def _value_of(key):
     return f"(?:^|;)\\s*\\Q{key}\\E\\s*=([^;]*)"
 
@@ -45,18 +54,16 @@ def attribute(attributes, key):
 
     Read straight from the text: no array is built for each of the lines.
     """
-    attributes = _col(attributes)
-    value = F.trim(F.regexp_extract(attributes, _value_of(key), 1))
-    return F.when(attributes.contains(key), percent_decode(F.nullif(value, F.lit(""))))
+    value = F.trim(F.regexp_extract(_searched(attributes, key), _value_of(key), 1))
+    return F.when(value != "", percent_decode(value))
 
 
 def attribute_list(attributes, key):
     """Decoded items of every attribute named ``key``."""
-    attributes = _col(attributes)
-    values = F.array_join(F.regexp_extract_all(attributes, F.lit(_value_of(key)), F.lit(1)), ",")
+    values = F.array_join(F.regexp_extract_all(_searched(attributes, key), F.lit(_value_of(key)), F.lit(1)), ",")
     items = F.split(values, ",")
     return (
-        F.when(~attributes.contains(key) | (values == ""), F.array().cast("array<string>"))
+        F.when(values == "", F.array().cast("array<string>"))
         .when(values.contains("%"), F.transform(items, percent_decode))
         .otherwise(items)
     )
@@ -72,9 +79,7 @@ def exon_frames(exons, cds):
 
     def frame(exon):
         inside = F.filter(cds, lambda c: (c["start"] < exon["end"]) & (c["end"] > exon["start"]))
-        piece = F.get(inside, F.lit(0))
-        return F.when(piece.isNull(), F.lit(-1)).otherwise(
-            frame_of_phase(F.coalesce(piece["phase"], F.lit(0)))
-        )
+        frames = F.transform(inside, lambda c: frame_of_phase(F.coalesce(c["phase"], F.lit(0))))
+        return F.coalesce(F.get(frames, F.lit(0)), F.lit(-1))
 
-    return F.transform(exons, frame)
+    return F.when(F.size(cds) == 0, F.array_repeat(F.lit(-1), F.size(exons))).otherwise(F.transform(exons, frame))

@@ -16,7 +16,9 @@ def whitespace_fields(line):
 
 
 def tab_fields(line):
-    return F.split(F.rtrim(_col(line), F.lit("\r")), "\t", -1)
+    line = _col(line)
+    # Few lines end in a return; trimming a given character goes over the whole line.
+    return F.split(F.when(line.endswith("\r"), F.rtrim(line, F.lit("\r"))).otherwise(line), "\t", -1)
 
 
 def number(text, kind="bigint"):

@@ -12,9 +12,11 @@ PIECES = ["exon", "CDS"]
 
 def pieces_of(gff, keys=("genome", "path")):
     """Exon and CDS rows, one per parent: (keys, transcript_id, kind, chrom, strand, start, end, phase)."""
-    return gff.filter(F.col("type").isin(PIECES)).select(
+    # A plain explode would have the parents searched for in a filter before it, and then again.
+    each = gff.filter(F.col("type").isin(PIECES)).select("*", F.posexplode_outer("parents").alias("_place", "transcript_id"))
+    return each.filter("_place is not null").select(
         *keys,
-        F.explode("parents").alias("transcript_id"),
+        "transcript_id",
         F.col("type").alias("kind"),
         "chrom",
         "strand",
@@ -27,7 +29,7 @@ def pieces_of(gff, keys=("genome", "path")):
 def feature_nodes(gff, keys=("genome", "path")):
     """Features that may be parents, one row per id."""
     gene_type = F.coalesce(*[G.attribute("attributes", k) for k in ("gene_biotype", "biotype", "gene_type")])
-    features = gff.filter(F.col("id").isNotNull() & ~F.col("type").isin(PIECES)).select(
+    features = gff.filter(~F.col("type").isin(PIECES) & F.col("id").isNotNull()).select(
         *keys,
         "id",
         F.struct(
@@ -39,7 +41,8 @@ def feature_nodes(gff, keys=("genome", "path")):
             gene_type.alias("biotype"),
         ).alias("node"),
     )
-    return features.groupBy(*keys, "id").agg(F.min("node").alias("node"))
+    # Sorted by id first, as the keys are the same for many rows.
+    return features.groupBy("id", *keys).agg(F.min("node").alias("node")).select(*keys, "id", "node")
 
 
 def top_ancestors(links, keys=("genome", "path")):
@@ -80,7 +83,7 @@ def _named_transcripts(nodes, keys):
     up = nodes.select(*keys, F.col("id").alias("_up"), F.col("node").alias("_up_node"))
     # Neither side is known to be small: adaptive execution broadcasts by measured
     # size and splits skewed partitions.
-    first = land(nodes.withColumn("_up", F.col("node.parent")).join(up, [*keys, "_up"], "left"))
+    first = land(nodes.withColumn("_up", F.col("node.parent")).join(up, ["_up", *keys], "left"))
     deep = F.coalesce(F.col("_up_node.parent").isNotNull(), F.lit(False))
     near = first.filter(~deep).select(
         *keys, "id", "node", F.coalesce("_up", "id").alias("top"),
@@ -124,7 +127,7 @@ def gene_models(gff, keys=("genome", "path")):
     transcripts = transcripts_of(pieces_of(gff, keys), keys)
     # Pieces are already one row per transcript here, so no key of this join is heavy.
     named = transcripts.join(
-        _named_transcripts(feature_nodes(gff, keys), keys), [*keys, "transcript_id"], "left"
+        _named_transcripts(feature_nodes(gff, keys), keys), ["transcript_id", *keys], "left"
     )
     reason = F.when(F.col("transcript_type").isNull(), "missing_parent").when(F.col("parent_cycle"), "parent_cycle").otherwise(F.col("reason"))
     tagged = named.withColumn("reason", reason)
@@ -178,9 +181,14 @@ def _bad_span():
 
 
 def _gathered(pieces, group):
-    """One row per transcript: its pieces are gathered, sorted and checked as arrays."""
-    gathered = pieces.groupBy(*group).agg(
-        F.collect_set(F.struct("start", "end", "kind", "phase")).alias("pieces"),
+    """One row per transcript: its exons and CDS are gathered, sorted and checked as arrays.
+
+    The last key of the group leads the sort, as many rows share the others.
+    """
+    kind, span = F.col("kind"), ["start", "end"]
+    gathered = pieces.groupBy(*reversed(group)).agg(
+        F.collect_set(F.when(kind == "exon", F.struct(*span))).alias("exons"),
+        F.collect_set(F.when(kind == "CDS", F.struct(*span, "phase"))).alias("cds"),
         F.min("chrom").alias("chrom"),
         F.max("chrom").alias("last_chrom"),
         F.min("strand").alias("strand"),
@@ -188,32 +196,18 @@ def _gathered(pieces, group):
         F.max(_bad_span()).alias("bad_span"),
         F.count("*").alias("rows"),
     )
-    pieces_in_order = F.sort_array("pieces")
-    gathered = gathered.withColumn("pieces", pieces_in_order)
-    cds = F.filter("pieces", lambda p: p["kind"] == "CDS")
-    exons = F.filter("pieces", lambda p: p["kind"] == "exon")
-    gathered = gathered.withColumn("cds", cds).withColumn(
-        "exons",
-        F.array_distinct(
-            F.transform(
-                F.when(F.size(exons) > 0, exons).otherwise(cds), lambda p: F.struct(p["start"], p["end"])
-            )
-        ),
-    )
-    starts = F.transform("exons", lambda e: e["start"])
-    ends = F.transform("exons", lambda e: e["end"])
-    gathered = gathered.withColumn("exon_starts", starts).withColumn("exon_ends", ends)
+    gathered = gathered.withColumns({"exons": F.sort_array("exons"), "cds": F.sort_array("cds")})
+    as_exons = F.array_distinct(F.transform("cds", lambda p: F.struct(p["start"], p["end"])))
+    gathered = gathered.withColumn("exons", F.when(F.size("exons") > 0, F.col("exons")).otherwise(as_exons))
+    gathered = gathered.withColumn("exon_starts", F.col("exons")["start"]).withColumn("exon_ends", F.col("exons")["end"])
     tx_start, tx_end = F.array_min("exon_starts"), F.array_max("exon_ends")
     coding = F.size("cds") > 0
-    cds_start = F.when(coding, F.array_min(F.transform("cds", lambda c: c["start"]))).otherwise(tx_end)
-    cds_end = F.when(coding, F.array_max(F.transform("cds", lambda c: c["end"]))).otherwise(tx_end)
-    overlapping = F.exists(
-        F.transform(
-            "exon_starts",
-            lambda start, i: (i > 0) & (start < F.get("exon_ends", (i - 1).cast("int"))),
-        ),
-        lambda clash: F.coalesce(clash, F.lit(False)),
-    )
+    cds_start = F.when(coding, F.array_min(F.col("cds")["start"])).otherwise(tx_end)
+    cds_end = F.when(coding, F.array_max(F.col("cds")["end"])).otherwise(tx_end)
+    # Each start but the first meets the end before it.
+    later = F.slice("exon_starts", F.lit(2), F.size("exon_starts"))
+    clashes = F.zip_with(later, "exon_ends", lambda start, before: start < before)
+    overlapping = F.coalesce(F.array_contains(clashes, True), F.lit(False))
     return gathered.select(
         *group,
         "chrom",

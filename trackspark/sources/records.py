@@ -100,22 +100,25 @@ def gff3_fields(lines, dropped_attribute=None, seen=None):
     left out. ``dropped_attribute`` names an attribute to strip first. An Observation ``seen`` counts ``lines``, ``comments``
     and ``malformed`` lines as they pass.
     """
-    fields = F.col("_fields")
+    fields, others = F.col("_fields"), _others(lines)
+    comment = F.col("value").startswith("#")
+    if seen is None:
+        lines = lines.filter(~comment)
+    lines = lines.withColumn("_split", F.when(~comment, V.tab_fields("value")))
+    nine = F.size("_split") == 9
     if seen is not None:
-        comment = F.col("value").startswith("#")
         lines = lines.observe(seen, F.count("*").alias("lines"), F.count_if(comment).alias("comments"),
-                              F.count_if(~comment & (F.size(V.tab_fields("value")) != 9)).alias("malformed"))
+                              F.count_if(~comment & ~nine).alias("malformed"))
 
     def field(position):
         return F.get(fields, F.lit(position))
 
     attributes = G.without_attribute(field(8), dropped_attribute) if dropped_attribute else field(8)
     return (
-        lines.filter(~F.col("value").startswith("#"))
-        .withColumn("_fields", V.tab_fields("value"))
-        .filter(F.size("_fields") == 9)
+        # A filter on the fields would go below the split and split every line again.
+        lines.select(*others, F.explode(F.when(nine, F.array("_split"))).alias("_fields"))
         .select(
-            *_others(lines),
+            *others,
             field(0).alias("chrom"),
             field(1).alias("source"),
             field(2).alias("type"),
