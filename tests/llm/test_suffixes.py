@@ -62,6 +62,25 @@ def test_passages_on_both_sides_of_the_length(spark):
     assert all(got[100 + i] == (0, 0) for i in range(5))
 
 
+def test_query_tells_planted_passages_from_clean_documents(spark, tmp_path):
+    """Passages of over 50 words, each in two documents: ``n_removed`` tells those of 400 bytes or more; ``n_bytes`` is the text's length."""
+    pick = random.Random(9)
+    word = lambda: "".join(pick.choice("abcdefghijklmnopq") for _ in range(pick.randint(2, 9)))
+    words = lambda n: " ".join(word() for _ in range(n))
+    passages = [words(n) for n in (51, 52, 53, 54, 75, 80, 90, 120)]
+    sizes = [len(passage) for passage in passages]
+    assert max(sizes[:4]) < 390 and min(sizes[4:]) >= 400
+    texts = {2 * i + k: f"{words(150 + i)} <{k} {passage} {k}> {words(60)}" for i, passage in enumerate(passages) for k in (0, 1)}
+    texts |= {100 + i: words(200 + i) for i in range(10)}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in suffixes.op4_suffix_dedup(spark, str(tmp_path)).collect()}
+    assert all(got[i].n_bytes == len(text) for i, text in texts.items())
+    for i, size in enumerate(sizes):
+        for k in (0, 1):  # the spaces around it are shared too
+            assert (got[2 * i + k].n_removed, got[2 * i + k].n_spans) == ((size + 2, 1) if size >= 400 else (0, 0))
+    assert all(got[100 + i].n_removed == 0 for i in range(10))
+
+
 def test_texts_move_twice_and_single_grams_do_not_join(spark, monkeypatch):
     """Also where grams of few and of many contexts meet, and on small tables: for the contexts, and for the removal."""
     pick = random.Random(6)
